@@ -34,7 +34,7 @@ def safe_cast(c: ColumnLike, data_type: str) -> Column:
 
 def safe_date(c: ColumnLike, fmt: str = "yyyyMMdd") -> Column:
     """Parse a date string; '' and malformed strings give NULL."""
-    return F.try_to_date(col_of(c), F.lit(fmt))
+    return F.try_to_date(col_of(c), fmt)
 
 
 def blank_to_null(c: ColumnLike) -> Column:

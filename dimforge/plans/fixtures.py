@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimforge.functions.columns import row_hash
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -153,7 +155,11 @@ def ods_plcy_detl(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01").cast("date").alias("eff_from_dt"),
         F.lit("9999-12-31").cast("date").alias("eff_to_dt"),
         F.lit("20240101").cast("decimal(19,0)").alias("btch_id"),
-    )
+        F.lit("seed-trade").alias("crtd_by"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("crtd_dt"),
+        F.lit(None).cast("string").alias("mdfd_by"),
+        F.lit(None).cast("timestamp_ntz").alias("mdfd_dt"),
+    ).withColumn("hash_key", row_hash(["plcy_iss_dt", "plcy_status_id", "custdn_firm_nm"]))
 
 
 def ods_position(spark: SparkSession, sf_dir: str) -> DataFrame:
