@@ -51,16 +51,25 @@ def _bucket_expr(key: Column, boundaries: Sequence, lo: int = 0, hi: int | None
     )
 
 
+ROWS_PER_BUCKET = 2_000_000
+
+
 def plan_surrogate_keys(df: DataFrame, key: str, buckets: int | None = None,
-                        samples_per_bucket: int = 64, seed: int = 17) -> KeyPlan:
-    """Guard-style planning step (runs three bounded actions, see module doc)."""
+                        samples_per_bucket: int = 64, seed: int = 17,
+                        rows_per_bucket: int = ROWS_PER_BUCKET) -> KeyPlan:
+    """Guard-style planning step (bounded actions, see module doc).
+
+    Without ``buckets`` the count decides: one bucket per ``rows_per_bucket``
+    rows, so a small batch costs one count and a billion-row one spreads over
+    hundreds of tasks.  Pass ``df`` checkpointed or cheap to recompute: it is
+    read up to three times.
+    """
     keys = df.select(F.col(key).alias("k"))
     total = keys.count()
     if total == 0:
         return KeyPlan(key, (), (0,), 0)
     if buckets is None:
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        buckets = max(shuffle, math.ceil(total / 1_000_000))
+        buckets = math.ceil(total / rows_per_bucket)
     buckets = max(1, min(buckets, total))
     if buckets == 1:
         return KeyPlan(key, (), (0,), total)
@@ -100,8 +109,20 @@ def assign_surrogate_keys(df: DataFrame, plan: KeyPlan, sk: str, start: int = 0)
     )
 
 
-def surrogate_keys(df: DataFrame, key: str, sk: str, start: int = 0, buckets: int | None = None) -> DataFrame:
-    """Plan (bounded actions) and assign in one call."""
+def surrogate_keys(df: DataFrame, key: str, sk: str, start: int = 0, buckets: int | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Plan (bounded actions) and assign in one call.
+
+    One count decides the bucket count; only when more than one bucket is
+    needed is the input checkpointed (the sample and the bucket counts then
+    read the checkpoint instead of recomputing the lineage).
+    """
+    total = df.count()
+    if buckets is None:
+        buckets = math.ceil(total / rows_per_bucket) if total else 1
+    if total == 0 or buckets <= 1:
+        return assign_surrogate_keys(df, KeyPlan(key, (), (0,), total), sk, start)
+    df = df.checkpoint(eager=True)
     return assign_surrogate_keys(df, plan_surrogate_keys(df, key, buckets), sk, start)
 
 

@@ -44,7 +44,19 @@ class Lookup:
     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 
 
-def _prepared(lk: Lookup, idx: int) -> tuple[DataFrame, list[tuple[str, str]]]:
+def probe_sizes(frames: dict[int, tuple[DataFrame, int]]) -> dict[int, int]:
+    """Row counts of several frames, each capped at its limit + 1, in one job."""
+    if not frames:
+        return {}
+    parts = [df.limit(cap + 1).select(F.lit(i).alias("_i")) for i, (df, cap) in frames.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    found = {r["_i"]: r["n"] for r in union.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {i: found.get(i, 0) for i in frames}
+
+
+def _prepared(lk: Lookup, idx: int, small: bool | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
     t = lk.table
     rkeys = [r for _, r in lk.on]
     if lk.unique_by is not None:
@@ -56,20 +68,33 @@ def _prepared(lk: Lookup, idx: int) -> tuple[DataFrame, list[tuple[str, str]]]:
     if lk.broadcast == "always":
         t = F.broadcast(t)
     elif lk.broadcast == "checked":
-        t, _ = broadcast_if_small(t, lk.max_rows)
+        if small is None:
+            t, _ = broadcast_if_small(t, lk.max_rows)
+        elif small:
+            t = F.broadcast(t)
     elif lk.broadcast != "auto":
         raise ValueError(f"unknown broadcast policy {lk.broadcast!r}")
     return t, [(left, renamed[r]) for left, r in lk.on]
 
 
+def _lookup_rows(lk: Lookup) -> DataFrame:
+    """The lookup's raw rows for the size probe: an upper bound of what is
+    joined (dedup only removes rows), and no shuffle is needed to count it."""
+    return lk.table.select(F.lit(1).alias("_one"))
+
+
 def enrich(batch: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Chain of left joins; unmatched rows get each lookup's defaults.
 
-    A later lookup may join on a column an earlier one added.
+    A later lookup may join on a column an earlier one added.  The sizes of
+    all ``checked`` lookups are probed together in one bounded job.
     """
     out = batch
+    checked = {i: (_lookup_rows(lk), lk.max_rows) for i, lk in enumerate(lookups) if lk.broadcast == "checked"}
+    sizes = probe_sizes(checked)
     for i, lk in enumerate(lookups):
-        t, pairs = _prepared(lk, i)
+        small = sizes[i] <= lk.max_rows if i in sizes else None
+        t, pairs = _prepared(lk, i, small)
         cond = None
         for left, right in pairs:
             if lk.null_equals is not None:

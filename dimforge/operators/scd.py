@@ -63,19 +63,35 @@ def _tgt(c: str) -> str:
     return f"_tgt_{c}"
 
 
-def scd2_join(incoming: DataFrame, current: DataFrame, spec: Scd2Spec) -> DataFrame:
+def scd2_join(incoming: DataFrame, current: DataFrame, spec: Scd2Spec, broadcast_batch: bool = False) -> DataFrame:
     """Full outer join of the batch with the current versions, with ``row_type``.
 
     Incoming columns keep their names; every target column is prefixed
     ``_tgt_``.  ``row_type`` is NEW / CHANGED / UNCHANGED for batch rows and
     ABSENT for current keys missing from the batch.
+
+    Two plans give the same rows:
+
+    * default: a full outer join; both sides are shuffled on the key.
+    * ``broadcast_batch`` (only for a batch whose size was proven small): the
+      current versions stream past the broadcast batch (left join, no shuffle
+      of the current partition); the keys found are few, so the batch rows
+      without a current version come from an anti join of two small frames.
     """
     cur = current.select(
         F.col(spec.key).alias("_k"),
         *[F.col(c).alias(_tgt(c)) for c in spec.target_columns()],
     )
     inc = incoming.select(spec.key, *spec.columns).withColumn("_in", F.lit(True))
-    j = inc.join(cur, inc[spec.key] == cur["_k"], "full_outer")
+    if broadcast_batch:
+        b = F.broadcast(inc)
+        kept = cur.join(b, cur["_k"] == b[spec.key], "left")
+        found = cur.select("_k").join(F.broadcast(inc.select(F.col(spec.key).alias("_bk"))),
+                                      F.col("_k") == F.col("_bk"), "left_semi")
+        new = inc.join(found, inc[spec.key] == found["_k"], "left_anti")
+        j = kept.unionByName(new, allowMissingColumns=True)
+    else:
+        j = inc.join(cur, inc[spec.key] == cur["_k"], "full_outer")
     changed = changed_any((F.col(c), F.col(_tgt(c))) for c in spec.tracked)
     row_type = (
         F.when(F.col("_in").isNull(), F.lit(ABSENT))
@@ -162,18 +178,28 @@ class Scd2Result:
 
 
 def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunContext,
-               buckets: int | None = None, checkpoint: bool = True) -> Scd2Result:
+               buckets: int | None = None, checkpoint: bool = True,
+               before_numbering=None, max_broadcast_batch_rows: int = 200_000) -> Scd2Result:
     """Compute the next state of a versioned table for one batch.
 
-    Runs bounded actions: the surrogate-key high-water mark (one scalar), a
+    Runs bounded actions: a probe of the batch size (at most
+    ``max_broadcast_batch_rows`` rows broadcast the batch, see ``scd2_join``),
+    the surrogate-key high-water mark (one scalar), a
     reliable checkpoint of the joined frame (cuts lineage; survives executor
     loss, written to ``spark.checkpoint.dir``) and the key plan.  Returns lazy
-    frames over the checkpoint.  ``incoming`` must be unique on ``spec.key``.
+    frames over the checkpoint.  ``incoming`` must be unique on ``spec.key``;
+    ``before_numbering(joined)`` runs guards on the checkpointed join (cheaper
+    than re-reading the batch lineage).
     """
+    from dimforge.operators.lookup import broadcast_if_small
+
     cur = current_rows(target, spec)
-    joined = scd2_join(incoming, cur, spec)
+    _, small = broadcast_if_small(incoming.select(spec.key), max_broadcast_batch_rows)
+    joined = scd2_join(incoming, cur, spec, broadcast_batch=small)
     if checkpoint:
         joined = joined.checkpoint(eager=True)
+    if before_numbering is not None:
+        before_numbering(joined)
     hwm = high_water_mark(target, spec.sk)
     cands = insert_candidates(joined, spec)
     plan = plan_surrogate_keys(cands, spec.key, buckets=buckets)

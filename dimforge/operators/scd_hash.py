@@ -87,18 +87,34 @@ def open_versions(rows: DataFrame, spec: HashScd2Spec, ctx: RunContext, created_
     })
 
 
-def supersede(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by: str) -> DataFrame:
+def supersede(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by: str,
+              touched: DataFrame | None = None, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Close every active version of a key except the newest.
 
     Newest = largest (eff_from, sk).  Computed as a per-key max (partial
     aggregation, so a hot key costs one row per map task) joined back on the
     key; the join's hot side is split by AQE's skew handling.  Closed rows end
     at batch date - 1 with flag 'N'.  Returns the whole state.
+
+    ``touched``: the keys this batch wrote.  Only their versions are looked
+    at, so a load costs work in proportion to the batch, not to the table;
+    when the touched keys are proven few (bounded probe) they are broadcast
+    and the table streams through without a shuffle.  Without ``touched``
+    every key is examined (a repair pass over the whole table).
     """
+    from dimforge.operators.lookup import broadcast_if_small
+
     keys = list(spec.keys)
     order = F.struct(F.col(spec.eff_from), F.col(spec.sk))
-    newest = (active(state, spec).groupBy(*keys).agg(F.max(order).alias("_newest"))
+    act = active(state, spec)
+    small = False
+    if touched is not None:
+        tk, small = broadcast_if_small(touched.select(*keys).distinct(), max_broadcast_rows)
+        act = act.join(tk, keys, "left_semi")
+    newest = (act.groupBy(*keys).agg(F.max(order).alias("_newest"))
               .select(*[F.col(k).alias(f"_nk_{k}") for k in keys], "_newest"))
+    if small:
+        newest = F.broadcast(newest)  # at most one row per touched key
     cond = None
     for k in keys:
         c = state[k].eqNullSafe(newest[f"_nk_{k}"])
@@ -114,9 +130,10 @@ def supersede(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by
     return out.select(*state.columns)
 
 
-def superseded(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by: str) -> DataFrame:
+def superseded(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by: str,
+               touched: DataFrame | None = None) -> DataFrame:
     """Only the versions ``supersede`` closes in this batch."""
-    after = supersede(state, spec, ctx, modified_by)
+    after = supersede(state, spec, ctx, modified_by, touched)
     return after.where((F.col(spec.flag) == CLOSED) & F.col(spec.eff_to).eqNullSafe(ctx.date_minus_day())
                        & F.col("mdfd_dt").eqNullSafe(ctx.ts()))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dimforge.context import RunContext
 from dimforge.functions.columns import derived_status, first_seen, safe_date, sticky, when_codes
 from dimforge.operators import quality
-from dimforge.operators.keys import assign_surrogate_keys, high_water_mark, latest_per_key, plan_surrogate_keys
+from dimforge.operators.keys import high_water_mark, latest_per_key, surrogate_keys
 from dimforge.operators.lookup import Lookup, enrich
 from dimforge.operators.schema import blank_to_null
 from dimforge.operators.scd_hash import (HashScd2Spec, active, changed_or_new, identify, inactivation_rows,
@@ -124,9 +124,15 @@ def version_rows(ident: DataFrame, ctx: RunContext) -> DataFrame:
 
 
 def number_versions(stamped: DataFrame, target: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Surrogate keys above the target's high-water mark, in policy order."""
-    plan = plan_surrogate_keys(stamped, "plcy_mastr_id", buckets=buckets)
-    numbered = assign_surrogate_keys(stamped, plan, SPEC.sk, start=high_water_mark(target, SPEC.sk))
+    """Surrogate keys above the target's high-water mark, in policy order.
+
+    The stamped rows (batch-sized) are checkpointed once: the numbering, the
+    touched-key probe and the next state all read them, and each read would
+    otherwise rerun the lookups.
+    """
+    stamped = stamped.checkpoint(eager=True)
+    numbered = surrogate_keys(stamped, "plcy_mastr_id", SPEC.sk, start=high_water_mark(target, SPEC.sk),
+                              buckets=buckets)
     return numbered.select(*TARGET_COLUMNS)
 
 
@@ -135,7 +141,9 @@ def new_versions(ident: DataFrame, target: DataFrame, ctx: RunContext, buckets:
 
 
 def next_state(target: DataFrame, versions: DataFrame, ctx: RunContext) -> DataFrame:
-    return supersede(target.select(*TARGET_COLUMNS).unionByName(versions), SPEC, ctx, f"{ctx.job}-{ENTITY}")
+    """Target plus the new versions, older active versions of the touched keys closed."""
+    return supersede(target.select(*TARGET_COLUMNS).unionByName(versions), SPEC, ctx, f"{ctx.job}-{ENTITY}",
+                     touched=versions)
 
 
 def full_file_changes(target: DataFrame, ident: DataFrame, batch_keys: DataFrame, ctx: RunContext,

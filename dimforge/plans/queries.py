@@ -102,7 +102,7 @@ def q_surrogate_keys_orders(spark, sf_dir):
 
     o = fx.table(spark, sf_dir, "orders").select(
         F.concat(F.lit("O"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("order_nk"))
-    return surrogate_keys(o, "order_nk", "order_sk", start=0)
+    return surrogate_keys(o, "order_nk", "order_sk", start=0, buckets=8)
 
 
 @query("reject_rows")
@@ -425,7 +425,7 @@ def _policy_versions(spark, sf_dir):
     from dimforge.plans import policy
 
     target = fx.ods_plcy_detl(spark, sf_dir)
-    return target, policy.new_versions(_policy_ident(spark, sf_dir), target, CTX, buckets=4)
+    return target, policy.new_versions(_policy_ident(spark, sf_dir), target, CTX)
 
 
 @query("scd2_hash_next_state")
@@ -443,7 +443,7 @@ def q_supersede_expire(spark, sf_dir):
 
     target, versions = _policy_versions(spark, sf_dir)
     state = target.select(*policy.TARGET_COLUMNS).unionByName(versions)
-    return superseded(state, policy.SPEC, CTX, f"{CTX.job}-{policy.ENTITY}")
+    return superseded(state, policy.SPEC, CTX, f"{CTX.job}-{policy.ENTITY}", touched=versions)
 
 
 @query("scd2_rollback")
@@ -463,7 +463,7 @@ def q_full_file_inactivate(spark, sf_dir):
     target = fx.ods_plcy_detl(spark, sf_dir)
     ident = _policy_ident(spark, sf_dir)
     matched, _ = policy.split_unmatched(_policy_lkp(spark, sf_dir))
-    changes = policy.full_file_changes(target, ident, matched.select(*policy.SPEC.keys), CTX, buckets=4)
+    changes = policy.full_file_changes(target, ident, matched.select(*policy.SPEC.keys), CTX, buckets=3)
     return policy.next_state(target, changes, CTX)
 
 
