@@ -512,3 +512,25 @@ from customer"""),
     "append_aligned": sql("select * from supplier_aligned", "supplier_aligned"),
     "utc_normalise": sql("select event_id, ts - INTERVAL 330 MINUTE as ts from events"),
 })
+
+cte("job_keys", """
+select distinct src_sys, acct_num from stg_trade where src_sys is not null and acct_num is not null""", ("stg_trade",))
+
+ORACLE["job_insert_only"] = ORACLE["insert_only_load"]
+ORACLE["job_type1"] = ORACLE["type1_upsert"]
+ORACLE["job_versioned_hash"] = ORACLE["scd2_hash_next_state"]
+ORACLE["job_audit"] = sql(f"""
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'ENVISION' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
+       n_filtered + n_unchanged + n_duplicates as fltr_cnt, n_rejected as rej_cnt,
+       n_source = n_loaded + n_filtered + n_unchanged + n_duplicates + n_rejected as balanced,
+       {BATCH_TS} as start_ts, 'plcy_mastr' as tgt_tbl_nm, 'STG_TRADE' as src_file_nm,
+       n_loaded, n_rejected, n_filtered, n_duplicates, n_unchanged
+from (select n_source, n_loaded, n_rejected, n_source - n_filtered_in as n_filtered,
+             n_filtered_in - n_rejected - n_deduped as n_duplicates, n_deduped - n_loaded as n_unchanged
+      from (select (select count(*) from stg_trade) as n_source,
+                   (select count(*) from stg_trade) as n_filtered_in,
+                   (select count(*) from stg_trade where src_sys is null or acct_num is null) as n_rejected,
+                   (select count(*) from job_keys) as n_deduped,
+                   (select count(*) from job_keys k where not exists (
+                        select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
+                          and m.plcy_num = k.acct_num)) as n_loaded) c) d""", "job_keys", "ods_plcy_mastr")

@@ -602,3 +602,39 @@ def q_utc_normalise(spark, sf_dir):
 
     e = fx.table(spark, sf_dir, "events").select("event_id", "ts")
     return utc_normalise(e, ["ts"], "Asia/Kolkata")
+
+
+# ------------------------------------------------------------ dataset specs
+
+
+@query("job_insert_only")
+def q_job_insert_only(spark, sf_dir):
+    """The policy-master insert-only load run from its declarative spec."""
+    from dimforge.plans import datasets, job
+
+    target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
+    return job.run(spark, datasets.trade_policy_master(sf_dir), CTX, target).rows
+
+
+@query("job_audit")
+def q_job_audit(spark, sf_dir):
+    """Audit row of the spec-driven insert-only load."""
+    from dimforge.plans import datasets, job
+
+    target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
+    return job.run(spark, datasets.trade_policy_master(sf_dir), CTX, target).audit
+
+
+@query("job_type1")
+def q_job_type1(spark, sf_dir):
+    from dimforge.plans import datasets, job
+
+    return job.run(spark, datasets.account_upsert(sf_dir), CTX, datasets.account_upsert_target(spark, sf_dir)).rows
+
+
+@query("job_versioned_hash")
+def q_job_versioned_hash(spark, sf_dir):
+    from dimforge.plans import datasets, job
+
+    target = fx.ods_plcy_detl(spark, sf_dir).select(*__import__("dimforge.plans.policy", fromlist=["x"]).TARGET_COLUMNS)
+    return job.run(spark, datasets.policy_detail(sf_dir), CTX, target).frames["next_state"]
