@@ -534,3 +534,11 @@ from (select n_source, n_loaded, n_rejected, n_source - n_filtered_in as n_filte
                    (select count(*) from job_keys k where not exists (
                         select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
                           and m.plcy_num = k.acct_num)) as n_loaded) c) d""", "job_keys", "ods_plcy_mastr")
+
+ORACLE["summary_load"] = sql(f"""
+select src_sys, acct_num, count(*) as trx_cnt, count(*) filter (where actn_cd = 'R') as reversal_cnt,
+       cast(sum(amount) as decimal(28,2)) as net_amount, max(trade_id) as last_trade_id, {BATCH_ID} as btch_id
+from (select * from ods_trx union all select * from trade_facts_batch
+      union all ({ORACLE["reversal_load"]})) f
+where btch_id = {BATCH_ID}
+group by src_sys, acct_num""", "ods_trx", "trade_facts_batch")

@@ -638,3 +638,14 @@ def q_job_versioned_hash(spark, sf_dir):
 
     target = fx.ods_plcy_detl(spark, sf_dir).select(*__import__("dimforge.plans.policy", fromlist=["x"]).TARGET_COLUMNS)
     return job.run(spark, datasets.policy_detail(sf_dir), CTX, target).frames["next_state"]
+
+
+@query("summary_load")
+def q_summary_load(spark, sf_dir):
+    """Summary of this batch's trades and reversals, from the fact table after both passes."""
+    from dimforge.plans import trade
+
+    stg = fx.stg_trade(spark, sf_dir)
+    facts = trade.fact_with_batch(fx.ods_trx(spark, sf_dir), stg, CTX)
+    facts = facts.unionByName(trade.reversal_load(fx.ods_trx(spark, sf_dir), stg, CTX))
+    return trade.summary_load(facts, CTX)

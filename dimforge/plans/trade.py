@@ -126,3 +126,17 @@ def fact_with_batch(facts: DataFrame, stg: DataFrame, ctx: RunContext) -> DataFr
 
 __all__ = ["insert_only_master", "master_rows", "reversal_load", "held_update_load", "missing_trx_codes",
            "rows_with_known_codes", "trade_fact_rows", "rename"]
+
+
+def summary_load(facts: DataFrame, ctx: RunContext) -> DataFrame:
+    """Per-account transaction summary of one batch, read from the fact table
+    (a target-side table: the source is the load's own output, selected by
+    batch id).  One hash aggregate, partial per task, so a hot account costs
+    one row per task in the shuffle."""
+    rows = facts.where(F.col("btch_id") == ctx.batch_id_col())
+    return rows.groupBy("src_sys", "acct_num").agg(
+        F.count(F.lit(1)).alias("trx_cnt"),
+        F.count_if(F.col("actn_cd") == "R").alias("reversal_cnt"),
+        F.sum("amount").cast("decimal(28,2)").alias("net_amount"),
+        F.max("trade_id").alias("last_trade_id"),
+    ).withColumn("btch_id", ctx.batch_id_col())
