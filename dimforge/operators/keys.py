@@ -56,7 +56,7 @@ ROWS_PER_BUCKET = 2_000_000
 
 def plan_surrogate_keys(df: DataFrame, key: str, buckets: int | None = None,
                         samples_per_bucket: int = 64, seed: int = 17,
-                        rows_per_bucket: int = ROWS_PER_BUCKET) -> KeyPlan:
+                        rows_per_bucket: int = ROWS_PER_BUCKET, total: int | None = None) -> KeyPlan:
     """Guard-style planning step (bounded actions, see module doc).
 
     Without ``buckets`` the count decides: one bucket per ``rows_per_bucket``
@@ -65,7 +65,8 @@ def plan_surrogate_keys(df: DataFrame, key: str, buckets: int | None = None,
     read up to three times.
     """
     keys = df.select(F.col(key).alias("k"))
-    total = keys.count()
+    if total is None:
+        total = keys.count()
     if total == 0:
         return KeyPlan(key, (), (0,), 0)
     if buckets is None:
@@ -110,20 +111,21 @@ def assign_surrogate_keys(df: DataFrame, plan: KeyPlan, sk: str, start: int = 0)
 
 
 def surrogate_keys(df: DataFrame, key: str, sk: str, start: int = 0, buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET, total: int | None = None) -> DataFrame:
     """Plan (bounded actions) and assign in one call.
 
     One count decides the bucket count; only when more than one bucket is
     needed is the input checkpointed (the sample and the bucket counts then
     read the checkpoint instead of recomputing the lineage).
     """
-    total = df.count()
+    if total is None:
+        total = df.count()
     if buckets is None:
         buckets = math.ceil(total / rows_per_bucket) if total else 1
     if total == 0 or buckets <= 1:
         return assign_surrogate_keys(df, KeyPlan(key, (), (0,), total), sk, start)
     df = df.checkpoint(eager=True)
-    return assign_surrogate_keys(df, plan_surrogate_keys(df, key, buckets), sk, start)
+    return assign_surrogate_keys(df, plan_surrogate_keys(df, key, buckets, total=total), sk, start)
 
 
 def surrogate_keys_single_partition(df: DataFrame, key: str, sk: str, start: int = 0) -> DataFrame:
@@ -132,6 +134,20 @@ def surrogate_keys_single_partition(df: DataFrame, key: str, sk: str, start: int
     return df.withColumn(sk, F.lit(start).cast("bigint") + F.row_number().over(Window.orderBy(key)).cast("bigint"))
 
 
+def high_water_frame(target: DataFrame, sk: str) -> DataFrame:
+    """One-row frame with the largest surrogate key (0 when empty), for
+    combining with other scalars in a single job."""
+    return target.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("hwm"))
+
+
+def count_and_high_water(rows: DataFrame, target: DataFrame, sk: str) -> tuple[int, int]:
+    """(rows to number, target high-water mark) in one job."""
+    a = rows.agg(F.count(F.lit(1)).cast("bigint").alias("v")).withColumn("part", F.lit("n"))
+    b = high_water_frame(target, sk).select(F.col("hwm").alias("v"), F.lit("hwm").alias("part"))
+    got = {r["part"]: int(r["v"]) for r in a.unionByName(b).collect()}
+    return got["n"], got["hwm"]
+
+
 def high_water_mark(target: DataFrame, sk: str) -> int:
     """Largest surrogate key in the target, 0 when empty (one scalar comes back)."""
     row = target.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("m")).collect()[0]

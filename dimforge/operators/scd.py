@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
 from dimforge.functions.columns import changed_any
-from dimforge.operators.keys import assign_surrogate_keys, high_water_mark, plan_surrogate_keys
+from dimforge.operators.keys import assign_surrogate_keys, plan_surrogate_keys
 
 NEW, CHANGED, UNCHANGED, ABSENT = "NEW", "CHANGED", "UNCHANGED", "ABSENT"
 
@@ -177,16 +177,34 @@ class Scd2Result:
         return self.history.unionByName(self.prior_current).unionByName(self.inserts)
 
 
+def load_stats(joined: DataFrame, target: DataFrame, spec: Scd2Spec) -> dict[str, int]:
+    """Every scalar the load needs, in one job: rows to insert, batch keys
+    seen more than once, and the target's surrogate-key high-water mark."""
+    from dimforge.operators.keys import high_water_frame
+
+    per_key = (joined.where(F.col("row_type") != ABSENT).groupBy(spec.key)
+               .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("row_type").isin(NEW, CHANGED)).alias("ins")))
+    batch = per_key.agg(F.coalesce(F.sum("ins"), F.lit(0)).cast("bigint").alias("v1"),
+                        F.count_if(F.col("n") > 1).cast("bigint").alias("v2")).withColumn("part", F.lit("batch"))
+    tgt = high_water_frame(target, spec.sk).select(F.col("hwm").alias("v1"), F.lit(0).cast("bigint").alias("v2"),
+                                                   F.lit("target").alias("part"))
+    got = {r["part"]: r for r in batch.unionByName(tgt).collect()}
+    return {"inserts": int(got["batch"]["v1"]), "duplicate_keys": int(got["batch"]["v2"]),
+            "high_water": int(got["target"]["v1"])}
+
+
 def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunContext,
                buckets: int | None = None, checkpoint: bool = True,
-               before_numbering=None, max_broadcast_batch_rows: int = 200_000) -> Scd2Result:
+               before_numbering=None, max_broadcast_batch_rows: int = 200_000,
+               duplicates: str = "halt") -> Scd2Result:
     """Compute the next state of a versioned table for one batch.
 
     Runs bounded actions: a probe of the batch size (at most
     ``max_broadcast_batch_rows`` rows broadcast the batch, see ``scd2_join``),
-    the surrogate-key high-water mark (one scalar), a
-    reliable checkpoint of the joined frame (cuts lineage; survives executor
-    loss, written to ``spark.checkpoint.dir``) and the key plan.  Returns lazy
+    a reliable checkpoint of the joined frame (cuts lineage; survives executor
+    loss, written to ``spark.checkpoint.dir``), one job for all scalars
+    (``load_stats``) and, for more than one key bucket, the key plan.
+    ``duplicates="halt"`` raises ``DuplicateKeyError`` on a repeated batch key.  Returns lazy
     frames over the checkpoint.  ``incoming`` must be unique on ``spec.key``;
     ``before_numbering(joined)`` runs guards on the checkpointed join (cheaper
     than re-reading the batch lineage).
@@ -198,11 +216,16 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
     joined = scd2_join(incoming, cur, spec, broadcast_batch=small)
     if checkpoint:
         joined = joined.checkpoint(eager=True)
+    stats = load_stats(joined, target, spec)
+    if stats["duplicate_keys"] and duplicates == "halt":
+        from dimforge.operators.quality import guard_no_duplicates
+
+        guard_no_duplicates(joined.where(F.col("row_type") != ABSENT), spec.key)
     if before_numbering is not None:
         before_numbering(joined)
-    hwm = high_water_mark(target, spec.sk)
+    hwm = stats["high_water"]
     cands = insert_candidates(joined, spec)
-    plan = plan_surrogate_keys(cands, spec.key, buckets=buckets)
+    plan = plan_surrogate_keys(cands, spec.key, buckets=buckets, total=stats["inserts"])
     inserts = stamp_inserts(assign_surrogate_keys(cands, plan, spec.sk, start=hwm), spec, ctx)
     return Scd2Result(
         joined=joined,

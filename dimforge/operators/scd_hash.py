@@ -88,7 +88,8 @@ def open_versions(rows: DataFrame, spec: HashScd2Spec, ctx: RunContext, created_
 
 
 def supersede(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by: str,
-              touched: DataFrame | None = None, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+              touched: DataFrame | None = None, max_broadcast_rows: int = 2_000_000,
+              touched_rows: int | None = None) -> DataFrame:
     """Close every active version of a key except the newest.
 
     Newest = largest (eff_from, sk).  Computed as a per-key max (partial
@@ -99,7 +100,8 @@ def supersede(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by
     ``touched``: the keys this batch wrote.  Only their versions are looked
     at, so a load costs work in proportion to the batch, not to the table;
     when the touched keys are proven few (bounded probe) they are broadcast
-    and the table streams through without a shuffle.  Without ``touched``
+    and the table streams through without a shuffle (``touched_rows``, a
+    count the caller already has, replaces the probe).  Without ``touched``
     every key is examined (a repair pass over the whole table).
     """
     from dimforge.operators.lookup import broadcast_if_small
@@ -109,7 +111,11 @@ def supersede(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by
     act = active(state, spec)
     small = False
     if touched is not None:
-        tk, small = broadcast_if_small(touched.select(*keys).distinct(), max_broadcast_rows)
+        tk = touched.select(*keys).distinct()
+        if touched_rows is None:  # prove the bound with a probe
+            tk, small = broadcast_if_small(tk, max_broadcast_rows)
+        elif touched_rows <= max_broadcast_rows:  # caller counted the touched rows
+            tk, small = F.broadcast(tk), True
         act = act.join(tk, keys, "left_semi")
     newest = (act.groupBy(*keys).agg(F.max(order).alias("_newest"))
               .select(*[F.col(k).alias(f"_nk_{k}") for k in keys], "_newest"))
@@ -131,9 +137,9 @@ def supersede(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by
 
 
 def superseded(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_by: str,
-               touched: DataFrame | None = None) -> DataFrame:
+               touched: DataFrame | None = None, touched_rows: int | None = None) -> DataFrame:
     """Only the versions ``supersede`` closes in this batch."""
-    after = supersede(state, spec, ctx, modified_by, touched)
+    after = supersede(state, spec, ctx, modified_by, touched, touched_rows=touched_rows)
     return after.where((F.col(spec.flag) == CLOSED) & F.col(spec.eff_to).eqNullSafe(ctx.date_minus_day())
                        & F.col("mdfd_dt").eqNullSafe(ctx.ts()))
 

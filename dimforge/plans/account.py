@@ -90,17 +90,14 @@ def load_account(target: DataFrame, staged: DataFrame, ctx: RunContext, duplicat
 
     batch = prepare_batch(staged)
     if duplicates == "halt":
-        pass  # checked below on the checkpointed join, not by re-reading the batch
+        pass  # checked by scd2_apply on the checkpointed join, not by re-reading the batch
     elif duplicates == "keep_latest":
         batch.incoming = dedup_natural_key(
             batch.incoming, [ACCOUNT_SPEC.key],
             [F.col("source_last_modified_date").desc_nulls_last(), F.col("customer_name").asc_nulls_last()])
     else:
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
-    result = scd2_apply(target, batch.incoming, ACCOUNT_SPEC, ctx, buckets=buckets,
-                        before_numbering=(lambda joined: quality.guard_no_duplicates(
-                            joined.where(F.col("row_type") != "ABSENT"), ACCOUNT_SPEC.key))
-                        if duplicates == "halt" else None)
+    result = scd2_apply(target, batch.incoming, ACCOUNT_SPEC, ctx, buckets=buckets, duplicates=duplicates)
     return batch, result
 
 

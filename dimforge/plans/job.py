@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from dimforge.context import RunContext
 from dimforge.operators import quality
 from dimforge.operators.audit import audit_row, outcome_counts, tagged
-from dimforge.operators.keys import dedup_natural_key, high_water_mark, surrogate_keys
+from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
 from dimforge.operators.scd_hash import HashScd2Spec, active, changed_or_new, identify, open_versions, supersede
 from dimforge.operators.upsert import insert_only, type1_join, type1_next_state, type1_route
 
@@ -145,9 +145,11 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         sel = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else frames["sink"]
         stamped = open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}").checkpoint(eager=True)
         order_key = hs.keys[-1]
-        rows = surrogate_keys(stamped, order_key, spec.surrogate_key, start=high_water_mark(target, spec.surrogate_key))
+        n, hwm = count_and_high_water(stamped, target, spec.surrogate_key)
+        rows = surrogate_keys(stamped, order_key, spec.surrogate_key, start=hwm, total=n)
         rows = rows.select(*target.columns)
-        frames["next_state"] = supersede(target.unionByName(rows), hs, ctx, f"{ctx.job}-{spec.entity}", touched=rows)
+        frames["next_state"] = supersede(target.unionByName(rows), hs, ctx, f"{ctx.job}-{spec.entity}",
+                                         touched=rows, touched_rows=n)
         loaded = rows
 
     stage = (tagged(frames["src_file"], "SOURCE").unionByName(tagged(frames["src"], "FILTERED_IN"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dimforge.context import RunContext
 from dimforge.functions.columns import derived_status, first_seen, safe_date, sticky, when_codes
 from dimforge.operators import quality
-from dimforge.operators.keys import high_water_mark, latest_per_key, surrogate_keys
+from dimforge.operators.keys import count_and_high_water, latest_per_key, surrogate_keys
 from dimforge.operators.lookup import Lookup, enrich
 from dimforge.operators.schema import blank_to_null
 from dimforge.operators.scd_hash import (HashScd2Spec, active, changed_or_new, identify, inactivation_rows,
@@ -130,26 +130,39 @@ def number_versions(stamped: DataFrame, target: DataFrame, buckets: int | None =
     touched-key probe and the next state all read them, and each read would
     otherwise rerun the lookups.
     """
+    return number_versions_counted(stamped, target, buckets)[0]
+
+
+def number_versions_counted(stamped: DataFrame, target: DataFrame, buckets: int | None = None
+                            ) -> tuple[DataFrame, int]:
+    """``number_versions`` plus the number of versions (one job counts the
+    rows and reads the high-water mark)."""
     stamped = stamped.checkpoint(eager=True)
-    numbered = surrogate_keys(stamped, "plcy_mastr_id", SPEC.sk, start=high_water_mark(target, SPEC.sk),
-                              buckets=buckets)
-    return numbered.select(*TARGET_COLUMNS)
+    n, hwm = count_and_high_water(stamped, target, SPEC.sk)
+    numbered = surrogate_keys(stamped, "plcy_mastr_id", SPEC.sk, start=hwm, buckets=buckets, total=n)
+    return numbered.select(*TARGET_COLUMNS), n
 
 
 def new_versions(ident: DataFrame, target: DataFrame, ctx: RunContext, buckets: int | None = None) -> DataFrame:
     return number_versions(version_rows(ident, ctx), target, buckets)
 
 
-def next_state(target: DataFrame, versions: DataFrame, ctx: RunContext) -> DataFrame:
+def new_versions_counted(ident: DataFrame, target: DataFrame, ctx: RunContext, buckets: int | None = None
+                         ) -> tuple[DataFrame, int]:
+    return number_versions_counted(version_rows(ident, ctx), target, buckets)
+
+
+def next_state(target: DataFrame, versions: DataFrame, ctx: RunContext, n_versions: int | None = None
+               ) -> DataFrame:
     """Target plus the new versions, older active versions of the touched keys closed."""
     return supersede(target.select(*TARGET_COLUMNS).unionByName(versions), SPEC, ctx, f"{ctx.job}-{ENTITY}",
-                     touched=versions)
+                     touched=versions, touched_rows=n_versions)
 
 
 def full_file_changes(target: DataFrame, ident: DataFrame, batch_keys: DataFrame, ctx: RunContext,
-                      buckets: int | None = None) -> DataFrame:
+                      buckets: int | None = None) -> tuple[DataFrame, int]:
     """Full file: new versions plus an inactivation version ('D') for every
-    active key missing from the file, numbered together."""
+    active key missing from the file, numbered together; with their count."""
     gone = inactivation_rows(target.select(*TARGET_COLUMNS), batch_keys, SPEC, ctx, f"{ctx.job}-{ENTITY}")
     stamped = version_rows(ident, ctx).unionByName(gone.select(*version_rows(ident, ctx).columns))
-    return number_versions(stamped, target, buckets)
+    return number_versions_counted(stamped, target, buckets)

@@ -425,15 +425,16 @@ def _policy_versions(spark, sf_dir):
     from dimforge.plans import policy
 
     target = fx.ods_plcy_detl(spark, sf_dir)
-    return target, policy.new_versions(_policy_ident(spark, sf_dir), target, CTX)
+    versions, n = policy.new_versions_counted(_policy_ident(spark, sf_dir), target, CTX)
+    return target, versions, n
 
 
 @query("scd2_hash_next_state")
 def q_scd2_hash_next_state(spark, sf_dir):
     from dimforge.plans import policy
 
-    target, versions = _policy_versions(spark, sf_dir)
-    return policy.next_state(target, versions, CTX)
+    target, versions, n = _policy_versions(spark, sf_dir)
+    return policy.next_state(target, versions, CTX, n)
 
 
 @query("supersede_expire")
@@ -441,9 +442,9 @@ def q_supersede_expire(spark, sf_dir):
     from dimforge.operators.scd_hash import superseded
     from dimforge.plans import policy
 
-    target, versions = _policy_versions(spark, sf_dir)
+    target, versions, n = _policy_versions(spark, sf_dir)
     state = target.select(*policy.TARGET_COLUMNS).unionByName(versions)
-    return superseded(state, policy.SPEC, CTX, f"{CTX.job}-{policy.ENTITY}", touched=versions)
+    return superseded(state, policy.SPEC, CTX, f"{CTX.job}-{policy.ENTITY}", touched=versions, touched_rows=n)
 
 
 @query("scd2_rollback")
@@ -452,8 +453,8 @@ def q_scd2_rollback(spark, sf_dir):
     from dimforge.operators.scd_hash import rollback
     from dimforge.plans import policy
 
-    target, versions = _policy_versions(spark, sf_dir)
-    return rollback(policy.next_state(target, versions, CTX), policy.SPEC, CTX)
+    target, versions, n = _policy_versions(spark, sf_dir)
+    return rollback(policy.next_state(target, versions, CTX, n), policy.SPEC, CTX)
 
 
 @query("full_file_inactivate")
@@ -463,8 +464,8 @@ def q_full_file_inactivate(spark, sf_dir):
     target = fx.ods_plcy_detl(spark, sf_dir)
     ident = _policy_ident(spark, sf_dir)
     matched, _ = policy.split_unmatched(_policy_lkp(spark, sf_dir))
-    changes = policy.full_file_changes(target, ident, matched.select(*policy.SPEC.keys), CTX, buckets=3)
-    return policy.next_state(target, changes, CTX)
+    changes, n = policy.full_file_changes(target, ident, matched.select(*policy.SPEC.keys), CTX, buckets=3)
+    return policy.next_state(target, changes, CTX, n)
 
 
 @query("error_log")
