@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimforge.session import reliable_checkpoint
+
 BUCKET = "_sk_bucket"
 
 
@@ -124,7 +126,7 @@ def surrogate_keys(df: DataFrame, key: str, sk: str, start: int = 0, buckets: in
         buckets = math.ceil(total / rows_per_bucket) if total else 1
     if total == 0 or buckets <= 1:
         return assign_surrogate_keys(df, KeyPlan(key, (), (0,), total), sk, start)
-    df = df.checkpoint(eager=True)
+    df = reliable_checkpoint(df)
     return assign_surrogate_keys(df, plan_surrogate_keys(df, key, buckets, total=total), sk, start)
 
 

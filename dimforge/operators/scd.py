@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from dimforge.context import RunContext
 from dimforge.functions.columns import changed_any
 from dimforge.operators.keys import assign_surrogate_keys, plan_surrogate_keys
+from dimforge.session import reliable_checkpoint
 
 NEW, CHANGED, UNCHANGED, ABSENT = "NEW", "CHANGED", "UNCHANGED", "ABSENT"
 
@@ -215,7 +216,7 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
     _, small = broadcast_if_small(incoming.select(spec.key), max_broadcast_batch_rows)
     joined = scd2_join(incoming, cur, spec, broadcast_batch=small)
     if checkpoint:
-        joined = joined.checkpoint(eager=True)
+        joined = reliable_checkpoint(joined)
     stats = load_stats(joined, target, spec)
     if stats["duplicate_keys"] and duplicates == "halt":
         from dimforge.operators.quality import guard_no_duplicates

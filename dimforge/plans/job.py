@@ -30,6 +30,7 @@ from dimforge.operators.audit import audit_row, outcome_counts, tagged
 from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
 from dimforge.operators.scd_hash import HashScd2Spec, active, changed_or_new, identify, open_versions, supersede
 from dimforge.operators.upsert import insert_only, type1_join, type1_next_state, type1_route
+from dimforge.session import reliable_checkpoint
 
 StepFn = Callable[[Mapping[str, DataFrame], RunContext], DataFrame]
 FILE_TYPES = ("event", "time", "maint", "full")
@@ -143,7 +144,7 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         ident = identify(lkp, active(target, hs), hs, carry=spec.carry)
         frames["sink"] = changed_or_new(ident, hs)
         sel = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else frames["sink"]
-        stamped = open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}").checkpoint(eager=True)
+        stamped = reliable_checkpoint(open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}"))
         order_key = hs.keys[-1]
         n, hwm = count_and_high_water(stamped, target, spec.surrogate_key)
         rows = surrogate_keys(stamped, order_key, spec.surrogate_key, start=hwm, total=n)

@@ -12,6 +12,7 @@ from dimforge.operators import quality
 from dimforge.operators.keys import count_and_high_water, latest_per_key, surrogate_keys
 from dimforge.operators.lookup import Lookup, enrich
 from dimforge.operators.schema import blank_to_null
+from dimforge.session import reliable_checkpoint
 from dimforge.operators.scd_hash import (HashScd2Spec, active, changed_or_new, identify, inactivation_rows,
                                          open_versions, supersede)
 
@@ -137,7 +138,7 @@ def number_versions_counted(stamped: DataFrame, target: DataFrame, buckets: int
                             ) -> tuple[DataFrame, int]:
     """``number_versions`` plus the number of versions (one job counts the
     rows and reads the high-water mark)."""
-    stamped = stamped.checkpoint(eager=True)
+    stamped = reliable_checkpoint(stamped)
     n, hwm = count_and_high_water(stamped, target, SPEC.sk)
     numbered = surrogate_keys(stamped, "plcy_mastr_id", SPEC.sk, start=hwm, buckets=buckets, total=n)
     return numbered.select(*TARGET_COLUMNS), n

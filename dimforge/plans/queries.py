@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from dimforge.context import DEFAULT_CONTEXT as CTX
 from dimforge.operators.scd import ABSENT, classify, current_rows, scd2_join
 from dimforge.plans import account, fixtures as fx
+from dimforge.session import reliable_checkpoint
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,7 +131,7 @@ def q_rerun_is_noop(spark, sf_dir):
 
     staged, target = _account(spark, sf_dir)
     _, first = account.load_account(target, staged, CTX)
-    state = first.next_state().checkpoint(eager=True)
+    state = reliable_checkpoint(first.next_state())
     if already_loaded(state, account.ACCOUNT_SPEC, CTX):
         return state
     _, second = account.load_account(state, staged, CTX)

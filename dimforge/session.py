@@ -73,3 +73,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if path.startswith("/"):
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder.
+
+    Cuts the lineage so later actions read the written files, and a lost
+    executor costs a re-read, not a recomputation.  The folder comes from the
+    session (``ensure_checkpoint_dir``); never a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
