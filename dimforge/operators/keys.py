@@ -11,7 +11,8 @@ bucket) and cut range boundaries from the sorted sample, 3. count rows per
 bucket (one row per bucket comes back).
 
 The numbering itself is one window per bucket (``partitionBy(bucket)``), plus
-the bucket's offset read from a literal array.  Because boundaries and offsets
+the bucket's offset read from a literal array.  The bucket of a key is a
+binary search over the boundaries (one array literal, one SQL expression).  Because boundaries and offsets
 are literals, re-evaluating the frame after an executor loss gives the same
 numbers.  The key must be unique and non-NULL (dedup first).
 """
@@ -40,17 +41,67 @@ class KeyPlan:
     total: int
 
 
-def _bucket_expr(key: Column, boundaries: Sequence, lo: int = 0, hi: int | None = None) -> Column:
-    """Index of the first boundary greater than ``key`` (a balanced CASE tree,
-    about log2(#boundaries) comparisons per row)."""
-    if hi is None:
-        hi = len(boundaries)
+BOUNDS = "_sk_bounds"
+
+
+def _search_sql(key: str, lo: int, hi: int) -> str:
+    """Binary search over the array column ``BOUNDS`` as one SQL expression:
+    the index of the first boundary greater than ``key``.  Only array
+    positions appear in the text, never key values."""
     if lo >= hi:
-        return F.lit(lo)
+        return str(lo)
     mid = (lo + hi) // 2
-    return F.when(key < F.lit(boundaries[mid]), _bucket_expr(key, boundaries, lo, mid)).otherwise(
-        _bucket_expr(key, boundaries, mid + 1, hi)
-    )
+    return (f"CASE WHEN {key} < element_at({BOUNDS}, {mid + 1}) THEN {_search_sql(key, lo, mid)} "
+            f"ELSE {_search_sql(key, mid + 1, hi)} END")
+
+
+TREE_MAX_BOUNDARIES = 63  # above this the unrolled tree outgrows a generated method
+
+
+def _loop_search_sql(key: str, n: int) -> str:
+    """The same binary search as a fixed-size loop (``aggregate`` over the
+    steps), so the expression does not grow with the number of boundaries."""
+    steps = max(1, math.ceil(math.log2(n + 1)))
+    mid = "cast((s.lo + s.hi) div 2 as int)"
+    step = (f"CASE WHEN s.lo >= s.hi THEN s "
+            f"WHEN {key} < element_at({BOUNDS}, {mid} + 1) THEN named_struct('lo', s.lo, 'hi', {mid}) "
+            f"ELSE named_struct('lo', cast({mid} + 1 as int), 'hi', s.hi) END")
+    return (f"aggregate(sequence(1, {steps}), named_struct('lo', cast(0 as int), 'hi', cast({n} as int)), "
+            f"(s, i) -> {step}, "
+            f"s -> s.lo)")
+
+
+def _with_bucket(df: DataFrame, key: str, boundaries: Sequence) -> DataFrame:
+    """Add ``BUCKET``: about log2(#boundaries) comparisons per row.  The
+    boundaries travel as one array literal; the search is one expression
+    (an unrolled tree for few boundaries, a loop for many)."""
+    if not boundaries:
+        return df.withColumn(BUCKET, F.lit(0))
+    quoted = "`" + key.replace("`", "``") + "`"
+    n = len(boundaries)
+    search = _search_sql(quoted, 0, n) if n <= TREE_MAX_BOUNDARIES else _loop_search_sql(quoted, n)
+    return (df.withColumn(BOUNDS, _array_literal(boundaries))
+            .withColumn(BUCKET, F.expr(search).cast("int"))
+            .drop(BOUNDS))
+
+
+def _sql_literal(v) -> str | None:
+    if isinstance(v, bool):
+        return None
+    if isinstance(v, int):
+        return f"{v}L"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return None
+
+
+def _array_literal(values: Sequence) -> Column:
+    """Array literal in one call for text and integer keys (one SQL literal),
+    element by element otherwise."""
+    parts = [_sql_literal(v) for v in values]
+    if all(p is not None for p in parts):
+        return F.expr("array(" + ", ".join(parts) + ")")
+    return F.lit(list(values))
 
 
 ROWS_PER_BUCKET = 2_000_000
@@ -88,8 +139,7 @@ def plan_surrogate_keys(df: DataFrame, key: str, buckets: int | None = None,
     boundaries = tuple(cuts)
     counts = dict(
         (r[BUCKET], r["n"])
-        for r in keys.select(_bucket_expr(F.col("k"), boundaries).alias(BUCKET))
-        .groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in _with_bucket(keys, "k", boundaries).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
     )
     offsets, running = [], 0
     for b in range(len(boundaries) + 1):
@@ -101,11 +151,10 @@ def plan_surrogate_keys(df: DataFrame, key: str, buckets: int | None = None,
 def assign_surrogate_keys(df: DataFrame, plan: KeyPlan, sk: str, start: int = 0) -> DataFrame:
     """Lazy numbering with a frozen plan: ``sk = start + global rank of key``."""
     key = F.col(plan.key)
-    bucket = _bucket_expr(key, plan.boundaries)
-    offsets = F.array(*[F.lit(o).cast("bigint") for o in plan.offsets])
+    offsets = F.lit([int(o) for o in plan.offsets]).cast("array<bigint>")
     w = Window.partitionBy(BUCKET).orderBy(key)
     return (
-        df.withColumn(BUCKET, bucket)
+        _with_bucket(df, plan.key, plan.boundaries)
         .withColumn(sk, (F.lit(start).cast("bigint") + F.element_at(offsets, F.col(BUCKET) + 1)
                          + F.row_number().over(w).cast("bigint")))
         .drop(BUCKET)

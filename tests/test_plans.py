@@ -83,3 +83,17 @@ def test_typed_scan_prunes_columns_and_pushes_filters(spark, sf_dir):
     text = df.where(F.col("o_orderstatus") == "O")._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in text
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)]" in text
+
+
+def test_numbering_with_many_buckets_and_awkward_keys(spark):
+    """Over 63 boundaries the bucket search is a loop (no code-size limit);
+    keys with quotes, backslashes and other text survive the array literal."""
+    specials = ["it's", "back\\slash", 'dq"', "new\nline", "ünï", "'", "\\", "a'b\\c"]
+    keys = [f"{s}{i:05d}" for i in range(2500) for s in (specials[i % len(specials)],)]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    ours = {r.k: r.sk for r in surrogate_keys(df, "k", "sk", buckets=100).collect()}
+    ref = {r.k: r.sk for r in df.select("k", F.row_number().over(Window.orderBy("k")).alias("sk")).collect()}
+    assert ours == ref
+    nums = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"))
+    got = {r.k: r.sk for r in surrogate_keys(nums, "k", "sk", buckets=90).collect()}
+    assert all(got[k] == k + 1 for k in got)
