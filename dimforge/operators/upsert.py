@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
 from dimforge.functions.columns import row_hash
+from dimforge.operators.joins import batch_is_small, with_match, without_match
 from dimforge.operators.keys import latest_per_key
 
 
@@ -20,32 +21,47 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def insert_only(batch: DataFrame, current: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def insert_only(batch: DataFrame, current: DataFrame, key: str | Sequence[str], small: bool | None = None
+                ) -> DataFrame:
     """Batch rows whose key is not in the target (``left_anti``).
 
     Written as left join + ``IS NULL`` the optimizer keeps an outer join plus a
     filter; the anti join emits nothing for matched keys.  NULL key parts never
-    match, so reject NULL keys before this step.
+    match, so reject NULL keys before this step.  A batch proven small
+    (``small``, probed when None) is broadcast and the target is not shuffled
+    (``joins.without_match``).
     """
     keys = _keys(key)
-    return batch.join(current.select(*keys), keys, "left_anti")
+    if small is None:
+        small = batch_is_small(batch, keys)
+    return without_match(batch, current, keys, small)
 
 
 # ------------------------------------------------------------------ type 1
 
 
-def type1_join(batch: DataFrame, target: DataFrame, key: str | Sequence[str], tracked: Sequence[str]) -> DataFrame:
+def type1_join(batch: DataFrame, target: DataFrame, key: str | Sequence[str], tracked: Sequence[str],
+               small: bool | None = None) -> DataFrame:
     """One full outer join of batch and target with an ``insert_update_flg``:
     'I' key absent from the target, 'U' hash of tracked columns differs,
     'N' unchanged, NULL for target rows the batch does not touch.
 
     The hash is ``row_hash`` (NULL equals '', case-blind), computed on both sides.
+    A batch proven small is broadcast and the target streams (no shuffle of
+    the table); otherwise a full outer join shuffles both sides.
     """
     keys = _keys(key)
     b = batch.withColumn("_hash", row_hash(list(tracked))).withColumn("_in", F.lit(True))
     t = target.select(*keys, *[F.col(c).alias(f"_tgt_{c}") for c in target.columns if c not in keys])
     t = t.withColumn("_tgt_hash", row_hash([f"_tgt_{c}" for c in tracked])).withColumn("_tgt_in", F.lit(True))
-    j = b.join(t, keys, "full_outer")
+    if small is None:
+        small = batch_is_small(batch, keys)
+    if small:
+        # the target streams past the broadcast batch; new keys from two small frames
+        kept = t.join(F.broadcast(b), keys, "left")
+        j = kept.unionByName(without_match(b, target, keys, True), allowMissingColumns=True)
+    else:
+        j = b.join(t, keys, "full_outer")
     flag = (F.when(F.col("_in").isNull(), F.lit(None).cast("string"))
             .when(F.col("_tgt_in").isNull(), F.lit("I"))
             .when(~F.col("_hash").eqNullSafe(F.col("_tgt_hash")), F.lit("U"))
@@ -103,22 +119,28 @@ def held_update_split(held: DataFrame, current: DataFrame, key: str | Sequence[s
     ``held`` must be unique on the key (dedup first).
     """
     keys = _keys(key)
+    small = batch_is_small(held, keys)
     h = held.select(*keys, *[F.col(m).alias(f"_new_{m}") for m in measures])
-    matched = current.join(h, keys, "inner")
+    matched = current.join(F.broadcast(h) if small else h, keys, "inner")
     updated = matched.select(*[
         (F.col(f"_new_{c}").alias(c) if c in measures
          else F.lit(modified_by).alias(c) if c == "mdfd_by"
          else F.col(c))
         for c in current.columns
     ])
-    inserts = held.join(current.select(*keys), keys, "left_anti").withColumn(code, F.lit(insert_code))
+    inserts = without_match(held, current, keys, small).withColumn(code, F.lit(insert_code))
     return updated, inserts
 
 
 def apply_updates(target: DataFrame, updated: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Target with rows replaced by ``updated`` on the key (one anti join + union)."""
+    """Target with rows replaced by ``updated`` on the key (one anti join + union).
+    The replaced keys are batch-sized: broadcast when proven small, so the
+    target streams through."""
     keys = _keys(key)
-    return target.join(updated.select(*keys), keys, "left_anti").unionByName(updated)
+    upd = updated.select(*keys)
+    if batch_is_small(upd, keys):
+        upd = F.broadcast(upd)
+    return target.join(upd, keys, "left_anti").unionByName(updated)
 
 
 # --------------------------------------------------------------- reversals
@@ -136,10 +158,10 @@ def reversal_rows(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
     stamped with this batch.
     """
     keys = _keys(key)
-    hit = batch.where(F.col(code).isin(list(trigger_codes))).select(*keys).distinct()
-    candidates = target.where(
+    hit = batch.where(F.col(code).isin(list(trigger_codes))).select(*keys)
+    candidates = with_match(target.where(
         ~F.col(code).eqNullSafe(F.lit(reversal_code)) & ~F.col(batch_col).eqNullSafe(ctx.batch_id_col())
-    ).join(hit, keys, "left_semi")
+    ), hit, keys, batch_is_small(hit, keys))
     latest = latest_per_key(candidates, keys, [F.col(id_col).desc()])
     return latest.select(*[
         (F.lit(None).cast(target.schema[c].dataType).alias(c) if c == id_col

@@ -58,3 +58,19 @@ def test_insert_only_skips_existing_keys(spark):
     b = spark.createDataFrame([("s", "1"), ("s", "2")], "sys string, n string")
     c = spark.createDataFrame([("s", "1", 7)], "sys string, n string, id int")
     assert [r.n for r in insert_only(b, c, ["sys", "n"]).collect()] == ["2"]
+
+
+def test_broadcast_and_shuffle_paths_agree(spark):
+    tgt = spark.createDataFrame([(f"k{i}", f"v{i % 7}", None, None) for i in range(300)],
+                                "k string, v string, mdfd_by string, mdfd_dt timestamp_ntz")
+    batch = spark.createDataFrame([(f"k{i}", f"v{i % 5}") for i in range(250, 400)], "k string, v string")
+    a = sorted(insert_only(batch, tgt, "k", small=True).collect())
+    b = sorted(insert_only(batch, tgt, "k", small=False).collect())
+    assert a == b and len(a) == 100
+    ja = type1_join(batch, tgt, "k", ["v"], small=True)
+    jb = type1_join(batch, tgt, "k", ["v"], small=False)
+    na = sorted(type1_next_state(ja, tgt.columns, "k", ["v"], CTX, "x").collect())
+    nb = sorted(type1_next_state(jb, tgt.columns, "k", ["v"], CTX, "x").collect())
+    assert na == nb and len(na) == 400
+    plan = insert_only(batch, tgt, "k", small=True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
