@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
 
-# Rejection reason codes and error-log codes.
+# Rejection reason codes and error-log codes (no master row
+# for the account, code missing from its master, unexpected code, failed rule).
 NULL_NATURAL_KEY = "NULL_NATURAL_KEY"
 INVALID_REVENUE_CAST = "INVALID_REVENUE_CAST"
+EC_NO_MASTER = "EC_25"
 EC_NEW_CODE = "EC_26"
 EC_UNEXPECTED_CODE = "EC_27"
 EC_RULE_FAILED = "EC_28"
@@ -105,7 +107,10 @@ def missing_codes(batch: DataFrame, code: str, master: DataFrame, master_code: s
     Anti join first (the master side is the small one), then a hash aggregate
     on the code: one output row per missing code, never a list in one row.
     """
-    missing = batch.join(master.select(F.col(master_code).alias(code)).distinct(), code, "left_anti")
+    from dimforge.operators.lookup import broadcast_if_small
+
+    codes, _ = broadcast_if_small(master.select(F.col(master_code).alias(code)).distinct())
+    missing = batch.join(codes, code, "left_anti")
     return missing.where(F.col(code).isNotNull()).groupBy(code).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -145,8 +150,11 @@ def reason_summary(violations: DataFrame) -> DataFrame:
 
 def exclude_keys(df: DataFrame, bad: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not among the failing keys (anti join on distinct keys)."""
+    from dimforge.operators.lookup import broadcast_if_small
+
     keys = _keys(key)
-    return df.join(bad.select(*keys).distinct(), keys, "left_anti")
+    bad_keys, _ = broadcast_if_small(bad.select(*keys).distinct())
+    return df.join(bad_keys, keys, "left_anti")
 
 
 def error_log_rows(df: DataFrame, ctx: RunContext, error_code: str, file_name: str, target_table: str,

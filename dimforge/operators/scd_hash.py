@@ -49,9 +49,16 @@ def identify(batch: DataFrame, current: DataFrame, spec: HashScd2Spec,
 
     Adds ``tgt_<sk>``, ``tgt_<flag>``, ``tgt_<hash>`` and every target column as
     ``tgt_<col>``; ``carry(joined)`` may return column overrides computed from
-    both sides (carry-forward rules) before the hash is taken.
+    both sides (carry-forward rules) before the hash is taken.  A batch proven
+    small first restricts the target to its keys (broadcast semi join).
     """
+    from dimforge.operators.joins import batch_is_small, with_match
+
     keys = list(spec.keys)
+    if batch_is_small(batch, keys):
+        # only the batch's keys are read from the target: it streams past the
+        # broadcast batch keys instead of being shuffled
+        current = with_match(current, batch, keys, True)
     t = current.select(*[F.col(k).alias(f"_jk_{k}") for k in keys],
                        *[F.col(c).alias(f"tgt_{c}") for c in current.columns])
     cond = None

@@ -18,6 +18,7 @@ parameters ``:batch_id``, ``:batch_date``, ``:batch_ts``, ``:job``,
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -47,7 +48,11 @@ class Step:
             return self.fn(frames, ctx)
         params = {"batch_id": ctx.batch_id, "batch_date": ctx.batch_date, "batch_ts": ctx.batch_ts,
                   "job": ctx.job, "source_system": ctx.source_system}
-        used = {k: v for k, v in frames.items() if "{" + k + "}" in self.sql}
+        wanted = set(re.findall(r"\{([A-Za-z_][A-Za-z0-9_]*)\}", self.sql))
+        unknown = sorted(wanted - set(frames))
+        if unknown:
+            raise ValueError(f"step {self.name!r} refers to frames not built yet: {unknown}")
+        used = {k: frames[k] for k in wanted}
         named = {k: v for k, v in params.items() if f":{k}" in self.sql}
         return spark.sql(self.sql, args=named, **used)
 

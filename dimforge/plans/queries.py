@@ -473,14 +473,14 @@ def q_full_file_inactivate(spark, sf_dir):
 def q_error_log(spark, sf_dir):
     """Error-log rows: accounts without a policy (EC_25) and trades whose
     transaction code is missing from the master (EC_26)."""
-    from dimforge.operators.quality import error_log_rows
+    from dimforge.operators.quality import EC_NEW_CODE, EC_NO_MASTER, error_log_rows
     from dimforge.plans import policy
 
     _, unmatched = policy.split_unmatched(_policy_lkp(spark, sf_dir))
     stg = fx.stg_trade(spark, sf_dir)
     missing = stg.join(fx.trx_mastr(spark).select("trx_cd"), "trx_cd", "left_anti")
-    a = error_log_rows(unmatched, CTX, "EC_25", "STG_TRADE", "plcy_detl", "acct_num", ["src_sys", "acct_num"])
-    b = error_log_rows(missing, CTX, "EC_26", "STG_TRADE", "invstmt_fund_trx", "trade_id",
+    a = error_log_rows(unmatched, CTX, EC_NO_MASTER, "STG_TRADE", "plcy_detl", "acct_num", ["src_sys", "acct_num"])
+    b = error_log_rows(missing, CTX, EC_NEW_CODE, "STG_TRADE", "invstmt_fund_trx", "trade_id",
                        ["acct_num", "trx_cd", "sc_trx_actn_cd"])
     return a.unionByName(b)
 

@@ -41,3 +41,17 @@ def test_type1_spec_runs_through_operators(spark, sf_dir):
     flags = {r.insert_update_flg for r in res.frames["routed"].collect()}
     assert flags <= {"I", "U"}
     assert res.rows.where("mdfd_by = 'jb-account'").count() == res.frames["routed"].where("insert_update_flg = 'U'").count()
+
+
+def test_temp_steps_and_lookup_tables_are_visible_to_later_sql(spark, sf_dir):
+    spec = datasets.trade_policy_master(sf_dir)
+    spec.lookups = {"codes": lambda s: fx.trx_mastr(s)}
+    spec.source_filter = job.Step("src", sql="select src_sys, acct_num, trx_cd from {src_file}")
+    spec.temp_steps = [job.Step("known", sql="select s.* from {src} s left semi join {codes} c on s.trx_cd = c.trx_cd")]
+    spec.lookup = job.Step("lkp", sql=spec.lookup.sql.replace("{src}", "{known}"))
+    res = job.run(spark, spec, CTX, fx.ods_plcy_mastr(spark, sf_dir))
+    assert res.frames["known"].count() < res.frames["src_file"].count()
+    assert res.audit.first().balanced
+    spec.temp_steps = [job.Step("early", sql="select * from {not_yet}")]
+    with pytest.raises(ValueError, match="not_yet"):
+        job.run(spark, spec, CTX, fx.ods_plcy_mastr(spark, sf_dir))
