@@ -44,7 +44,8 @@ def active(target: DataFrame, spec: HashScd2Spec) -> DataFrame:
 
 
 def identify(batch: DataFrame, current: DataFrame, spec: HashScd2Spec,
-             carry: Callable[[DataFrame], dict[str, Column]] | None = None) -> DataFrame:
+             carry: Callable[[DataFrame], dict[str, Column]] | None = None, small: bool | None = None
+             ) -> DataFrame:
     """Left join the batch to the active version of its key and hash it.
 
     Adds ``tgt_<sk>``, ``tgt_<flag>``, ``tgt_<hash>`` and every target column as
@@ -55,7 +56,7 @@ def identify(batch: DataFrame, current: DataFrame, spec: HashScd2Spec,
     from dimforge.operators.joins import batch_is_small, with_match
 
     keys = list(spec.keys)
-    if batch_is_small(batch, keys):
+    if batch_is_small(batch, keys) if small is None else small:
         # only the batch's keys are read from the target: it streams past the
         # broadcast batch keys instead of being shuffled
         current = with_match(current, batch, keys, True)

@@ -109,17 +109,19 @@ def hold_updates(batch: DataFrame, code: str, held: str = "U") -> tuple[DataFram
 
 
 def held_update_split(held: DataFrame, current: DataFrame, key: str | Sequence[str], measures: Sequence[str],
-                      ctx: RunContext, modified_by: str, code: str, insert_code: str = "O"
-                      ) -> tuple[DataFrame, DataFrame]:
+                      ctx: RunContext, modified_by: str, code: str, insert_code: str = "O",
+                      small: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Second pass over held rows against the target after the first pass.
 
     Returns (updated target rows, rows to insert).  A held row matching a
     current target row replaces its ``measures`` and sets ``mdfd_by``; a held
     row without a match is inserted with action ``insert_code``.
-    ``held`` must be unique on the key (dedup first).
+    ``held`` must be unique on the key (dedup first).  ``small``: the caller's
+    proof that ``held`` is small (probed when None).
     """
     keys = _keys(key)
-    small = batch_is_small(held, keys)
+    if small is None:
+        small = batch_is_small(held, keys)
     h = held.select(*keys, *[F.col(m).alias(f"_new_{m}") for m in measures])
     matched = current.join(F.broadcast(h) if small else h, keys, "inner")
     updated = matched.select(*[
@@ -132,13 +134,16 @@ def held_update_split(held: DataFrame, current: DataFrame, key: str | Sequence[s
     return updated, inserts
 
 
-def apply_updates(target: DataFrame, updated: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def apply_updates(target: DataFrame, updated: DataFrame, key: str | Sequence[str], small: bool | None = None
+                  ) -> DataFrame:
     """Target with rows replaced by ``updated`` on the key (one anti join + union).
     The replaced keys are batch-sized: broadcast when proven small, so the
     target streams through."""
     keys = _keys(key)
     upd = updated.select(*keys)
-    if batch_is_small(upd, keys):
+    if small is None:
+        small = batch_is_small(upd, keys)
+    if small:
         upd = F.broadcast(upd)
     return target.join(upd, keys, "left_anti").unionByName(updated)
 
@@ -148,7 +153,8 @@ def apply_updates(target: DataFrame, updated: DataFrame, key: str | Sequence[str
 
 def reversal_rows(target: DataFrame, batch: DataFrame, key: str | Sequence[str], ctx: RunContext, *,
                   code: str, amount: str, id_col: str, link_col: str, batch_col: str,
-                  trigger_codes: Sequence[str] = ("C", "U"), reversal_code: str = "R") -> DataFrame:
+                  trigger_codes: Sequence[str] = ("C", "U"), reversal_code: str = "R",
+                  small: bool | None = None) -> DataFrame:
     """One reversing row per key the batch cancels or updates.
 
     For each key with a ``trigger_codes`` row in the batch, the latest target
@@ -161,7 +167,7 @@ def reversal_rows(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
     hit = batch.where(F.col(code).isin(list(trigger_codes))).select(*keys)
     candidates = with_match(target.where(
         ~F.col(code).eqNullSafe(F.lit(reversal_code)) & ~F.col(batch_col).eqNullSafe(ctx.batch_id_col())
-    ), hit, keys, batch_is_small(hit, keys))
+    ), hit, keys, batch_is_small(hit, keys) if small is None else small)
     latest = latest_per_key(candidates, keys, [F.col(id_col).desc()])
     return latest.select(*[
         (F.lit(None).cast(target.schema[c].dataType).alias(c) if c == id_col

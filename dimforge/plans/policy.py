@@ -105,9 +105,11 @@ def carry_forward(j: DataFrame) -> dict:
     }
 
 
-def identified(lkp: DataFrame, target: DataFrame) -> DataFrame:
+def identified(lkp: DataFrame, target: DataFrame, small: bool | None = None) -> DataFrame:
+    """Batch rows with a policy, joined to the active version (``small``: the
+    caller's bound on the batch, e.g. ``trade.staged_is_small``)."""
     matched, _ = split_unmatched(lkp)
-    return identify(matched, active(target, SPEC), SPEC, carry=carry_forward)
+    return identify(matched, active(target, SPEC), SPEC, carry=carry_forward, small=small)
 
 
 TARGET_COLUMNS = ("plcy_detl_id", "plcy_mastr_id", "src_sys", "plcy_iss_dt", "custdn_firm_nm", "plcy_status_id",

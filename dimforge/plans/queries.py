@@ -399,7 +399,10 @@ def q_policy_not_found(spark, sf_dir):
 def _policy_ident(spark, sf_dir):
     from dimforge.plans import policy
 
-    return policy.identified(_policy_lkp(spark, sf_dir), fx.ods_plcy_detl(spark, sf_dir))
+    from dimforge.plans.trade import staged_is_small
+
+    return policy.identified(_policy_lkp(spark, sf_dir), fx.ods_plcy_detl(spark, sf_dir),
+                             small=staged_is_small(fx.stg_trade(spark, sf_dir)))
 
 
 @query("carry_forward")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dimforge.context import RunContext
 from dimforge.operators import quality
 from dimforge.operators.keys import dedup_natural_key, latest_per_key
+from dimforge.operators.joins import batch_is_small
 from dimforge.operators.lookup import broadcast_if_small
 from dimforge.operators.schema import audit_insert_columns, rename, with_defaults
 from dimforge.operators.upsert import (apply_updates, held_update_split, hold_updates, insert_only,
@@ -38,6 +39,13 @@ def master_rows(stg: DataFrame) -> DataFrame:
     return with_defaults(mapped, MASTER_DEFAULTS)
 
 
+def staged_is_small(stg: DataFrame) -> bool:
+    """One bounded probe of the staging file.  Every batch-sized frame derived
+    from it (filters, dedup, unique lookups) has at most as many rows, so the
+    answer holds for all of them."""
+    return batch_is_small(stg.select(F.lit(1).alias("_one")), ["_one"])
+
+
 def insert_only_master(stg: DataFrame, master: DataFrame, ctx: RunContext, entity: str = "trade") -> DataFrame:
     """Policy-master rows to append: NULL keys out, one row per key, keys
     already in the target out, audit columns on."""
@@ -45,7 +53,7 @@ def insert_only_master(stg: DataFrame, master: DataFrame, ctx: RunContext, entit
     rows, _ = quality.split_null_keys(rows, list(MASTER_KEY))
     rows = dedup_natural_key(rows, list(MASTER_KEY))
     current = master.where(F.col("src_sys") == ctx.source_system)
-    new = insert_only(rows, current, list(MASTER_KEY))
+    new = insert_only(rows, current, list(MASTER_KEY), small=staged_is_small(stg))
     return audit_insert_columns(new, ctx, f"{ctx.job}-{entity}").select(*MASTER_OUTPUT)
 
 
@@ -70,7 +78,8 @@ def reversal_load(facts: DataFrame, stg: DataFrame, ctx: RunContext) -> DataFram
     after_first = facts.unionByName(trade_fact_rows(stg, ctx))
     batch = stg.select(*FACT_KEY, F.col("sc_trx_actn_cd").alias("actn_cd"))
     return reversal_rows(after_first, batch, list(FACT_KEY), ctx, code="actn_cd", amount="amount",
-                         id_col="trade_id", link_col="reversed_trade_id", batch_col="btch_id")
+                         id_col="trade_id", link_col="reversed_trade_id", batch_col="btch_id",
+                         small=staged_is_small(stg))
 
 
 # -------------------------------------------------------------- positions
@@ -97,13 +106,14 @@ def held_update_load(positions: DataFrame, stg: DataFrame, ctx: RunContext):
     inserted as 'O'.  Returns (pass-1 inserts, updated rows, 'O' inserts,
     next state).
     """
+    small = staged_is_small(stg)
     rows = position_rows(stg, ctx)
     first, held = hold_updates(rows, "actn_cd")
-    first_new = insert_only(first, positions, list(POSITION_KEY))
+    first_new = insert_only(first, positions, list(POSITION_KEY), small=small)
     after_first = positions.unionByName(first_new)
     updated, lone = held_update_split(held, after_first, list(POSITION_KEY), ["amount", "btch_id"], ctx,
-                                      f"{ctx.job}-asset", code="actn_cd")
-    next_state = apply_updates(after_first, updated, list(POSITION_KEY)).unionByName(lone)
+                                      f"{ctx.job}-asset", code="actn_cd", small=small)
+    next_state = apply_updates(after_first, updated, list(POSITION_KEY), small=small).unionByName(lone)
     return first_new, updated, lone, next_state
 
 
