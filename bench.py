@@ -72,7 +72,9 @@ def comparisons(spark, sf_dir: str) -> dict[str, float]:
         _run(j.where(F.col("t.plcy_mastr_id").isNull()).select("l.*"))
 
     out["insert_only_left_join_is_null"] = timed(left_join_is_null)
-    out["insert_only_left_anti"] = timed(lambda: _run(insert_only(rows, cur, list(trade.MASTER_KEY))))
+    out["insert_only_left_anti"] = timed(lambda: _run(insert_only(rows, cur, list(trade.MASTER_KEY), small=False)))
+    out["insert_only_broadcast_batch"] = timed(
+        lambda: _run(insert_only(rows, cur, list(trade.MASTER_KEY), small=True)))
 
     batch = account.prepare_batch(fx.stg_account(spark, sf_dir)).incoming
     joined = scd2_join(batch, current_rows(fx.ods_account(spark, sf_dir), account.ACCOUNT_SPEC), account.ACCOUNT_SPEC)
