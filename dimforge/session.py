@@ -15,6 +15,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files go away with the frames that use them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
