@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from dimforge.context import RunContext
 from dimforge.operators import quality
 from dimforge.operators.audit import audit_row, outcome_counts, tagged
+from dimforge.operators.joins import batch_is_small
 from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
 from dimforge.operators.scd_hash import HashScd2Spec, active, changed_or_new, identify, open_versions, supersede
 from dimforge.operators.upsert import insert_only, type1_join, type1_next_state, type1_route
@@ -113,7 +114,8 @@ class LoadResult:
 
 def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFrame,
         file_type: str = "time") -> LoadResult:
-    """Build the load's plan.  Actions: the dedup guard (policy ``halt``),
+    """Build the load's plan.  Actions: one probe of the staging frame (its
+    size bounds every batch-sized join), the dedup guard (policy ``halt``),
     the checked lookup probes and, for type 2, the checkpoint and numbering."""
     errors = validate(spec)
     if errors:
@@ -128,6 +130,8 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         frames[step.name] = step.run(spark, frames, ctx)
     lkp = spec.lookup.run(spark, frames, ctx)
     keys = list(spec.natural_key)
+    # one bounded probe of the staging frame bounds every batch-sized frame below
+    small = batch_is_small(frames["src_file"].select(F.lit(1).alias("_one")), ["_one"])
     if spec.duplicates == "halt":
         quality.guard_no_duplicates(lkp, keys)
     lkp, null_keys = quality.split_null_keys(lkp, keys)
@@ -135,18 +139,18 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
     frames["lkp"] = lkp
 
     if spec.load_type == 0:
-        sink = insert_only(lkp, target, keys)
+        sink = insert_only(lkp, target, keys, small=small)
         frames["sink"] = sink
         rows = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else sink
         loaded = rows
     elif spec.load_type == 1:
-        joined = type1_join(lkp, target, keys, list(spec.tracked))
+        joined = type1_join(lkp, target, keys, list(spec.tracked), small=small)
         frames["routed"] = type1_route(joined, lkp.columns)
         rows = type1_next_state(joined, target.columns, keys, list(spec.tracked), ctx, f"{ctx.job}-{spec.entity}")
         loaded = frames["routed"]
     else:
         hs = spec.hash_spec
-        ident = identify(lkp, active(target, hs), hs, carry=spec.carry)
+        ident = identify(lkp, active(target, hs), hs, carry=spec.carry, small=small)
         frames["sink"] = changed_or_new(ident, hs)
         sel = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else frames["sink"]
         stamped = reliable_checkpoint(open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}"))
