@@ -14,10 +14,16 @@ from pyspark.sql import functions as F
 from dimforge.functions.columns import row_hash
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
 _BUILT: dict[tuple, DataFrame] = {}
 
 
+def _session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: a new context (after ``stop``) never reuses
+    frames of an old one, even if Python reuses the object id."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def _once(fn):
     """Build a fixture frame once per session and scale: it is a pure function
     of read-only tables, so the plan object is reused (no data is cached)."""
@@ -25,7 +31,7 @@ def _once(fn):
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, *args):
-        key = (fn.__name__, id(spark), *args)
+        key = (fn.__name__, _session_key(spark), *args)
         if key not in _BUILT:
             _BUILT[key] = fn(spark, *args)
         return _BUILT[key]
@@ -37,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The given (read-only) test table; one reader per session and path, so
     the file listing and footer read happen once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (_session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
