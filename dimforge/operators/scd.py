@@ -218,6 +218,8 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
     if checkpoint:
         joined = reliable_checkpoint(joined)
     stats = load_stats(joined, target, spec)
+    if duplicates not in ("halt", "keep"):
+        raise ValueError(f"unknown duplicates policy {duplicates!r}")
     if stats["duplicate_keys"] and duplicates == "halt":
         from dimforge.operators.quality import guard_no_duplicates
 

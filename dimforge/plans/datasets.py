@@ -59,3 +59,19 @@ def policy_detail(sf_dir: str) -> DatasetSpec:
                                                              f["statuses"], ctx)),
         select_fields=Step("final", fn=lambda f, ctx: f["sink"].select(*policy.VERSION_COLUMNS)),
     )
+
+
+def account_versioned(sf_dir: str) -> DatasetSpec:
+    """Account batch -> account dimension, versioned by tracked columns."""
+    from dimforge.operators.quality import INVALID_REVENUE_CAST, Rule, bad_cast_condition
+    from dimforge.operators.schema import rename
+
+    return DatasetSpec(
+        name=account.SOURCE_TABLE, target_table="customer_account", load_type=2, natural_key=("customer_id",),
+        surrogate_key=account.ACCOUNT_SPEC.sk, entity="account", scd2_columns=account.ACCOUNT_SPEC,
+        duplicates="halt",
+        sources={"time": lambda spark: fx.stg_account(spark, sf_dir)},
+        reject_rules=[Rule(INVALID_REVENUE_CAST, bad_cast_condition("annual_revenue", "decimal(18,2)"))],
+        lookup=Step("lkp", fn=lambda f, ctx: rename(
+            f["src"].withColumn("revenue_usd", F.col("annual_revenue").try_cast("decimal(18,2)")), account.MAPPING)),
+    )

@@ -6,8 +6,11 @@ final projection; the load type picks the change logic:
 
 * 0 insert-only: rows whose natural key is not in the target;
 * 1 upsert in place: 'I' / 'U' by row hash, next state of the target;
-* 2 versioned by hash: changed or new rows as open versions, older active
-  versions of the touched keys closed.
+* 2 versioned: by hash (changed or new rows as open versions, older active
+  versions of the touched keys closed) or by columns (``scd2_apply``).
+
+Rows failing a ``reject_rules`` check are set aside (``frames['rejected_rows']``)
+and counted as rejected, like rows with a NULL natural key.
 
 A step is either a function ``(frames, ctx) -> DataFrame`` or Spark SQL.  SQL
 refers to earlier frames as ``{name}`` (passed to ``spark.sql`` as DataFrame
@@ -30,6 +33,7 @@ from dimforge.operators import quality
 from dimforge.operators.audit import audit_row, outcome_counts, tagged
 from dimforge.operators.joins import batch_is_small
 from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
+from dimforge.operators.scd import Scd2Spec, scd2_apply
 from dimforge.operators.scd_hash import HashScd2Spec, active, changed_or_new, identify, open_versions, supersede
 from dimforge.operators.upsert import insert_only, type1_join, type1_next_state, type1_route
 from dimforge.session import reliable_checkpoint
@@ -72,8 +76,10 @@ class DatasetSpec:
     lookups: dict[str, Callable[[SparkSession], DataFrame]] = field(default_factory=dict)
     temp_steps: Sequence[Step] = ()
     tracked: tuple[str, ...] = ()  # type 1: columns compared by hash
-    hash_spec: HashScd2Spec | None = None  # type 2
+    hash_spec: HashScd2Spec | None = None  # type 2 by hash
+    scd2_columns: Scd2Spec | None = None  # type 2 by columns (instead of hash_spec)
     carry: Callable | None = None  # type 2: carry-forward column rules
+    reject_rules: Sequence[quality.Rule] = ()  # rows of 'src' failing any rule are rejected
     entity: str = "load"
     duplicates: str = "keep_first"  # or 'halt'
     dedup_order: Sequence | None = None
@@ -93,8 +99,8 @@ def validate(spec: DatasetSpec) -> list[str]:
             errors.append(f"unknown file type {ft!r}")
     if spec.load_type == 1 and not spec.tracked:
         errors.append("type 1 needs tracked columns")
-    if spec.load_type == 2 and spec.hash_spec is None:
-        errors.append("type 2 needs a hash_spec")
+    if spec.load_type == 2 and (spec.hash_spec is None) == (spec.scd2_columns is None):
+        errors.append("type 2 needs exactly one of hash_spec or scd2_columns")
     if spec.load_type == 2 and not spec.surrogate_key:
         errors.append("type 2 needs a surrogate_key")
     if spec.duplicates not in ("keep_first", "halt"):
@@ -124,6 +130,16 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         raise ValueError(f"dataset {spec.name!r} has no {file_type!r} source")
     frames: dict[str, DataFrame] = {"src_file": spec.sources[file_type](spark), "curr": target}
     frames["src"] = spec.source_filter.run(spark, frames, ctx) if spec.source_filter else frames["src_file"]
+    filtered_in = frames["src"]
+    rule_rejects = filtered_in.limit(0)
+    if spec.reject_rules:
+        failed = None
+        for r in spec.reject_rules:
+            failed = r.failed if failed is None else (failed | r.failed)
+        failed = F.coalesce(failed, F.lit(False))
+        rule_rejects = filtered_in.where(failed)
+        frames["src"] = filtered_in.where(~failed)
+    frames["rejected_rows"] = rule_rejects
     for name, reader in spec.lookups.items():
         frames[name] = reader(spark)
     for step in spec.temp_steps:
@@ -132,9 +148,9 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
     keys = list(spec.natural_key)
     # one bounded probe of the staging frame bounds every batch-sized frame below
     small = batch_is_small(frames["src_file"].select(F.lit(1).alias("_one")), ["_one"])
+    lkp, null_keys = quality.split_null_keys(lkp, keys)  # NULL keys are rejects, not duplicates
     if spec.duplicates == "halt":
         quality.guard_no_duplicates(lkp, keys)
-    lkp, null_keys = quality.split_null_keys(lkp, keys)
     lkp = dedup_natural_key(lkp, keys, spec.dedup_order)
     frames["lkp"] = lkp
 
@@ -148,6 +164,13 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         frames["routed"] = type1_route(joined, lkp.columns)
         rows = type1_next_state(joined, target.columns, keys, list(spec.tracked), ctx, f"{ctx.job}-{spec.entity}")
         loaded = frames["routed"]
+    elif spec.scd2_columns is not None:
+        result = scd2_apply(target, lkp, spec.scd2_columns, ctx, duplicates="keep" if spec.duplicates != "halt"
+                            else "halt")
+        rows = result.inserts
+        frames["next_state"] = result.next_state()
+        frames["expired"] = result.expired
+        loaded = rows
     else:
         hs = spec.hash_spec
         ident = identify(lkp, active(target, hs), hs, carry=spec.carry, small=small)
@@ -162,7 +185,8 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
                                          touched=rows, touched_rows=n)
         loaded = rows
 
-    stage = (tagged(frames["src_file"], "SOURCE").unionByName(tagged(frames["src"], "FILTERED_IN"))
+    stage = (tagged(frames["src_file"], "SOURCE").unionByName(tagged(filtered_in, "FILTERED_IN"))
+             .unionByName(tagged(rule_rejects, "REJECTED"))
              .unionByName(tagged(null_keys, "REJECTED")).unionByName(tagged(lkp, "DEDUPED"))
              .unionByName(tagged(loaded, "LOADED")))
     counts = outcome_counts(stage, ["SOURCE", "FILTERED_IN", "REJECTED", "DEDUPED", "LOADED"])

@@ -542,3 +542,20 @@ from (select * from ods_trx union all select * from trade_facts_batch
       union all ({ORACLE["reversal_load"]})) f
 where btch_id = {BATCH_ID}
 group by src_sys, acct_num""", "ods_trx", "trade_facts_batch")
+
+ORACLE["job_versioned_columns"] = ORACLE["scd2_next_state"]
+ORACLE["job_versioned_columns_audit"] = sql(f"""
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'ENVISION' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
+       n_filtered + n_unchanged + n_duplicates as fltr_cnt, n_rejected as rej_cnt,
+       n_source = n_loaded + n_filtered + n_unchanged + n_duplicates + n_rejected as balanced,
+       {BATCH_TS} as start_ts, 'customer_account' as tgt_tbl_nm, 'STG_SALESFORCE_ACCOUNTS' as src_file_nm,
+       n_loaded, n_rejected, n_filtered, n_duplicates, n_unchanged
+from (select n_source, n_loaded, n_rejected, 0::bigint as n_filtered,
+             n_source - n_rejected - n_deduped as n_duplicates, n_deduped - n_loaded as n_unchanged
+      from (select (select count(*) from stg_account) as n_source,
+                   (select count(*) from stg_account where account_id is null
+                      or (annual_revenue is not null and try_cast(annual_revenue as decimal(18,2)) is null))
+                       as n_rejected,
+                   (select count(*) from acct_incoming) as n_deduped,
+                   (select count(*) from acct_inserts) as n_loaded) c) d""",
+    "stg_account", "acct_incoming", "acct_inserts")

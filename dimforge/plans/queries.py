@@ -654,3 +654,18 @@ def q_summary_load(spark, sf_dir):
     facts = trade.fact_with_batch(fx.ods_trx(spark, sf_dir), stg, CTX)
     facts = facts.unionByName(trade.reversal_load(fx.ods_trx(spark, sf_dir), stg, CTX))
     return trade.summary_load(facts, CTX)
+
+
+@query("job_versioned_columns")
+def q_job_versioned_columns(spark, sf_dir):
+    """The account dimension load run from its spec (type 2 by columns)."""
+    from dimforge.plans import datasets, job
+
+    return job.run(spark, datasets.account_versioned(sf_dir), CTX, fx.ods_account(spark, sf_dir)).frames["next_state"]
+
+
+@query("job_versioned_columns_audit")
+def q_job_versioned_columns_audit(spark, sf_dir):
+    from dimforge.plans import datasets, job
+
+    return job.run(spark, datasets.account_versioned(sf_dir), CTX, fx.ods_account(spark, sf_dir)).audit

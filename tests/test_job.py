@@ -55,3 +55,22 @@ def test_temp_steps_and_lookup_tables_are_visible_to_later_sql(spark, sf_dir):
     spec.temp_steps = [job.Step("early", sql="select * from {not_yet}")]
     with pytest.raises(ValueError, match="not_yet"):
         job.run(spark, spec, CTX, fx.ods_plcy_mastr(spark, sf_dir))
+
+
+def test_duplicate_policies_on_the_account_load(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from dimforge.operators.quality import DuplicateKeyError
+    from dimforge.plans import account
+
+    staged = fx.stg_account(spark, sf_dir)
+    dup = staged.where(F.col("account_id").isNotNull()).limit(3).withColumn(
+        "last_modified_date", F.col("last_modified_date") + F.expr("INTERVAL 1 DAY")).withColumn(
+        "account_name", F.lit("newer"))
+    batch = staged.unionByName(dup)
+    with pytest.raises(DuplicateKeyError):
+        account.load_account(fx.ods_account(spark, sf_dir), batch, CTX)
+    _, result = account.load_account(fx.ods_account(spark, sf_dir), batch, CTX, duplicates="keep_latest")
+    cur = result.next_state().where("is_current")
+    assert cur.groupBy("customer_id").count().where("count > 1").count() == 0
+    assert cur.where(F.col("customer_name") == "newer").count() == 3
