@@ -97,7 +97,9 @@ def load_account(target: DataFrame, staged: DataFrame, ctx: RunContext, duplicat
             [F.col("source_last_modified_date").desc_nulls_last(), F.col("customer_name").asc_nulls_last()])
     else:
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
-    result = scd2_apply(target, batch.incoming, ACCOUNT_SPEC, ctx, buckets=buckets, duplicates=duplicates)
+    # keys are unique after keep_latest; halt lets scd2_apply check the checkpointed join
+    result = scd2_apply(target, batch.incoming, ACCOUNT_SPEC, ctx, buckets=buckets,
+                        duplicates="halt" if duplicates == "halt" else "keep")
     return batch, result
 
 
