@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimforge.context import DEFAULT_CONTEXT as CTX
-from dimforge.operators.scd import ABSENT, classify, current_rows, scd2_join
+from dimforge.operators.scd import classify, current_rows, scd2_join
 from dimforge.plans import account, fixtures as fx
 from dimforge.session import reliable_checkpoint
 

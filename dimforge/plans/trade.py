@@ -11,7 +11,7 @@ from dimforge.operators import quality
 from dimforge.operators.keys import dedup_natural_key, latest_per_key
 from dimforge.operators.joins import batch_is_small
 from dimforge.operators.lookup import broadcast_if_small
-from dimforge.operators.schema import audit_insert_columns, rename, with_defaults
+from dimforge.operators.schema import audit_insert_columns, with_defaults
 from dimforge.operators.upsert import (apply_updates, held_update_split, hold_updates, insert_only,
                                        reversal_rows)
 
@@ -134,9 +134,6 @@ def fact_with_batch(facts: DataFrame, stg: DataFrame, ctx: RunContext) -> DataFr
     return facts.unionByName(trade_fact_rows(stg, ctx))
 
 
-__all__ = ["insert_only_master", "master_rows", "reversal_load", "held_update_load", "missing_trx_codes",
-           "rows_with_known_codes", "trade_fact_rows", "rename"]
-
 
 def summary_load(facts: DataFrame, ctx: RunContext) -> DataFrame:
     """Per-account transaction summary of one batch, read from the fact table

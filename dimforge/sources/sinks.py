@@ -14,7 +14,6 @@ snapshot completes leaves the previous one in force, so a rerun is safe.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dimforge.operators.schema import align_to_schema
@@ -72,6 +71,3 @@ def publish_versioned(root: str, batch_id: int, next_current: DataFrame, closed:
     closed.write.mode("overwrite").parquet(f"{root}/history/closed_by={batch_id}")
     next_current.write.mode("overwrite").parquet(f"{root}/current/v={batch_id}")
 
-
-def lit_batch(batch_id: int):
-    return F.lit(batch_id)
