@@ -14,6 +14,7 @@ from dimforge.operators.lookup import broadcast_if_small
 from dimforge.operators.schema import audit_insert_columns, with_defaults
 from dimforge.operators.upsert import (apply_updates, held_update_split, hold_updates, insert_only,
                                        reversal_rows)
+from dimforge.session import reliable_checkpoint
 
 MASTER_KEY = ("src_sys", "plcy_num")
 
@@ -107,7 +108,8 @@ def held_update_load(positions: DataFrame, stg: DataFrame, ctx: RunContext):
     next state).
     """
     small = staged_is_small(stg)
-    rows = position_rows(stg, ctx)
+    # batch-sized and read by both passes and every join below: computed once
+    rows = reliable_checkpoint(position_rows(stg, ctx))
     first, held = hold_updates(rows, "actn_cd")
     first_new = insert_only(first, positions, list(POSITION_KEY), small=small)
     after_first = positions.unionByName(first_new)
