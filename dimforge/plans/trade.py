@@ -111,7 +111,7 @@ def held_update_load(positions: DataFrame, stg: DataFrame, ctx: RunContext):
     # batch-sized and read by both passes and every join below: computed once
     rows = reliable_checkpoint(position_rows(stg, ctx))
     first, held = hold_updates(rows, "actn_cd")
-    first_new = insert_only(first, positions, list(POSITION_KEY), small=small)
+    first_new = reliable_checkpoint(insert_only(first, positions, list(POSITION_KEY), small=small))
     after_first = positions.unionByName(first_new)
     updated, lone = held_update_split(held, after_first, list(POSITION_KEY), ["amount", "btch_id"], ctx,
                                       f"{ctx.job}-asset", code="actn_cd", small=small)
