@@ -639,9 +639,9 @@ def q_job_type1(spark, sf_dir):
 
 @query("job_versioned_hash")
 def q_job_versioned_hash(spark, sf_dir):
-    from dimforge.plans import datasets, job
+    from dimforge.plans import datasets, job, policy
 
-    target = fx.ods_plcy_detl(spark, sf_dir).select(*__import__("dimforge.plans.policy", fromlist=["x"]).TARGET_COLUMNS)
+    target = fx.ods_plcy_detl(spark, sf_dir).select(*policy.TARGET_COLUMNS)
     return job.run(spark, datasets.policy_detail(sf_dir), CTX, target).frames["next_state"]
 
 

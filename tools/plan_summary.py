@@ -63,8 +63,7 @@ def _events(folder: str):
     for f in sorted(glob.glob(os.path.join(folder, "*", "events_*"))):
         raw = open(f, "rb").read()
         if f.endswith(".zstd"):
-            raw = zstandard.ZstdDecompressor().stream_reader(raw).read() if False else \
-                zstandard.ZstdDecompressor().decompressobj().decompress(raw)
+            raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
         for line in raw.decode().splitlines():
             yield json.loads(line)
 
