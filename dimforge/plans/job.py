@@ -7,7 +7,8 @@ final projection; the load type picks the change logic:
 * 0 insert-only: rows whose natural key is not in the target;
 * 1 upsert in place: 'I' / 'U' by row hash, next state of the target;
 * 2 versioned: by hash (changed or new rows as open versions, older active
-  versions of the touched keys closed) or by columns (``scd2_apply``).
+  versions of the touched keys closed; a ``full`` file also inactivates the
+  keys it lacks) or by columns (``scd2_apply``).
 
 Rows failing a ``reject_rules`` check are set aside (``frames['rejected_rows']``)
 and counted as rejected, like rows with a NULL natural key.
@@ -34,7 +35,8 @@ from dimforge.operators.audit import audit_row, outcome_counts, tagged
 from dimforge.operators.joins import batch_is_small
 from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
 from dimforge.operators.scd import Scd2Spec, scd2_apply
-from dimforge.operators.scd_hash import HashScd2Spec, active, changed_or_new, identify, open_versions, supersede
+from dimforge.operators.scd_hash import (HashScd2Spec, active, changed_or_new, identify, inactivation_rows,
+                                         open_versions, supersede)
 from dimforge.operators.upsert import insert_only, type1_join, type1_next_state, type1_route
 from dimforge.session import reliable_checkpoint
 
@@ -176,7 +178,13 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         ident = identify(lkp, active(target, hs), hs, carry=spec.carry, small=small)
         frames["sink"] = changed_or_new(ident, hs)
         sel = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else frames["sink"]
-        stamped = reliable_checkpoint(open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}"))
+        stamped = open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}")
+        if file_type == "full":
+            # a full file: active keys missing from it get an inactivation version
+            gone = inactivation_rows(target, lkp.select(*keys), hs, ctx, f"{ctx.job}-{spec.entity}")
+            frames["inactivated"] = gone
+            stamped = stamped.unionByName(gone.select(*stamped.columns))
+        stamped = reliable_checkpoint(stamped)
         order_key = hs.keys[-1]
         n, hwm = count_and_high_water(stamped, target, spec.surrogate_key)
         rows = surrogate_keys(stamped, order_key, spec.surrogate_key, start=hwm, total=n)

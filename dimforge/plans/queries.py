@@ -669,3 +669,12 @@ def q_job_versioned_columns_audit(spark, sf_dir):
     from dimforge.plans import datasets, job
 
     return job.run(spark, datasets.account_versioned(sf_dir), CTX, fx.ods_account(spark, sf_dir)).audit
+
+
+@query("job_full_file")
+def q_job_full_file(spark, sf_dir):
+    """The policy-detail spec run on a full file: keys absent from it are inactivated."""
+    from dimforge.plans import datasets, job, policy
+
+    target = fx.ods_plcy_detl(spark, sf_dir).select(*policy.TARGET_COLUMNS)
+    return job.run(spark, datasets.policy_detail(sf_dir), CTX, target, file_type="full").frames["next_state"]
