@@ -560,3 +560,4 @@ from (select n_source, n_loaded, n_rejected, 0::bigint as n_filtered,
                    (select count(*) from acct_inserts) as n_loaded) c) d""",
     "stg_account", "acct_incoming", "acct_inserts")
 ORACLE["job_full_file"] = ORACLE["full_file_inactivate"]
+ORACLE["job_insert_only_text"] = ORACLE["insert_only_load"]

@@ -678,3 +678,18 @@ def q_job_full_file(spark, sf_dir):
 
     target = fx.ods_plcy_detl(spark, sf_dir).select(*policy.TARGET_COLUMNS)
     return job.run(spark, datasets.policy_detail(sf_dir), CTX, target, file_type="full").frames["next_state"]
+
+
+@query("job_insert_only_text")
+def q_job_insert_only_text(spark, sf_dir):
+    """The trade file written as delimited text to the shared scratch folder,
+    then loaded insert-only from the text through the spec runner."""
+    from dimforge.plans import datasets, job
+    from dimforge.session import scratch_path
+    from dimforge.sources.scans import write_delimited
+
+    path = scratch_path(spark, "stg_trade_text")
+    write_delimited(fx.stg_trade(spark, sf_dir).select(*datasets.TRADE_FILE_COLUMNS), path, delimiter="|")
+    spec = datasets.trade_policy_master_from_text(path, sf_dir, delimiter="|")
+    target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
+    return job.run(spark, spec, CTX, target).rows
