@@ -191,6 +191,8 @@ def ods_plcy_detl(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_mod(k, 3) == 0, F.lit("1900-01-01").cast("date")).otherwise(F.lit("2023-05-01").cast("date")).alias("plcy_iss_dt"),
         F.when(_mod(k, 7) == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("custdn_firm_nm"),
         F.when(_mod(k, 2) == 0, F.lit(11)).otherwise(F.lit(12)).alias("plcy_status_id"),
+        F.when(_mod(k, 5) == 0, F.lit("1900-01-01").cast("date")).when(_mod(k, 5) == 1, F.lit(None).cast("date"))
+        .otherwise(F.lit("2023-06-01").cast("date")).alias("first_depst_dt"),
         F.lit("Y").alias("actv_indctr"),
         F.lit("2024-01-01").cast("date").alias("eff_from_dt"),
         F.lit("9999-12-31").cast("date").alias("eff_to_dt"),

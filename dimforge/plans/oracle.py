@@ -170,6 +170,8 @@ from (select cast(c_custkey + 9000 as bigint) as plcy_detl_id, cast(c_custkey +
              case when c_custkey % 3 = 0 then DATE '1900-01-01' else DATE '2023-05-01' end as plcy_iss_dt,
              case when c_custkey % 7 = 0 then null else c_mktsegment end as custdn_firm_nm,
              case when c_custkey % 2 = 0 then 11 else 12 end as plcy_status_id,
+             case when c_custkey % 5 = 0 then DATE '1900-01-01' when c_custkey % 5 = 1 then cast(null as date)
+                  else DATE '2023-06-01' end as first_depst_dt,
              'Y' as actv_indctr, DATE '2024-01-01' as eff_from_dt, DATE '9999-12-31' as eff_to_dt,
              cast(20240101 as decimal(19,0)) as btch_id, 'seed-trade' as crtd_by,
              TIMESTAMP '2024-01-01 00:00:00' as crtd_dt, cast(null as varchar) as mdfd_by,
@@ -235,7 +237,10 @@ from (select l.*, t.plcy_detl_id as tgt_plcy_detl_id, t.hash_key as tgt_hash_key
              case when t.plcy_detl_id is null or t.plcy_iss_dt is not distinct from DATE '1900-01-01'
                   then l.src_btch_dt else t.plcy_iss_dt end as plcy_iss_dt,
              case when t.plcy_detl_id is null then l.cust_custdn_firm_nm
-                  else coalesce(l.cust_custdn_firm_nm, t.custdn_firm_nm) end as custdn_firm_nm
+                  else coalesce(l.cust_custdn_firm_nm, t.custdn_firm_nm) end as custdn_firm_nm,
+             case when t.plcy_detl_id is null or t.first_depst_dt is not distinct from DATE '1900-01-01'
+                  then coalesce(l.frst_trd_dt, l.src_btch_dt)
+                  else coalesce(l.frst_trd_dt, t.first_depst_dt) end as first_depst_dt
       from (select * from pol_lkp where plcy_mastr_id is not null) l
       left join (select * from ods_plcy_detl where actv_indctr in ('Y', 'D')) t
         on l.src_sys = t.src_sys and l.plcy_mastr_id = t.plcy_mastr_id) x""", ("pol_lkp", "ods_plcy_detl"))
@@ -243,7 +248,8 @@ from (select l.*, t.plcy_detl_id as tgt_plcy_detl_id, t.hash_key as tgt_hash_key
 cte("pol_changed", """
 select * from pol_ident where tgt_plcy_detl_id is null or hash_key is distinct from tgt_hash_key""", ("pol_ident",))
 
-POL_COLS = ("plcy_detl_id, plcy_mastr_id, src_sys, plcy_iss_dt, custdn_firm_nm, plcy_status_id, actv_indctr, "
+POL_COLS = ("plcy_detl_id, plcy_mastr_id, src_sys, plcy_iss_dt, custdn_firm_nm, plcy_status_id, first_depst_dt, "
+            "actv_indctr, "
             "eff_from_dt, eff_to_dt, btch_id, crtd_by, crtd_dt, mdfd_by, mdfd_dt, hash_key")
 
 
@@ -260,12 +266,12 @@ def _numbered(src: str) -> str:
 
 cte("pol_versions", _numbered(f"""
 select cast(null as bigint) as plcy_detl_id, plcy_mastr_id, src_sys, plcy_iss_dt, custdn_firm_nm, plcy_status_id,
-       {_stamp('Y')}, hash_key from pol_changed"""), ("pol_changed", "ods_plcy_detl"))
+       first_depst_dt, {_stamp('Y')}, hash_key from pol_changed"""), ("pol_changed", "ods_plcy_detl"))
 
 
 def _superseded_state(state: str) -> str:
     return f"""
-select plcy_detl_id, plcy_mastr_id, src_sys, plcy_iss_dt, custdn_firm_nm, plcy_status_id,
+select plcy_detl_id, plcy_mastr_id, src_sys, plcy_iss_dt, custdn_firm_nm, plcy_status_id, first_depst_dt,
        case when rno > 1 then 'N' else actv_indctr end as actv_indctr, eff_from_dt,
        case when rno > 1 then {BATCH_DATE} - 1 else eff_to_dt end as eff_to_dt, btch_id, crtd_by, crtd_dt,
        case when rno > 1 then 'ods_load-trade' else mdfd_by end as mdfd_by,
@@ -281,10 +287,10 @@ cte("pol_next", _superseded_state(f"select {POL_COLS} from ods_plcy_detl union a
 
 cte("pol_full_changes", _numbered(f"""
 select cast(null as bigint) as plcy_detl_id, plcy_mastr_id, src_sys, plcy_iss_dt, custdn_firm_nm, plcy_status_id,
-       {_stamp('Y')}, hash_key from pol_changed
+       first_depst_dt, {_stamp('Y')}, hash_key from pol_changed
 union all
 select cast(null as bigint), t.plcy_mastr_id, t.src_sys, t.plcy_iss_dt, t.custdn_firm_nm, t.plcy_status_id,
-       {_stamp('D')}, t.hash_key
+       t.first_depst_dt, {_stamp('D')}, t.hash_key
 from ods_plcy_detl t
 where t.actv_indctr = 'Y' and not exists (
   select 1 from pol_lkp l where l.plcy_mastr_id is not null and l.src_sys = t.src_sys
@@ -473,7 +479,8 @@ left join supplier s on l.l_suppkey = s.s_suppkey
 left join nation n on coalesce(s.s_nationkey, -99) = n.n_nationkey"""),
     "policy_not_found": sql("select src_sys, acct_num from pol_lkp where plcy_mastr_id is null", "pol_lkp"),
     "carry_forward": sql("""
-select src_sys, plcy_mastr_id, tgt_plcy_detl_id, plcy_iss_dt, custdn_firm_nm, plcy_status_id from pol_ident""",
+select src_sys, plcy_mastr_id, tgt_plcy_detl_id, plcy_iss_dt, custdn_firm_nm, plcy_status_id, first_depst_dt
+from pol_ident""",
                          "pol_ident"),
     "row_hash": sql("select src_sys, plcy_mastr_id, hash_key, tgt_hash_key from pol_ident", "pol_ident"),
     "hash_change_filter": sql("select src_sys, plcy_mastr_id, tgt_plcy_detl_id, hash_key from pol_changed",

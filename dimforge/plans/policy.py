@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
-from dimforge.functions.columns import derived_status, first_seen, safe_date, sticky, when_codes
+from dimforge.functions.columns import derived_status, first_known, first_seen, safe_date, sticky, when_codes
 from dimforge.operators import quality
 from dimforge.operators.keys import count_and_high_water, latest_per_key, surrogate_keys
 from dimforge.operators.lookup import Lookup, enrich
@@ -102,6 +102,7 @@ def carry_forward(j: DataFrame) -> dict:
     return {
         "plcy_iss_dt": first_seen(tk, "tgt_plcy_iss_dt", "src_btch_dt"),
         "custdn_firm_nm": sticky(tk, "tgt_custdn_firm_nm", "cust_custdn_firm_nm"),
+        "first_depst_dt": first_known(tk, "tgt_first_depst_dt", "frst_trd_dt", "src_btch_dt"),
     }
 
 
@@ -113,11 +114,12 @@ def identified(lkp: DataFrame, target: DataFrame, small: bool | None = None) ->
 
 
 TARGET_COLUMNS = ("plcy_detl_id", "plcy_mastr_id", "src_sys", "plcy_iss_dt", "custdn_firm_nm", "plcy_status_id",
-                  "actv_indctr", "eff_from_dt", "eff_to_dt", "btch_id", "crtd_by", "crtd_dt", "mdfd_by", "mdfd_dt",
+                  "first_depst_dt", "actv_indctr", "eff_from_dt", "eff_to_dt", "btch_id", "crtd_by", "crtd_dt", "mdfd_by", "mdfd_dt",
                   "hash_key")
 
 
-VERSION_COLUMNS = ("plcy_mastr_id", "src_sys", "plcy_iss_dt", "custdn_firm_nm", "plcy_status_id", "hash_key")
+VERSION_COLUMNS = ("plcy_mastr_id", "src_sys", "plcy_iss_dt", "custdn_firm_nm", "plcy_status_id", "first_depst_dt",
+                   "hash_key")
 
 
 def version_rows(ident: DataFrame, ctx: RunContext) -> DataFrame:

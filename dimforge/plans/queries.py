@@ -408,7 +408,8 @@ def _policy_ident(spark, sf_dir):
 @query("carry_forward")
 def q_carry_forward(spark, sf_dir):
     return _policy_ident(spark, sf_dir).select(
-        "src_sys", "plcy_mastr_id", "tgt_plcy_detl_id", "plcy_iss_dt", "custdn_firm_nm", "plcy_status_id")
+        "src_sys", "plcy_mastr_id", "tgt_plcy_detl_id", "plcy_iss_dt", "custdn_firm_nm", "plcy_status_id",
+        "first_depst_dt")
 
 
 @query("row_hash")

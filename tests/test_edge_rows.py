@@ -130,3 +130,22 @@ def test_missing_codes_and_alert(spark):
 def test_payload_json_keeps_nulls(spark):
     df = spark.createDataFrame([("a", None)], "x string, y string")
     assert df.select(quality.payload_json(["x", "y"])).first()[0] == '{"x":"a","y":null}'
+
+
+def test_carry_forward_rules(spark):
+    from dimforge.functions.columns import first_known, first_seen, sticky
+
+    d = dt.date
+    rows = [  # tgt_key, tgt_value, new_value, fallback
+        (None, d(2020, 1, 1), d(2024, 5, 5), d(2025, 1, 1)),  # no target row
+        (1, d(1900, 1, 1), None, d(2025, 1, 1)),              # target holds the unknown date
+        (1, None, None, d(2025, 1, 1)),                       # NULL target value
+        (1, d(2020, 1, 1), d(2024, 5, 5), d(2025, 1, 1)),     # both present
+        (1, d(2020, 1, 1), None, d(2025, 1, 1)),              # only the target
+    ]
+    df = spark.createDataFrame(rows, "k int, t date, n date, fb date")
+    got = df.select(first_known("k", "t", "n", "fb").alias("fk"), first_seen("k", "t", "fb").alias("fs"),
+                    sticky("k", "t", "n").alias("st")).collect()
+    assert [r.fk for r in got] == [d(2024, 5, 5), d(2025, 1, 1), None, d(2024, 5, 5), d(2020, 1, 1)]
+    assert [r.fs for r in got] == [d(2025, 1, 1), d(2025, 1, 1), None, d(2020, 1, 1), d(2020, 1, 1)]
+    assert [r.st for r in got] == [d(2024, 5, 5), d(1900, 1, 1), None, d(2024, 5, 5), d(2020, 1, 1)]
