@@ -50,3 +50,11 @@ def audit_row(counts: DataFrame, ctx: RunContext, target_table: str, file_name:
         F.lit(file_name).alias("src_file_nm"),
         *[F.col(c) for c in counts.columns if c != source],
     )
+
+
+def target_batch_count(target: DataFrame, ctx: RunContext, created_by: str, batch_col: str = "btch_id",
+                       created_by_col: str = "crtd_by") -> DataFrame:
+    """Rows of this batch written by this job, counted on the table itself
+    (the cross-check of the load's own count).  Both filters reach the scan."""
+    return target.where((F.col(batch_col) == ctx.batch_id_col()) & (F.col(created_by_col) == F.lit(created_by))) \
+        .agg(F.count(F.lit(1)).alias("tgt_cnt"))

@@ -568,3 +568,5 @@ from (select n_source, n_loaded, n_rejected, 0::bigint as n_filtered,
     "stg_account", "acct_incoming", "acct_inserts")
 ORACLE["job_full_file"] = ORACLE["full_file_inactivate"]
 ORACLE["job_insert_only_text"] = ORACLE["insert_only_load"]
+ORACLE["target_batch_count"] = sql(f"""
+select count(*) as tgt_cnt from pol_next where btch_id = {BATCH_ID} and crtd_by = 'ods_load-trade'""", "pol_next")

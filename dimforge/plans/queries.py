@@ -694,3 +694,13 @@ def q_job_insert_only_text(spark, sf_dir):
     spec = datasets.trade_policy_master_from_text(path, sf_dir, delimiter="|")
     target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
     return job.run(spark, spec, CTX, target).rows
+
+
+@query("target_batch_count")
+def q_target_batch_count(spark, sf_dir):
+    """Policy-detail rows this batch wrote, counted on the next state."""
+    from dimforge.operators.audit import target_batch_count
+    from dimforge.plans import policy
+
+    state = q_scd2_hash_next_state(spark, sf_dir)
+    return target_batch_count(state, CTX, f"{CTX.job}-{policy.ENTITY}")
