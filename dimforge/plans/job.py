@@ -33,6 +33,7 @@ from dimforge.context import RunContext
 from dimforge.operators import quality
 from dimforge.operators.audit import audit_row, outcome_counts, tagged
 from dimforge.operators.joins import batch_is_small
+from dimforge.operators.lookup import broadcast_if_small
 from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
 from dimforge.operators.scd import Scd2Spec, scd2_apply
 from dimforge.operators.scd_hash import (HashScd2Spec, active, changed_or_new, identify, inactivation_rows,
@@ -64,6 +65,18 @@ class Step:
         return spark.sql(self.sql, args=named, **used)
 
 
+@dataclass(frozen=True)
+class CodeCheck:
+    """Codes of ``column`` must exist in a master table.  Missing codes give
+    per-code rows and an alert row; under ``exclude`` the rows carrying them
+    are not loaded (counted as rejected), under ``default_id`` they load."""
+
+    column: str
+    master: Callable[[SparkSession], DataFrame]
+    master_column: str
+    policy: str = "default_id"
+
+
 @dataclass
 class DatasetSpec:
     name: str
@@ -82,6 +95,7 @@ class DatasetSpec:
     scd2_columns: Scd2Spec | None = None  # type 2 by columns (instead of hash_spec)
     carry: Callable | None = None  # type 2: carry-forward column rules
     reject_rules: Sequence[quality.Rule] = ()  # rows of 'src' failing any rule are rejected
+    code_checks: Sequence[CodeCheck] = ()  # run on the staged file, before the source filter
     entity: str = "load"
     duplicates: str = "keep_first"  # or 'halt'
     dedup_order: Sequence | None = None
@@ -105,6 +119,9 @@ def validate(spec: DatasetSpec) -> list[str]:
         errors.append("type 2 needs exactly one of hash_spec or scd2_columns")
     if spec.load_type == 2 and not spec.surrogate_key:
         errors.append("type 2 needs a surrogate_key")
+    for c in spec.code_checks:
+        if c.policy not in ("default_id", "exclude"):
+            errors.append(f"unknown code-check policy {c.policy!r}")
     if spec.duplicates not in ("keep_first", "halt"):
         errors.append(f"unknown duplicates policy {spec.duplicates!r}")
     for s in (spec.lookup, spec.select_fields, spec.source_filter, *spec.temp_steps):
@@ -131,6 +148,20 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
     if file_type not in spec.sources:
         raise ValueError(f"dataset {spec.name!r} has no {file_type!r} source")
     frames: dict[str, DataFrame] = {"src_file": spec.sources[file_type](spark), "curr": target}
+    staged = frames["src_file"]
+    code_rejects = staged.limit(0)
+    for chk in spec.code_checks:
+        # one pass: each row tagged known / missing by a left join with the master's codes
+        codes, _ = broadcast_if_small(chk.master(spark).select(F.col(chk.master_column).alias(chk.column))
+                                      .distinct().withColumn("_known", F.lit(True)))
+        marked = frames["src_file"].join(codes, chk.column, "left")
+        missing = F.col("_known").isNull() & F.col(chk.column).isNotNull()  # NULL codes are not missing
+        per_code = marked.where(missing).groupBy(chk.column).agg(F.count(F.lit(1)).alias("n_rows"))
+        frames[f"missing_{chk.column}"] = per_code
+        frames[f"alert_{chk.column}"] = quality.missing_code_alert(per_code, chk.column)
+        if chk.policy == "exclude":
+            code_rejects = code_rejects.unionByName(marked.where(missing).drop("_known"))
+            frames["src_file"] = marked.where(~missing).drop("_known")
     frames["src"] = spec.source_filter.run(spark, frames, ctx) if spec.source_filter else frames["src_file"]
     filtered_in = frames["src"]
     rule_rejects = filtered_in.limit(0)
@@ -193,15 +224,17 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
                                          touched=rows, touched_rows=n)
         loaded = rows
 
-    stage = (tagged(frames["src_file"], "SOURCE").unionByName(tagged(filtered_in, "FILTERED_IN"))
-             .unionByName(tagged(rule_rejects, "REJECTED"))
-             .unionByName(tagged(null_keys, "REJECTED")).unionByName(tagged(lkp, "DEDUPED"))
+    stage = (tagged(staged, "SOURCE").unionByName(tagged(filtered_in, "FILTERED_IN"))
+             .unionByName(tagged(code_rejects, "CODE_REJECTED")).unionByName(tagged(rule_rejects, "LATER_REJECTED"))
+             .unionByName(tagged(null_keys, "LATER_REJECTED")).unionByName(tagged(lkp, "DEDUPED"))
              .unionByName(tagged(loaded, "LOADED")))
-    counts = outcome_counts(stage, ["SOURCE", "FILTERED_IN", "REJECTED", "DEDUPED", "LOADED"])
+    counts = outcome_counts(stage, ["SOURCE", "FILTERED_IN", "CODE_REJECTED", "LATER_REJECTED", "DEDUPED",
+                                    "LOADED"])
+    # code rejects leave before the source filter, rule and NULL-key rejects after it
     counts = counts.select(
-        "n_source", "n_loaded", "n_rejected",
-        (F.col("n_source") - F.col("n_filtered_in")).alias("n_filtered"),
-        (F.col("n_filtered_in") - F.col("n_rejected") - F.col("n_deduped")).alias("n_duplicates"),
+        "n_source", "n_loaded", (F.col("n_later_rejected") + F.col("n_code_rejected")).alias("n_rejected"),
+        (F.col("n_source") - F.col("n_code_rejected") - F.col("n_filtered_in")).alias("n_filtered"),
+        (F.col("n_filtered_in") - F.col("n_later_rejected") - F.col("n_deduped")).alias("n_duplicates"),
         (F.col("n_deduped") - F.col("n_loaded")).alias("n_unchanged"),
     )
     audit = audit_row(counts, ctx, spec.target_table, spec.name, "n_source", loaded=["n_loaded"],

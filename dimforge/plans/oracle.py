@@ -570,3 +570,38 @@ ORACLE["job_full_file"] = ORACLE["full_file_inactivate"]
 ORACLE["job_insert_only_text"] = ORACLE["insert_only_load"]
 ORACLE["target_batch_count"] = sql(f"""
 select count(*) as tgt_cnt from pol_next where btch_id = {BATCH_ID} and crtd_by = 'ods_load-trade'""", "pol_next")
+
+cte("trade_known", """
+select * from stg_trade s
+where s.trx_cd is null or exists (select 1 from trx_mastr m where m.trx_cd = s.trx_cd)""", ("stg_trade", "trx_mastr"))
+
+cte("known_keys", """
+select distinct src_sys, acct_num from trade_known where src_sys is not null and acct_num is not null""",
+    ("trade_known",))
+
+ORACLE["job_codes_excluded"] = sql(f"""
+select 'SS' as src_admn_sys, 'N/A' as plcy_comp_cd, acct_num as plcy_num, acct_num as left_justfd_plcy_num,
+       {BATCH_ID} as btch_id, {BATCH_DATE} as crtd_dt, cast(null as date) as mdfd_dt, 'ods_load-trade' as crtd_by,
+       cast(null as varchar) as mdfd_by, -99 as case_mastr_id, src_sys, 'P' as plcy_sold_status_indctr,
+       '-99' as del_indctr, 'N/A' as invstmt_comp_tax_id
+from known_keys k
+where not exists (select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
+                  and m.plcy_num = k.acct_num)""", "known_keys", "ods_plcy_mastr")
+
+ORACLE["job_codes_excluded_audit"] = sql(f"""
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'ENVISION' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
+       n_filtered + n_unchanged + n_duplicates as fltr_cnt, n_rejected as rej_cnt,
+       n_source = n_loaded + n_filtered + n_unchanged + n_duplicates + n_rejected as balanced,
+       {BATCH_TS} as start_ts, 'plcy_mastr' as tgt_tbl_nm, 'STG_TRADE' as src_file_nm,
+       n_loaded, n_rejected, n_filtered, n_duplicates, n_unchanged
+from (select n_source, n_loaded, n_code + n_later as n_rejected, n_source - n_code - n_known as n_filtered,
+             n_known - n_later - n_deduped as n_duplicates, n_deduped - n_loaded as n_unchanged
+      from (select (select count(*) from stg_trade) as n_source,
+                   (select count(*) from stg_trade) - (select count(*) from trade_known) as n_code,
+                   (select count(*) from trade_known) as n_known,
+                   (select count(*) from trade_known where src_sys is null or acct_num is null) as n_later,
+                   (select count(*) from known_keys) as n_deduped,
+                   (select count(*) from known_keys k where not exists (
+                        select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
+                          and m.plcy_num = k.acct_num)) as n_loaded) c) d""",
+    "stg_trade", "trade_known", "known_keys", "ods_plcy_mastr")

@@ -704,3 +704,29 @@ def q_target_batch_count(spark, sf_dir):
 
     state = q_scd2_hash_next_state(spark, sf_dir)
     return target_batch_count(state, CTX, f"{CTX.job}-{policy.ENTITY}")
+
+
+def _codes_excluded_spec(sf_dir):
+    from dimforge.plans import datasets, job
+
+    spec = datasets.trade_policy_master(sf_dir)
+    spec.code_checks = [job.CodeCheck("trx_cd", fx.trx_mastr, "trx_cd", policy="exclude")]
+    return spec
+
+
+@query("job_codes_excluded")
+def q_job_codes_excluded(spark, sf_dir):
+    """Policy-master load where trades with a transaction code missing from its
+    master are not loaded (``exclude`` policy)."""
+    from dimforge.plans import job
+
+    target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
+    return job.run(spark, _codes_excluded_spec(sf_dir), CTX, target).rows
+
+
+@query("job_codes_excluded_audit")
+def q_job_codes_excluded_audit(spark, sf_dir):
+    from dimforge.plans import job
+
+    target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
+    return job.run(spark, _codes_excluded_spec(sf_dir), CTX, target).audit

@@ -74,3 +74,19 @@ def test_duplicate_policies_on_the_account_load(spark, sf_dir):
     cur = result.next_state().where("is_current")
     assert cur.groupBy("customer_id").count().where("count > 1").count() == 0
     assert cur.where(F.col("customer_name") == "newer").count() == 3
+
+
+def test_code_checks_alert_and_exclude(spark, sf_dir):
+    spec = datasets.trade_policy_master(sf_dir)
+    target = fx.ods_plcy_mastr(spark, sf_dir)
+    spec.code_checks = [job.CodeCheck("trx_cd", fx.trx_mastr, "trx_cd", policy="default_id")]
+    kept = job.run(spark, spec, CTX, target)
+    alert = kept.frames["alert_trx_cd"].first()
+    assert alert.n_codes == 2 and alert.codes == "purchase, signup"
+    assert kept.audit.first().rej_cnt == 0
+    spec.code_checks = [job.CodeCheck("trx_cd", fx.trx_mastr, "trx_cd", policy="exclude")]
+    excl = job.run(spark, spec, CTX, target).audit.first()
+    assert excl.balanced and excl.rej_cnt == alert.n_rows
+    spec.code_checks = [job.CodeCheck("trx_cd", fx.trx_mastr, "trx_cd", policy="drop_silently")]
+    with pytest.raises(ValueError, match="code-check policy"):
+        job.run(spark, spec, CTX, target)
