@@ -96,6 +96,7 @@ class DatasetSpec:
     carry: Callable | None = None  # type 2: carry-forward column rules
     reject_rules: Sequence[quality.Rule] = ()  # rows of 'src' failing any rule are rejected
     code_checks: Sequence[CodeCheck] = ()  # run on the staged file, before the source filter
+    error_key: str | None = None  # staged column identifying a row in error-log entries
     entity: str = "load"
     duplicates: str = "keep_first"  # or 'halt'
     dedup_order: Sequence | None = None
@@ -135,6 +136,7 @@ class LoadResult:
     rows: DataFrame  # rows to append (types 0, 2) or the next state (type 1)
     audit: DataFrame  # one audit row
     frames: dict[str, DataFrame]
+    errors: DataFrame | None = None  # error-log rows (needs ``error_key``)
 
 
 def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFrame,
@@ -150,6 +152,7 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
     frames: dict[str, DataFrame] = {"src_file": spec.sources[file_type](spark), "curr": target}
     staged = frames["src_file"]
     code_rejects = staged.limit(0)
+    errors: list[DataFrame] = []
     for chk in spec.code_checks:
         # one pass: each row tagged known / missing by a left join with the master's codes
         codes, _ = broadcast_if_small(chk.master(spark).select(F.col(chk.master_column).alias(chk.column))
@@ -159,6 +162,10 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         per_code = marked.where(missing).groupBy(chk.column).agg(F.count(F.lit(1)).alias("n_rows"))
         frames[f"missing_{chk.column}"] = per_code
         frames[f"alert_{chk.column}"] = quality.missing_code_alert(per_code, chk.column)
+        if spec.error_key:
+            code = quality.EC_UNEXPECTED_CODE if chk.policy == "exclude" else quality.EC_NEW_CODE
+            errors.append(quality.error_log_rows(marked.where(missing), ctx, code, spec.name, spec.target_table,
+                                                 spec.error_key, [chk.column]))
         if chk.policy == "exclude":
             code_rejects = code_rejects.unionByName(marked.where(missing).drop("_known"))
             frames["src_file"] = marked.where(~missing).drop("_known")
@@ -172,6 +179,10 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         failed = F.coalesce(failed, F.lit(False))
         rule_rejects = filtered_in.where(failed)
         frames["src"] = filtered_in.where(~failed)
+        if spec.error_key and spec.error_key in filtered_in.columns:
+            failures = quality.rule_violations(rule_rejects, spec.error_key, spec.reject_rules)
+            errors.append(quality.error_log_rows(failures, ctx, quality.EC_RULE_FAILED, spec.name,
+                                                 spec.target_table, spec.error_key, ["dq_reason_cd"]))
     frames["rejected_rows"] = rule_rejects
     for name, reader in spec.lookups.items():
         frames[name] = reader(spark)
@@ -239,4 +250,7 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
     )
     audit = audit_row(counts, ctx, spec.target_table, spec.name, "n_source", loaded=["n_loaded"],
                       filtered=["n_filtered", "n_unchanged", "n_duplicates"], rejected=["n_rejected"])
-    return LoadResult(rows=rows, audit=audit, frames=frames)
+    error_log = None
+    for e in errors:
+        error_log = e if error_log is None else error_log.unionByName(e)
+    return LoadResult(rows=rows, audit=audit, frames=frames, errors=error_log)

@@ -605,3 +605,10 @@ from (select n_source, n_loaded, n_code + n_later as n_rejected, n_source - n_co
                         select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
                           and m.plcy_num = k.acct_num)) as n_loaded) c) d""",
     "stg_trade", "trade_known", "known_keys", "ods_plcy_mastr")
+ORACLE["job_error_log"] = sql(f"""
+select 'EC_26' as err_cd, 'ENVISION' as src_sys, 'STG_TRADE' as file_nm, {BATCH_ID} as btch_id,
+       {BATCH_DATE} as btch_dt, {JOB} as job_nm, 'plcy_mastr' as tgt_tbl_nm, cast(trade_id as varchar) as err_key,
+       json_object('trx_cd', trx_cd) as err_payload
+from stg_trade s
+where s.trx_cd is not null and not exists (select 1 from trx_mastr m where m.trx_cd = s.trx_cd)""",
+    "stg_trade", "trx_mastr")

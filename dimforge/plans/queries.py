@@ -730,3 +730,16 @@ def q_job_codes_excluded_audit(spark, sf_dir):
 
     target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
     return job.run(spark, _codes_excluded_spec(sf_dir), CTX, target).audit
+
+
+@query("job_error_log")
+def q_job_error_log(spark, sf_dir):
+    """Error-log rows the spec runner writes for trades whose transaction code
+    is missing from its master (the rows still load: ``default_id``)."""
+    from dimforge.plans import datasets, job
+
+    spec = datasets.trade_policy_master(sf_dir)
+    spec.code_checks = [job.CodeCheck("trx_cd", fx.trx_mastr, "trx_cd", policy="default_id")]
+    spec.error_key = "trade_id"
+    target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
+    return job.run(spark, spec, CTX, target).errors

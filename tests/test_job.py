@@ -90,3 +90,19 @@ def test_code_checks_alert_and_exclude(spark, sf_dir):
     spec.code_checks = [job.CodeCheck("trx_cd", fx.trx_mastr, "trx_cd", policy="drop_silently")]
     with pytest.raises(ValueError, match="code-check policy"):
         job.run(spark, spec, CTX, target)
+
+
+def test_rule_rejects_reach_the_error_log(spark, sf_dir):
+    import json
+
+    from dimforge.plans import account
+
+    spec = datasets.account_versioned(sf_dir)
+    spec.error_key = "account_id"
+    res = job.run(spark, spec, CTX, fx.ods_account(spark, sf_dir))
+    errs = res.errors.collect()
+    bad = account.prepare_batch(fx.stg_account(spark, sf_dir)).bad_revenue.count()
+    assert len(errs) == bad > 0
+    assert {r.err_cd for r in errs} == {"EC_28"}
+    assert {json.loads(r.err_payload)["dq_reason_cd"] for r in errs} == {"INVALID_REVENUE_CAST"}
+    assert res.audit.first().balanced
