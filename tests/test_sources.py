@@ -69,3 +69,13 @@ def test_schema_align_by_name(spark):
     assert tuple(out.first()) == (12, "x", None)
     bad = spark.createDataFrame([("x", "notanumber")], "name string, id string")
     assert align_to_schema(bad, schema).first().ID is None
+
+
+def test_upper_names_and_typed_defaults(spark):
+    from dimforge.operators.schema import upper_names, with_defaults
+
+    df = spark.createDataFrame([("x",)], "plcy_num string")
+    out = with_defaults(upper_names(df), [("CASE_MASTR_ID", -99, "int"), ("PLCY_NM", None, "string")])
+    assert out.columns == ["PLCY_NUM", "CASE_MASTR_ID", "PLCY_NM"]
+    assert dict(out.dtypes) == {"PLCY_NUM": "string", "CASE_MASTR_ID": "int", "PLCY_NM": "string"}
+    assert tuple(out.first()) == ("x", -99, None)
