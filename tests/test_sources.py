@@ -79,3 +79,15 @@ def test_upper_names_and_typed_defaults(spark):
     assert out.columns == ["PLCY_NUM", "CASE_MASTR_ID", "PLCY_NM"]
     assert dict(out.dtypes) == {"PLCY_NUM": "string", "CASE_MASTR_ID": "int", "PLCY_NM": "string"}
     assert tuple(out.first()) == ("x", -99, None)
+
+
+def test_unreadable_target_raises_instead_of_starting_over(spark):
+    """Only a missing path means "initial load"; a path that holds something
+    else must fail, never be treated as an empty target and overwritten."""
+    import pytest
+
+    schema = StructType([StructField("k", StringType())])
+    path = scratch_path(spark, "not-parquet")
+    spark.createDataFrame([("x",)], "value string").write.text(path)
+    with pytest.raises(Exception):
+        scans.target_or_empty(spark, path, schema).count()
