@@ -61,3 +61,8 @@ def membership_bits(ids: DataFrame, bits: int):
     for r in words.toLocalIterator():
         out[r.word] = r.bits
     return out.view(np.uint64)
+
+
+def let(value, body):
+    """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]

@@ -214,25 +214,47 @@ def fit(docs: DataFrame, labels: DataFrame, words) -> dict:
     return train(x, np.array([r[1] for r in rows], np.float64), mix(ids.view(np.uint64)) % np.uint64(5) == 0)
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score, predicted) for every row of ``docs(doc_id, text)``; ``labels`` are the rows to learn from."""
+def _scorer(docs: DataFrame, labels: DataFrame):
+    """A function from texts to scores, for use inside tasks."""
     sc = docs.sparkSession.sparkContext
     words = sc.broadcast(np.hstack([index_vectors()[:SLOTS].astype(np.float32), context_vectors(docs)]))
     shared = sc.broadcast(fit(docs, labels, words))
 
-    def run(batches):
+    def scores(texts: list) -> np.ndarray:
         table, model = words.value, shared.value
+        out = np.full(len(texts), 0.5)
+        for a in range(0, len(texts), 64) if model else ():
+            out[a:a + 64] = sigmoid(logits(model, pooled(texts[a:a + 64], table)) / model["temperature"])
+        return out
+
+    return scores
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, score, predicted) for every row of ``docs(doc_id, text)``; ``labels`` are the rows to learn from."""
+    scores = _scorer(docs, labels)
+
+    def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            s = np.full(len(texts), 0.5)
-            for a in range(0, len(texts), 64) if model else ():
-                s[a:a + 64] = sigmoid(logits(model, pooled(texts[a:a + 64], table)) / model["temperature"])
+            s = scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that the classifier does not reject, with all their columns."""
+    scores = _scorer(docs, labels)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column(at).to_pylist()) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learnable(labels: DataFrame, held_out_mod: int = 5, held_out_bucket: int = 0) -> DataFrame:
     """Label rows outside the held-out bucket."""
     return labels.filter(F.coalesce(bucket_of(F.col("doc_id"), held_out_mod) != held_out_bucket, F.lit(False)))

@@ -2,7 +2,7 @@
 
 Documents are sets of distinct word shingles (64-bit hashes).  Two documents
 link when ``100 * intersection >= 75 * union``.  The global n-gram order is
-(frequency class, hash); it is cut into fragments by hash range, and overlaps
+(seen once, frequency class, hash); it is cut into fragments by hash range, and overlaps
 are counted per fragment and summed per pair.
 
 1. Documents with equal sets form one *class*; everything below works on classes.
@@ -161,10 +161,11 @@ def _postings(docs: DataFrame, seen: np.ndarray, level: np.ndarray) -> DataFrame
             if cls in done:
                 continue
             done.add(cls)
-            order = np.argsort(level[s >> np.uint64(64 - CLASS_BITS)], kind="stable")  # s is sorted: ties stay by hash
-            head = s[order[: _prefix_length(len(s))]]
-            slot = (head >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
-            head = head[(seen[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1]
+            slot = (s >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+            twice = (seen[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
+            rank = np.where(twice, 1 + level[s >> np.uint64(64 - CLASS_BITS)], 0)
+            order = np.argsort(rank, kind="stable")[: _prefix_length(len(s))]  # s is sorted: ties stay by hash
+            head = s[order[rank[order] > 0]]
             if len(head):
                 toks.append(head)
                 ids.append(cls)
@@ -233,94 +234,95 @@ def verified_links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return total.filter(100 * F.col("overlap") >= PERCENT * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or hangs on exactly one centre."""
+    ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("lo", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above")).filter(
+        "below > 1 or (below = 1 and above = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable, for every node of ``edges(a, b)``.
 
-    Alternating large-star and small-star steps; each is two key-wise shuffles,
-    and no neighbourhood is ever held in one row.
+    Alternating large-star and small-star steps, written after each, until only
+    stars are left; no neighbourhood is ever held in one row.
     """
     both = edges.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     current = materialise(both.distinct(), "components")
-    state = None
-    while True:
+    while not _is_stars(current):
         # large star: every larger neighbour is linked to the smallest of the neighbourhood
         arcs = current.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(current.select("hi", "lo"))
         low = arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (arcs.join(low, "u").filter("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi"))
-                 .filter("lo <> hi").distinct())
+        large = materialise(arcs.join(low, "u").filter("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct(), "components")
         # small star: a node and its smaller neighbours are linked to the smallest of them
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (large.join(low, "hi").select(F.explode(F.array(
             F.struct(F.col("m").alias("lo"), F.col("hi")), F.struct(F.col("m").alias("lo"), F.col("lo").alias("hi")))).alias("e"))
             .select("e.lo", "e.hi").filter("lo <> hi").distinct())
         current = materialise(small, "components")
-        now = current.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi") % 1_000_003)).first()
-        if tuple(now) == state:
-            break
-        state = tuple(now)
-    return current.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("comp")).unionByName(
-        current.select(F.col("lo").alias("node"), F.col("lo").alias("comp")).distinct())
+    return current.select(F.col("hi").alias("node"), F.col("lo").alias("comp")).union(
+        current.groupBy(F.col("lo").alias("node")).agg(F.min("lo").alias("comp")))
 
 
 def _leader_pairs(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings with their n-gram's leader, and the distinct pairs (leader, other).
+    """Postings other than their n-gram's leader, and the distinct pairs (leader, other).
 
     ``posts`` has (tok, cls, n, comp); only n-grams over two components or more stay.
     """
     leads = (posts.groupBy("tok").agg(F.min(F.struct("cls", "n", "comp")).alias("lead"),
                                       F.min("comp").alias("c0"), F.max("comp").alias("c1"))
              .filter("c0 <> c1").select("tok", "lead"))
-    led = posts.join(leads, "tok").filter("cls <> lead.cls")
+    led = materialise(posts.join(leads, "tok").filter("cls <> lead.cls"), "jaccard-led")
     pairs = (led.filter("comp <> lead.comp and 100 * least(n, lead.n) >= %d * greatest(n, lead.n)" % PERCENT)
              .select(F.col("lead.cls").alias("a"), F.col("lead.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
              .distinct())
-    return led.select("tok", "cls", "n"), pairs
+    return led.select("tok", "cls", "n"), materialise(pairs, "jaccard-pairs")
 
 
-def _with_components(posts: DataFrame, comps: DataFrame) -> DataFrame:
-    return (posts.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-            .select("tok", "cls", "n", F.coalesce("comp", "cls").alias("comp")))
+def _cross_pairs(rest: DataFrame, open_toks: DataFrame) -> DataFrame:
+    """All pairs of different components per n-gram, through the rows outside its largest component."""
+    y = (rest.select("tok", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+         .join(open_toks.select("tok", "major"), "tok"))
+    x = y.filter("cb <> major").select("tok", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("cb").alias("ca"))
+    near = x.join(y, "tok").filter(
+        "ca <> cb and (cb = major or a < b) and 100 * least(na, nb) >= %d * greatest(na, nb)" % PERCENT)
+    return near.select("a", "na", "b", "nb").distinct()
 
 
-def class_links(docs: DataFrame, n_tokens: int) -> DataFrame | None:
-    """Links (a, b) between classes that span exactly the components of all links."""
+def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
+    """(node, comp) for every class that has a link."""
     bits = min(20, max(6, int(n_tokens // FRAGMENT_TOKENS).bit_length()))
-    posts = materialise(_postings(docs, *_frequency_tables(docs, bits)), "jaccard-postings")
-    links = None
-    rest = posts.withColumn("comp", F.col("cls"))
-    budget = None
+    rest = materialise(_postings(docs, *_frequency_tables(docs, bits)), "jaccard-postings").withColumn("comp", F.col("cls"))
+    comps = budget = None
+    last = False
     while True:
-        rest, pairs = _leader_pairs(rest)
-        rest, pairs = materialise(rest, "jaccard-rest"), materialise(pairs, "jaccard-pairs")
-        n_rest = rest.count()
-        budget = budget or 10 * n_rest + 100_000
+        if last:
+            pairs = materialise(_cross_pairs(rest, open_toks), "jaccard-pairs")
+        else:
+            rest, pairs = _leader_pairs(rest)
         if not pairs.isEmpty():
-            found = materialise(verified_links(docs, pairs), "jaccard-links")
-            links = found if links is None else links.union(found)
-        if not n_rest:
-            break
-        comps = materialise(connected_components(links), "jaccard-comps") if links is not None else None
-        rest = rest.distinct()
-        rest = materialise(_with_components(rest, comps) if comps is not None else rest.withColumn("comp", F.col("cls")), "jaccard-rest")
+            links = materialise(verified_links(docs, pairs), "jaccard-links")
+            if not links.isEmpty():
+                if comps is not None:
+                    links = links.union(comps.select("node", "comp"))
+                comps = materialise(connected_components(links), "jaccard-comps")
+        if last:
+            return comps
+        if comps is None:
+            rest = rest.withColumn("comp", F.col("cls"))
+        else:
+            rest = materialise(rest.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+                               .select("tok", "cls", "n", F.coalesce("comp", "cls").alias("comp")), "jaccard-rest")
         sizes = rest.groupBy("tok", "comp").count()
-        open_toks = (sizes.groupBy("tok").agg(F.max_by("comp", "count").alias("major"), F.sum("count").alias("m"), F.max("count").alias("top"))
-                     .filter("m > top"))
-        open_toks = materialise(open_toks, "jaccard-open")
-        cost = open_toks.agg(F.sum((F.col("m") - F.col("top")) * F.col("m"))).first()[0]
+        open_toks = materialise(sizes.groupBy("tok").agg(
+            F.max_by("comp", "count").alias("major"), F.sum("count").alias("m"), F.max("count").alias("top"))
+            .filter("m > top"), "jaccard-open")
+        n_rows, cost = open_toks.agg(F.sum("m"), F.sum((F.col("m") - F.col("top")) * F.col("m"))).first()
         if cost is None:
-            break
-        if cost <= budget:
-            # few enough: compare all remaining pairs across components
-            y = rest.select("tok", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")).join(open_toks.select("tok", "major"), "tok")
-            x = y.filter("cb <> major").select("tok", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("cb").alias("ca"))
-            pairs = (x.join(y, "tok").filter("ca <> cb and (cb = major or a < b) and 100 * least(na, nb) >= %d * greatest(na, nb)" % PERCENT)
-                     .select("a", "na", "b", "nb").distinct())
-            pairs = materialise(pairs, "jaccard-pairs")
-            if not pairs.isEmpty():
-                found = materialise(verified_links(docs, pairs), "jaccard-links")
-                links = found if links is None else links.union(found)
-            break
-    return links
+            return comps
+        budget = budget or 4 * n_rows + 100_000
+        last = cost <= budget
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -331,9 +333,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = materialise(document_classes(docs), "jaccard-classes")
     n_tokens = rows.agg(F.sum("n")).first()[0] or 0
     classes = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low"))
-    links = class_links(docs, n_tokens) if n_tokens else None
-    if links is not None:
-        comps = materialise(connected_components(links), "jaccard-comps")
+    comps = class_components(docs, n_tokens) if n_tokens else None
+    if comps is not None:
         members = classes.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         lows = members.groupBy("comp").agg(F.min("low").alias("component_id"))
         classes = members.join(lows, "comp").select("cls", "component_id")
@@ -341,3 +342,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         classes = classes.select("cls", F.col("low").alias("component_id"))
     return (rows.join(classes.withColumnRenamed("cls", "class_key"), (F.col("cls") == F.col("class_key")) & (F.col("n") > 0), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def keep_one_per_component(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose component has a smaller doc_id; of equal rows of a doc_id, one stays.
+
+    Texts without words have no component and all stay.
+    """
+    found = jaccard_components(docs.select("doc_id", "text"))
+    kept = (found.filter("n_shingles = 0 or doc_id = component_id")
+            .groupBy("doc_id").agg(F.max("n_shingles").alias("kept_shingles")))
+    rows = docs.join(kept, "doc_id", "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])

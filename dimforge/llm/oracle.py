@@ -1,5 +1,101 @@
-"""DuckDB SQL of the queries that SQL can express, under the same keys."""
+"""DuckDB SQL of the queries that SQL can express, under the same keys.
+
+The other queries (2, 3, 4, 6, 8 and 10, and the pipeline) are random, learned or
+aligned; ``tests/llm`` holds them against plain versions.
+"""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op5_chat_format"] = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), grouped as (
+  select conv_id, count(*) as n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as said,
+    coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '') as learned,
+    sum(length('<|im_start|>') + length(role) + length('<|sep|>') + length('<|im_end|>') + 1
+        + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) as formatted_chars
+  from rows group by conv_id
+)
+select conv_id, n_turns, sha256(said) as turns_sha256, length(learned) as loss_chars, sha256(learned) as loss_sha256,
+  cast(formatted_chars as bigint) as formatted_chars
+from grouped
+"""
+
+ORACLE["op9_url_filter"] = r"""
+with split as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+), parts as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from split
+), rules(rhost, rpath, verdict) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), fits as (
+  select distinct p.host, p.path, r.rhost || r.rpath as rule, r.verdict,
+    row_number() over (partition by p.host, p.path order by length(r.rhost || r.rpath) desc) as k
+  from (select distinct host, path from parts) p join rules r
+    on (p.host = r.rhost or ends_with(p.host, '.' || r.rhost)) and starts_with(p.path, r.rpath)
+)
+select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') as verdict
+from parts p left join fits f on f.host = p.host and f.path = p.path and f.k = 1
+"""
+
+ORACLE["op1_quality_rules"] = r"""
+with texts as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents
+), positions as (
+  select doc_id, words, unnest(range(1, len(words) - 6)) as i from texts where len(words) >= 8
+), windows as (
+  select doc_id, i, array_to_string(words[i:i + 7], ' ') as w from positions
+), marked as (
+  select doc_id, i, count(*) over (partition by doc_id, w) as c from windows
+), twice as (
+  select doc_id, i, lead(i) over (partition by doc_id order by i) as nxt from marked where c >= 2
+), covered as (
+  select doc_id, sum(least(8, coalesce(nxt - i, 8))) as n from twice group by doc_id
+), stats as (
+  select t.doc_id, t.text, cast(len(words) as bigint) as n_words,
+    cast(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
+    cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+    cast(coalesce(c.n, 0) as bigint) as n_repeat_words
+  from texts t left join covered c on c.doc_id = t.doc_id
+), judged as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from stats
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not (10 * n_symbols > word_chars) and not (word_chars > 20 * n_words) and not (word_chars < 2 * n_words)
+  and not (n_dup_lines > 0.5 * (1 + length(text) - length(replace(text, chr(10), ''))))
+  and not (2 * length(regexp_replace(text, '[^\p{L}]+', '', 'g')) < word_chars)
+  and not (2 * length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) > word_chars) as kept
+from judged
+"""
+
+ORACLE["op7_jaccard_join"] = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as words
+  from documents
+), shingles as (
+  select distinct doc_id, array_to_string(words[i:i + 4], ' ') as s
+  from (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) as i from texts where len(words) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+), links as (
+  select x, y from shared join sizes sx on sx.doc_id = x join sizes sy on sy.doc_id = y where 100 * c >= 75 * (sx.n + sy.n - c)
+), reach as (
+  select doc_id as node, doc_id as root from texts
+  union select l.y, r.root from reach r join links l on l.x = r.node where r.root < l.y
+)
+select t.doc_id, coalesce(s.n, 0) as n_shingles, (select min(root) from reach where node = t.doc_id) as component_id
+from texts t left join sizes s on s.doc_id = t.doc_id
+"""
