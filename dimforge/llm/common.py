@@ -66,3 +66,15 @@ def membership_bits(ids: DataFrame, bits: int):
 def let(value, body):
     """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
     return F.transform(F.array(value), body)[0]
+
+
+# Rows per Arrow batch.  Texts can be long, so a batch of the default 10,000 rows
+# can hold gigabytes.
+BATCH_ROWS = 500
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to BATCH_ROWS unless it is lower already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import bucket_of
+from dimforge.llm.common import bounded_batches, bucket_of
 from dimforge.llm.textnum import mix, run_bounds, span_hashes
 
 PER_CLASS = 3000
@@ -216,6 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, words) -> dict:
 
 def _scorer(docs: DataFrame, labels: DataFrame):
     """A function from texts to scores, for use inside tasks."""
+    bounded_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     words = sc.broadcast(np.hstack([index_vectors()[:SLOTS].astype(np.float32), context_vectors(docs)]))
     shared = sc.broadcast(fit(docs, labels, words))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import materialise, membership_bits
+from dimforge.llm.common import bounded_batches, materialise, membership_bits
 from dimforge.llm.textnum import grams, run_bounds, span_hashes
 
 K = 4
@@ -122,6 +122,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     The best window per document and item; word positions count content words.
     """
+    bounded_batches(docs.sparkSession)
     items = materialise(_items(benchmark), "decontam-items")
     seeds = materialise(items.select("item_id", F.explode("seeds").alias("seed")).distinct(), "decontam-seeds")
     shape = items.agg(F.max(F.size("item_words")), F.collect_set(F.least(F.lit(K), F.size("item_words"))), F.sum(F.size("seeds"))).first()

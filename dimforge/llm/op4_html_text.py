@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimforge.llm.common import bounded_batches
 from dimforge.llm.gbt import train_trees, tree_logits
 
 SAMPLE_PAGES = 300
@@ -304,6 +305,7 @@ def train(sample: list[str]) -> dict:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of ``pages(page_id, url, html)``."""
+    bounded_batches(pages.sparkSession)
     share = min(1.0, SAMPLE_PAGES / max(1, pages.count()))
     drawn = pages.filter(F.shiftrightunsigned(F.xxhash64(F.col("page_id").cast("long"), F.lit(4)), 11) / float(1 << 53) < share)
     sample = sorted(r.html for r in drawn.filter("html is not null").select("html").collect())  # about SAMPLE_PAGES pages

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import bucket_of
+from dimforge.llm.common import bounded_batches, bucket_of
 
 PER_LANGUAGE = 500
 SLOTS = 4096
@@ -177,6 +177,7 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
 
 def language_id(docs: DataFrame, held_out_mod: int = 4, held_out_bucket: int = 2) -> DataFrame:
     """Train on the rows outside the held-out bucket, then predict every row."""
+    bounded_batches(docs.sparkSession)
     held = F.coalesce(bucket_of(F.col("doc_id"), held_out_mod) == held_out_bucket, F.lit(False))
     model = fit(docs.filter(~held).select("doc_id", "text", "lang"))
     return identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import materialise, membership_bits
+from dimforge.llm.common import bounded_batches, materialise, membership_bits
 from dimforge.llm.textnum import set_id, shingle_set
 
 PERCENT = 75
@@ -42,7 +42,7 @@ SEEN_BITS = 27        # slots of the "seen twice" bitmap: 16 MB
 CLASS_BITS = 22       # slots of the frequency-class table: 4 MB
 WANTED_BITS = 24      # slots of the "class needs segments" bitmap: 2 MB
 FRAGMENT_TOKENS = 1 << 20
-FLUSH_TOKENS = 1 << 22
+FLUSH_TOKENS = 1 << 20
 SEGMENTS = 8
 
 
@@ -60,10 +60,12 @@ def document_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n, cls) per row: size and id of its shingle set."""
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t.as_py(), SHINGLE) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_id(s) for s in sets], pa.int64())], names=["doc_id", "n", "cls"])
+            sizes, ids = [], []
+            for text in batch.column(1):
+                s = shingle_set(text.as_py(), SHINGLE)
+                sizes.append(len(s))
+                ids.append(set_id(s))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=["doc_id", "n", "cls"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, cls long")
 
@@ -330,6 +332,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     ``component_id`` is the smallest doc_id reachable over links, itself included.
     """
+    bounded_batches(docs.sparkSession)
     rows = materialise(document_classes(docs), "jaccard-classes")
     n_tokens = rows.agg(F.sum("n")).first()[0] or 0
     classes = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low"))
