@@ -323,7 +323,8 @@ def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
         n_rows, cost = open_toks.agg(F.sum("m"), F.sum((F.col("m") - F.col("top")) * F.col("m"))).first()
         if cost is None:
             return comps
-        budget = budget or 4 * n_rows + 100_000
+        # each leader round allows four times the pairs, so the rounds end
+        budget = 4 * budget if budget else 20 * n_rows + 1_000_000
         last = cost <= budget
 
 
