@@ -225,5 +225,6 @@ def dedup_natural_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     by all non-key columns (a total order, so the result does not depend on
     partitioning, unlike ``dropDuplicates``)."""
     if order is None:
-        order = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+        # rows that consist of the key alone are all equal: any order will do
+        order = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys] or [F.col(c) for c in keys]
     return latest_per_key(df, keys, order)

@@ -3,8 +3,7 @@
 Each lookup must be unique on its join key (``Lookup.unique_by`` makes it
 so), otherwise a join multiplies batch rows.  Broadcast policy per lookup:
 
-* ``checked`` (default): a bounded probe (``limit(max_rows + 1).count()``)
-  proves the table has at most ``max_rows`` rows, and only then is it
+* ``checked`` (default): a count (each task sends one row) proves the table has at most ``max_rows`` rows, and only then is it
   broadcast; a bigger table joins by shuffle, where AQE's skew-join split
   protects against a hot batch key.
 * ``auto``: no hint; AQE decides from runtime sizes.
@@ -25,8 +24,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast hint only after proving ``rows <= max_rows`` (bounded probe)."""
-    n = df.limit(max_rows + 1).count()
+    """Broadcast hint only after proving ``rows <= max_rows`` (a count: one row per task is shuffled)."""
+    n = df.count()
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
@@ -45,10 +44,10 @@ class Lookup:
 
 
 def probe_sizes(frames: dict[int, tuple[DataFrame, int]]) -> dict[int, int]:
-    """Row counts of several frames, each capped at its limit + 1, in one job."""
+    """Row counts of several frames in one job (partial counts per task)."""
     if not frames:
         return {}
-    parts = [df.limit(cap + 1).select(F.lit(i).alias("_i")) for i, (df, cap) in frames.items()]
+    parts = [df.select(F.lit(i).alias("_i")) for i, (df, _) in frames.items()]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)

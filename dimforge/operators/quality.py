@@ -114,16 +114,12 @@ def missing_codes(batch: DataFrame, code: str, master: DataFrame, master_code: s
     return missing.where(F.col(code).isNotNull()).groupBy(code).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def missing_code_alert(per_code: DataFrame, code: str, listed: int = 50) -> DataFrame:
-    """One alert row: number of rows, number of codes and the first ``listed``
-    codes in order (the listing is a message, so it is bounded)."""
-    totals = per_code.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
-                          F.count(F.lit(1)).alias("n_codes")).withColumn("_one", F.lit(1))
-    first = (per_code.select(code).orderBy(code).limit(listed)
-             .agg(F.array_join(F.sort_array(F.collect_list(code)), ", ").alias("codes"))
-             .withColumn("_one", F.lit(1)))
-    # Both sides are single aggregate rows: an equi-join on a constant.
-    return totals.join(F.broadcast(first), "_one").drop("_one")
+def missing_code_alert(per_code: DataFrame, code: str) -> DataFrame:
+    """One alert row: number of rows and number of codes.
+
+    The codes themselves are the rows of ``missing_codes``, all of them.
+    """
+    return per_code.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"), F.count(F.lit(1)).alias("n_codes"))
 
 
 @dataclass(frozen=True)

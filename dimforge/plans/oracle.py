@@ -434,9 +434,7 @@ select user_id, count(*) as n_rows from events group by user_id having count(*)
     "first_trade_lookup": sql("select * from first_trade", "first_trade"),
     "missing_codes": sql("select * from missing_trx", "missing_trx"),
     "missing_code_alert": sql("""
-select cast(coalesce(sum(n_rows), 0) as bigint) as n_rows, count(*) as n_codes,
-       (select string_agg(trx_cd, ', ' order by trx_cd) from (select trx_cd from missing_trx order by trx_cd limit 50) f)
-           as codes
+select cast(coalesce(sum(n_rows), 0) as bigint) as n_rows, count(*) as n_codes
 from missing_trx""", "missing_trx"),
     "missing_codes_excluded": sql("select * from stg_trade where trx_cd in (select trx_cd from trx_mastr)",
                                   "stg_trade", "trx_mastr"),
