@@ -57,9 +57,9 @@ def membership_bits(ids: DataFrame, bits: int):
     slot = F.shiftrightunsigned(ids.columns[0], 64 - bits)
     words = (ids.select(F.shiftright(slot, 6).alias("word"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
              .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")))
+    found = words.toArrow()  # one job; a row iterator would run one job per partition
     out = np.zeros(1 << (bits - 6), np.int64)
-    for r in words.toLocalIterator():
-        out[r.word] = r.bits
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return out.view(np.uint64)
 
 

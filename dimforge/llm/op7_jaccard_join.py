@@ -136,7 +136,7 @@ def _frequency_tables(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarra
     merged = partial.groupBy("fragment").applyInArrow(merge, "fragment long, seen binary, level binary")
     seen = np.zeros((1 << bits, seen_slots // 8), np.uint8)
     level = np.zeros((1 << bits, class_slots), np.uint8)
-    for row in merged.toLocalIterator():  # tables of fixed size, 20 MB in all
+    for row in merged.collect():  # tables of fixed size, 20 MB in all; one job, so the fragments merge in parallel
         seen[row.fragment] = np.frombuffer(row.seen, np.uint8)
         level[row.fragment] = np.frombuffer(row.level, np.uint8)
     return seen.ravel(), level.ravel()
