@@ -113,7 +113,7 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
     schema = "slice int, part int, sums binary"
     sums = docs.select("text").mapInArrow(local, schema).groupBy("slice", "part").applyInArrow(add, schema)
     out = np.zeros((SLICES, SLOTS // SLICES * DIM), np.int64)
-    for r in sums.groupBy("slice").applyInArrow(add, schema).toLocalIterator():  # fixed size: 2 MB
+    for r in sums.groupBy("slice").applyInArrow(add, schema).collect():  # fixed size: 2 MB; one job
         out[r.slice] = np.frombuffer(r.sums, np.int64)
     out = out.reshape(SLOTS, DIM).astype(np.float64)
     out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
