@@ -43,10 +43,16 @@ def active(target: DataFrame, spec: HashScd2Spec) -> DataFrame:
     return target.where(F.col(spec.flag).isin(ACTIVE, INACTIVE))
 
 
+def in_force(target: DataFrame, spec: HashScd2Spec) -> DataFrame:
+    """Versions a batch is compared with: flag 'Y'.  An inactivated ('D') key
+    has none, so its return opens a version even with unchanged values."""
+    return target.where(F.col(spec.flag) == ACTIVE)
+
+
 def identify(batch: DataFrame, current: DataFrame, spec: HashScd2Spec,
              carry: Callable[[DataFrame], dict[str, Column]] | None = None, small: bool | None = None
              ) -> DataFrame:
-    """Left join the batch to the active version of its key and hash it.
+    """Left join the batch to the version of its key in force and hash it.
 
     Adds ``tgt_<sk>``, ``tgt_<flag>``, ``tgt_<hash>`` and every target column as
     ``tgt_<col>``; ``carry(joined)`` may return column overrides computed from
@@ -153,12 +159,14 @@ def superseded(state: DataFrame, spec: HashScd2Spec, ctx: RunContext, modified_b
 
 
 def inactivation_rows(current: DataFrame, batch_keys: DataFrame, spec: HashScd2Spec, ctx: RunContext,
-                      created_by: str) -> DataFrame:
+                      created_by: str, scope: Column | None = None) -> DataFrame:
     """Full file: active keys missing from the batch get an inactivation
     version (same attributes, flag 'D', from the batch date).  Keys already
-    'D' are left alone."""
+    'D' are left alone, and so are rows outside ``scope``, the part of the
+    table the file speaks for (such as its source system)."""
     keys = list(spec.keys)
-    gone = current.where(F.col(spec.flag) == ACTIVE).join(batch_keys.select(*keys).distinct(), keys, "left_anti")
+    mine = in_force(current, spec) if scope is None else in_force(current, spec).where(scope)
+    gone = mine.join(batch_keys.select(*keys).distinct(), keys, "left_anti")
     return open_versions(gone, spec, ctx, created_by, flag=INACTIVE)
 
 

@@ -51,6 +51,7 @@ def policy_detail(sf_dir: str) -> DatasetSpec:
     return DatasetSpec(
         name="STG_TRADE", target_table="plcy_detl", load_type=2, natural_key=policy.SPEC.keys,
         surrogate_key=policy.SPEC.sk, entity=policy.ENTITY, hash_spec=policy.SPEC, carry=policy.carry_forward,
+        file_scope=policy.file_scope,
         sources={"time": lambda spark: fx.stg_trade(spark, sf_dir),
                  "full": lambda spark: fx.stg_trade(spark, sf_dir)},
         lookups={"cstmr": lambda spark: fx.stg_cstmr(spark, sf_dir),

@@ -26,7 +26,7 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
@@ -36,7 +36,7 @@ from dimforge.operators.joins import batch_is_small
 from dimforge.operators.lookup import broadcast_if_small
 from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
 from dimforge.operators.scd import Scd2Spec, scd2_apply
-from dimforge.operators.scd_hash import (HashScd2Spec, active, changed_or_new, identify, inactivation_rows,
+from dimforge.operators.scd_hash import (HashScd2Spec, changed_or_new, identify, in_force, inactivation_rows,
                                          open_versions, supersede)
 from dimforge.operators.upsert import insert_only, type1_join, type1_next_state, type1_route
 from dimforge.session import reliable_checkpoint
@@ -94,6 +94,7 @@ class DatasetSpec:
     hash_spec: HashScd2Spec | None = None  # type 2 by hash
     scd2_columns: Scd2Spec | None = None  # type 2 by columns (instead of hash_spec)
     carry: Callable | None = None  # type 2: carry-forward column rules
+    file_scope: Callable[[RunContext], Column] | None = None  # type 2 by hash: target rows a full file speaks for
     reject_rules: Sequence[quality.Rule] = ()  # rows of 'src' failing any rule are rejected
     code_checks: Sequence[CodeCheck] = ()  # run on the staged file, before the source filter
     error_key: str | None = None  # staged column identifying a row in error-log entries
@@ -217,13 +218,14 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         loaded = rows
     else:
         hs = spec.hash_spec
-        ident = identify(lkp, active(target, hs), hs, carry=spec.carry, small=small)
+        ident = identify(lkp, in_force(target, hs), hs, carry=spec.carry, small=small)
         frames["sink"] = changed_or_new(ident, hs)
         sel = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else frames["sink"]
         stamped = open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}")
         if file_type == "full":
             # a full file: active keys missing from it get an inactivation version
-            gone = inactivation_rows(target, lkp.select(*keys), hs, ctx, f"{ctx.job}-{spec.entity}")
+            gone = inactivation_rows(target, lkp.select(*keys), hs, ctx, f"{ctx.job}-{spec.entity}",
+                                     scope=spec.file_scope(ctx) if spec.file_scope else None)
             frames["inactivated"] = gone
             stamped = stamped.unionByName(gone.select(*stamped.columns))
         stamped = reliable_checkpoint(stamped)

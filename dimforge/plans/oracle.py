@@ -242,7 +242,7 @@ from (select l.*, t.plcy_detl_id as tgt_plcy_detl_id, t.hash_key as tgt_hash_key
                   then coalesce(l.frst_trd_dt, l.src_btch_dt)
                   else coalesce(l.frst_trd_dt, t.first_depst_dt) end as first_depst_dt
       from (select * from pol_lkp where plcy_mastr_id is not null) l
-      left join (select * from ods_plcy_detl where actv_indctr in ('Y', 'D')) t
+      left join (select * from ods_plcy_detl where actv_indctr = 'Y') t
         on l.src_sys = t.src_sys and l.plcy_mastr_id = t.plcy_mastr_id) x""", ("pol_lkp", "ods_plcy_detl"))
 
 cte("pol_changed", """
@@ -292,7 +292,7 @@ union all
 select cast(null as bigint), t.plcy_mastr_id, t.src_sys, t.plcy_iss_dt, t.custdn_firm_nm, t.plcy_status_id,
        t.first_depst_dt, {_stamp('D')}, t.hash_key
 from ods_plcy_detl t
-where t.actv_indctr = 'Y' and not exists (
+where t.actv_indctr = 'Y' and t.src_sys = 'ENVISION' and not exists (
   select 1 from pol_lkp l where l.plcy_mastr_id is not null and l.src_sys = t.src_sys
                               and l.plcy_mastr_id = t.plcy_mastr_id)"""), ("pol_changed", "ods_plcy_detl", "pol_lkp"))
 

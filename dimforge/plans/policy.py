@@ -3,7 +3,7 @@ compare, versioned append and supersede."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
@@ -13,7 +13,7 @@ from dimforge.operators.keys import count_and_high_water, latest_per_key, surrog
 from dimforge.operators.lookup import Lookup, enrich
 from dimforge.operators.schema import blank_to_null
 from dimforge.session import reliable_checkpoint
-from dimforge.operators.scd_hash import (HashScd2Spec, active, changed_or_new, identify, inactivation_rows,
+from dimforge.operators.scd_hash import (HashScd2Spec, changed_or_new, identify, in_force, inactivation_rows,
                                          open_versions, supersede)
 
 SPEC = HashScd2Spec(
@@ -107,10 +107,10 @@ def carry_forward(j: DataFrame) -> dict:
 
 
 def identified(lkp: DataFrame, target: DataFrame, small: bool | None = None) -> DataFrame:
-    """Batch rows with a policy, joined to the active version (``small``: the
+    """Batch rows with a policy, joined to the version in force (``small``: the
     caller's bound on the batch, e.g. ``trade.staged_is_small``)."""
     matched, _ = split_unmatched(lkp)
-    return identify(matched, active(target, SPEC), SPEC, carry=carry_forward, small=small)
+    return identify(matched, in_force(target, SPEC), SPEC, carry=carry_forward, small=small)
 
 
 TARGET_COLUMNS = ("plcy_detl_id", "plcy_mastr_id", "src_sys", "plcy_iss_dt", "custdn_firm_nm", "plcy_status_id",
@@ -164,10 +164,16 @@ def next_state(target: DataFrame, versions: DataFrame, ctx: RunContext, n_versio
                      touched=versions, touched_rows=n_versions)
 
 
+def file_scope(ctx: RunContext) -> Column:
+    """Target rows a full file speaks for: those of its source system."""
+    return F.col("src_sys") == ctx.source_system
+
+
 def full_file_changes(target: DataFrame, ident: DataFrame, batch_keys: DataFrame, ctx: RunContext,
                       buckets: int | None = None) -> tuple[DataFrame, int]:
     """Full file: new versions plus an inactivation version ('D') for every
-    active key missing from the file, numbered together; with their count."""
-    gone = inactivation_rows(target.select(*TARGET_COLUMNS), batch_keys, SPEC, ctx, f"{ctx.job}-{ENTITY}")
+    active key of the file's source system missing from it, numbered together; with their count."""
+    gone = inactivation_rows(target.select(*TARGET_COLUMNS), batch_keys, SPEC, ctx, f"{ctx.job}-{ENTITY}",
+                             scope=file_scope(ctx))
     stamped = version_rows(ident, ctx).unionByName(gone.select(*version_rows(ident, ctx).columns))
     return number_versions_counted(stamped, target, buckets)

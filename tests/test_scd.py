@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
 from dimforge.operators.scd import Scd2Spec, already_loaded, rollback_columns_version, scd2_apply
-from dimforge.operators.scd_hash import (HashScd2Spec, inactivation_rows, open_versions, rollback, supersede,
-                                         superseded)
+from dimforge.operators.scd_hash import (HashScd2Spec, changed_or_new, identify, in_force, inactivation_rows,
+                                         open_versions, rollback, supersede, superseded, with_hash)
 
 SPEC = Scd2Spec(key="id", sk="sk", columns=("name", "note"), tracked=("name",))
 CTX = RunContext(batch_id=9, batch_ts="2025-03-01 10:00:00", batch_date="2025-03-01", job="t", run_id="r")
@@ -115,6 +115,24 @@ def test_full_file_inactivation_and_return(spark):
     assert [(r.pid, r.actv_indctr) for r in gone] == [(100, "D")]  # 200 already 'D' is left alone
 
 
+def test_inactivated_key_returns_unchanged(spark):
+    st = with_hash(_hstate(spark, [(1, 100, "x", "Y"), (2, 200, "y", "D")]), HSPEC)
+    batch = spark.createDataFrame([("S", 100, "x"), ("S", 200, "y")], "sys string, pid bigint, v string")
+    back = changed_or_new(identify(batch, in_force(st, HSPEC), HSPEC), HSPEC)
+    assert [r.pid for r in back.collect()] == [200]
+    new = open_versions(back.select(F.lit(3).cast("bigint").alias("sk"), "sys", "pid", "v", "hash_key"), HSPEC, CTX, "t")
+    after = supersede(st.unionByName(new.select(*st.columns)), HSPEC, CTX, "t")
+    assert {r.sk: r.actv_indctr for r in after.collect()} == {1: "Y", 2: "N", 3: "Y"}
+
+
+def test_full_file_leaves_other_sources_alone(spark):
+    st = _hstate(spark, [(1, 100, "x", "Y"), (2, 200, "y", "Y")])
+    other = st.withColumn("sys", F.lit("OTHER"))
+    no_keys = spark.createDataFrame([], "sys string, pid bigint")
+    gone = inactivation_rows(st.unionByName(other), no_keys, HSPEC, CTX, "t", scope=F.col("sys") == "S").collect()
+    assert sorted((r.sys, r.pid) for r in gone) == [("S", 100), ("S", 200)]
+
+
 def test_hash_rollback_reopens_and_removes(spark):
     st = _hstate(spark, [(1, 100, "x", "Y"), (2, 200, "y", "Y")])
     new = open_versions(spark.createDataFrame([(3, "S", 100, "x2", None)], "sk bigint, sys string, pid bigint, v string, hash_key string"),
