@@ -436,7 +436,7 @@ select user_id, count(*) as n_rows from events group by user_id having count(*)
     "missing_code_alert": sql("""
 select cast(coalesce(sum(n_rows), 0) as bigint) as n_rows, count(*) as n_codes
 from missing_trx""", "missing_trx"),
-    "missing_codes_excluded": sql("select * from stg_trade where trx_cd in (select trx_cd from trx_mastr)",
+    "missing_codes_excluded": sql("select * from stg_trade where trx_cd is null or trx_cd in (select trx_cd from trx_mastr)",
                                   "stg_trade", "trx_mastr"),
     "reversal_load": sql(f"""
 select cast(null as bigint) as trade_id, src_sys, acct_num, trx_cd, cast(-amount as decimal(18,2)) as amount,

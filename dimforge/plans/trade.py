@@ -127,9 +127,11 @@ def missing_trx_codes(stg: DataFrame, trx_master: DataFrame) -> DataFrame:
 
 
 def rows_with_known_codes(stg: DataFrame, trx_master: DataFrame) -> DataFrame:
-    """Policy ``exclude``: rows whose code is missing from the master are not loaded."""
-    codes, _ = broadcast_if_small(trx_master.select("trx_cd").distinct())
-    return stg.join(codes, "trx_cd", "left_semi")
+    """Policy ``exclude``: rows whose code is missing from the master are not loaded.
+    A NULL code is not a missing one: its row stays, as in the spec runner."""
+    codes, _ = broadcast_if_small(trx_master.select("trx_cd").distinct().withColumn("_known", F.lit(True)))
+    marked = stg.join(codes, "trx_cd", "left")
+    return marked.where(F.col("_known") | F.col("trx_cd").isNull()).drop("_known")
 
 
 def fact_with_batch(facts: DataFrame, stg: DataFrame, ctx: RunContext) -> DataFrame:

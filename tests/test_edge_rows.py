@@ -154,3 +154,11 @@ def test_carry_forward_rules(spark):
     assert [r.fk for r in got] == [d(2024, 5, 5), d(2025, 1, 1), None, d(2024, 5, 5), d(2020, 1, 1)]
     assert [r.fs for r in got] == [d(2025, 1, 1), d(2025, 1, 1), None, d(2020, 1, 1), d(2020, 1, 1)]
     assert [r.st for r in got] == [d(2024, 5, 5), d(1900, 1, 1), None, d(2024, 5, 5), d(2020, 1, 1)]
+
+
+def test_rows_with_a_null_code_are_not_excluded(spark):
+    from dimforge.plans.trade import rows_with_known_codes
+
+    stg = spark.createDataFrame([(1, "A"), (2, "Z"), (3, None)], "trade_id int, trx_cd string")
+    master = spark.createDataFrame([("A",), ("A",), (None,)], "trx_cd string")
+    assert sorted(r.trade_id for r in rows_with_known_codes(stg, master).collect()) == [1, 3]
