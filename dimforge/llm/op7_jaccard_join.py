@@ -11,10 +11,16 @@ are counted per fragment and summed per pair.
    largest frequency class per slot.  Slots are hash prefixes, so the tables
    only steer order and skip n-grams that cannot match; they never lose a link.
 3. Prefix filter: two linked sets share one of their first ``n - ceil(0.75 n) + 1``
-   n-grams in the global order.  Those n-grams are the postings.
-4. Every n-gram's postings are compared with one member (the leader).  Pairs
-   already in one component need no comparison, so a large group of near copies
-   costs one pair per member, not all pairs.  N-grams whose remaining postings
+   n-grams in the global order.  Those n-grams are the postings.  Two classes can
+   share no more than the n-grams that either has in common with any other text, so
+   pairs whose sizes or ``common`` counts rule a link out are never compared.
+4. Every n-gram has one leading posting, that of the class whose prefix holds the
+   most frequent n-grams: near copies differ from their original by rare n-grams,
+   so the original leads and its copies link to it.  A class is first compared with one
+   class only, the leader that it shares the most n-grams with, so a large group
+   of near copies costs one pair per member, however many leaders it has.  Then
+   every n-gram's postings are compared with its leader.  Pairs already in one
+   component need no comparison.  N-grams whose remaining postings
    still span several components go to another round with the next leader; once
    few pairs are left, all of them across components are compared.
 5. A comparison joins the two classes' segments of each fragment, counts partial
@@ -143,18 +149,24 @@ def _frequency_tables(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _postings(docs: DataFrame, seen: np.ndarray, level: np.ndarray) -> DataFrame:
-    """(tok, cls, n): prefix n-grams of every class that occur twice or more anywhere."""
+    """(tok, cls, n, common, weight): prefix n-grams of every class that occur twice or more anywhere.
+
+    ``common`` is the number of the class's n-grams that may occur elsewhere and
+    ``weight`` the mean frequency class of its prefix.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((seen, level))
 
     def run(batches):
         seen, level = shared.value
         done = set()
-        toks, ids, sizes, held = [], [], [], 0
+        toks, ids, sizes, commons, weights, held = [], [], [], [], [], 0
 
         def batch():
+            times = [len(t) for t in toks]
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(toks).view(np.int64)), pa.array(np.repeat(ids, [len(t) for t in toks])),
-                 pa.array(np.repeat(sizes, [len(t) for t in toks]))], names=["tok", "cls", "n"])
+                [pa.array(np.concatenate(toks).view(np.int64)),
+                 *(pa.array(np.repeat(c, times)) for c in (ids, sizes, commons, weights))],
+                names=["tok", "cls", "n", "common", "weight"])
 
         for _, _, s in _sets(batches):
             if not len(s):
@@ -172,14 +184,16 @@ def _postings(docs: DataFrame, seen: np.ndarray, level: np.ndarray) -> DataFrame
                 toks.append(head)
                 ids.append(cls)
                 sizes.append(len(s))
+                commons.append(int(np.count_nonzero(rank)))
+                weights.append(float(rank[order].mean()))
                 held += len(head)
             if held > 100_000:
                 yield batch()
-                toks, ids, sizes, held = [], [], [], 0
+                toks, ids, sizes, commons, weights, held = [], [], [], [], [], 0
         if held:
             yield batch()
 
-    return docs.select("text").mapInArrow(run, "tok long, cls long, n long")
+    return docs.select("text").mapInArrow(run, "tok long, cls long, n long, common long, weight double")
 
 
 def _segments(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -267,42 +281,70 @@ def connected_components(edges: DataFrame) -> DataFrame:
         current.groupBy(F.col("lo").alias("node")).agg(F.min("lo").alias("comp")))
 
 
-def _leader_pairs(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings other than their n-gram's leader, and the distinct pairs (leader, other).
+def _may_link(n_a: str, common_a: str, n_b: str, common_b: str) -> str:
+    """SQL condition: sizes and common n-grams leave room for the threshold (never false for a link)."""
+    return (f"100 * least({n_a}, {n_b}) >= {PERCENT} * greatest({n_a}, {n_b})"
+            f" and {100 + PERCENT} * least({common_a}, {common_b}) >= {PERCENT} * ({n_a} + {n_b})")
+
+
+def _led(posts: DataFrame) -> DataFrame:
+    """Postings other than their n-gram's leader, with the leader as ``lead``.
 
-    ``posts`` has (tok, cls, n, comp); only n-grams over two components or more stay.
+    ``posts`` has (tok, cls, n, common, weight, comp); only n-grams over two components or more stay.
     """
-    leads = (posts.groupBy("tok").agg(F.min(F.struct("cls", "n", "comp")).alias("lead"),
+    leads = (posts.groupBy("tok").agg(F.max(F.struct("weight", "cls", "n", "common", "comp")).alias("lead"),
                                       F.min("comp").alias("c0"), F.max("comp").alias("c1"))
              .filter("c0 <> c1").select("tok", "lead"))
-    led = materialise(posts.join(leads, "tok").filter("cls <> lead.cls"), "jaccard-led")
-    pairs = (led.filter("comp <> lead.comp and 100 * least(n, lead.n) >= %d * greatest(n, lead.n)" % PERCENT)
-             .select(F.col("lead.cls").alias("a"), F.col("lead.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
-             .distinct())
-    return led.select("tok", "cls", "n"), materialise(pairs, "jaccard-pairs")
+    return posts.join(leads, "tok").filter("cls <> lead.cls")
+
+
+def _led_pairs(led: DataFrame) -> DataFrame:
+    """Pairs (leader, other) across components whose sizes allow a link, one row per shared n-gram."""
+    return (led.filter("comp <> lead.comp and " + _may_link("n", "common", "lead.n", "lead.common"))
+            .select(F.col("lead.cls").alias("a"), F.col("lead.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb")))
+
+
+def _first_pairs(posts: DataFrame) -> DataFrame:
+    """For every class the pair with the leader that it shares the most n-grams with (ties: the smaller one)."""
+    shared = _led_pairs(_led(posts)).groupBy("a", "na", "b", "nb").count()
+    best = shared.groupBy("b", "nb").agg(F.max(F.struct("count", -F.col("a"), "a", "na")).alias("best"))
+    return best.select("best.a", "best.na", "b", "nb")
+
+
+def _leader_pairs(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings other than their n-gram's leader, and the distinct pairs (leader, other)."""
+    led = materialise(_led(posts), "jaccard-led")
+    return led.select("tok", "cls", "n", "common", "weight"), _led_pairs(led).distinct()
 
 
 def _cross_pairs(rest: DataFrame, open_toks: DataFrame) -> DataFrame:
-    """All pairs of different components per n-gram, through the rows outside its largest component."""
-    y = (rest.select("tok", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    """All pairs of different components that may link, through the rows outside each n-gram's largest component.
+
+    A pair not compared before still has all its shared prefix n-grams in ``rest``: a leader's
+    posting goes only once the leader's pairs at that n-gram are compared.  Behind
+    the prefix that ends first, its class has ceil(0.75 n) - 1 n-grams, so the number shared
+    within the prefixes bounds the whole overlap.
+    """
+    y = (rest.select("tok", F.struct("cls", "n", "common").alias("b"), F.col("comp").alias("cb"))
          .join(open_toks.select("tok", "major"), "tok"))
-    x = y.filter("cb <> major").select("tok", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("cb").alias("ca"))
+    x = y.filter("cb <> major").select("tok", F.col("b").alias("a"), F.col("cb").alias("ca"))
     near = x.join(y, "tok").filter(
-        "ca <> cb and (cb = major or a < b) and 100 * least(na, nb) >= %d * greatest(na, nb)" % PERCENT)
-    return near.select("a", "na", "b", "nb").distinct()
+        "ca <> cb and (cb = major or a.cls < b.cls) and " + _may_link("a.n", "a.common", "b.n", "b.common"))
+    shared = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").count()
+    behind = f"({PERCENT} * greatest(a.n, b.n) + 99) div 100 - 1"
+    return (shared.filter(f"{100 + PERCENT} * (count + {behind}) >= {PERCENT} * (a.n + b.n)")
+            .select(F.col("a.cls").alias("a"), F.col("a.n").alias("na"), F.col("b.cls").alias("b"), F.col("b.n").alias("nb")))
 
 
 def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
     """(node, comp) for every class that has a link."""
     bits = min(20, max(6, int(n_tokens // FRAGMENT_TOKENS).bit_length()))
     rest = materialise(_postings(docs, *_frequency_tables(docs, bits)), "jaccard-postings").withColumn("comp", F.col("cls"))
+    pairs = compared = materialise(_first_pairs(rest), "jaccard-pairs")
+    rest = rest.drop("comp")
     comps = budget = None
     last = False
     while True:
-        if last:
-            pairs = materialise(_cross_pairs(rest, open_toks), "jaccard-pairs")
-        else:
-            rest, pairs = _leader_pairs(rest)
         if not pairs.isEmpty():
             links = materialise(verified_links(docs, pairs), "jaccard-links")
             if not links.isEmpty():
@@ -315,7 +357,7 @@ def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
             rest = rest.withColumn("comp", F.col("cls"))
         else:
             rest = materialise(rest.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-                               .select("tok", "cls", "n", F.coalesce("comp", "cls").alias("comp")), "jaccard-rest")
+                               .select("tok", "cls", "n", "common", "weight", F.coalesce("comp", "cls").alias("comp")), "jaccard-rest")
         sizes = rest.groupBy("tok", "comp").count()
         open_toks = materialise(sizes.groupBy("tok").agg(
             F.max_by("comp", "count").alias("major"), F.sum("count").alias("m"), F.max("count").alias("top"))
@@ -324,8 +366,16 @@ def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
         if cost is None:
             return comps
         # each leader round allows four times the pairs, so the rounds end
-        budget = 4 * budget if budget else 20 * n_rows + 1_000_000
+        budget = 4 * budget if budget else 20 * n_rows
         last = cost <= budget
+        if last:
+            pairs = _cross_pairs(rest, open_toks)
+        else:
+            rest, pairs = _leader_pairs(rest)
+        # the first pairs are compared once; later rounds cannot meet a pair again
+        first = compared.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        pairs = materialise(pairs.join(first, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"),
+                            "jaccard-pairs")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
