@@ -29,6 +29,50 @@ def test_jaccard_links_and_edges(spark, odd):
     assert got[101] == (56, 100) and got[102] == (56, 102)
 
 
+def test_jaccard_hubs_and_shared_passages_match_brute_force(spark):
+    """Copies that link to their original only, copies of copies, and a passage most texts share."""
+    from dimforge.llm.op7_jaccard_join import jaccard_components
+
+    rng = random.Random(7)
+
+    def words(n):
+        return [f"v{rng.randrange(5000)}" for _ in range(n)]
+
+    def edited(text, changes):
+        out = list(text)
+        for _ in range(changes):
+            out[rng.randrange(len(out))] = f"e{rng.randrange(10**6)}"
+        return out
+
+    hub, passage, texts = words(150), words(60), []
+    texts += [edited(hub, rng.choice([0, 2, 3, 4, 5, 6, 8])) for _ in range(60)]
+    texts += [passage + words(rng.randint(4, 30)) for _ in range(50)]
+    for _ in range(5):  # chains: each a copy of the one before
+        chain = [words(120)]
+        for _ in range(6):
+            chain.append(edited(chain[-1], 3))
+        texts += chain
+    texts += rng.sample(texts, 15)
+    rng.shuffle(texts)
+
+    sets = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in texts]
+    comp = list(range(len(texts)))
+
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                comp[b] = a
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(rows).collect()}
+    assert got == {i: (len(sets[i]), root(i)) for i in range(len(texts))}
+
+
 def test_mix_targets_and_bounds(spark):
     from dimforge.llm.op2_mixing import mix
 
