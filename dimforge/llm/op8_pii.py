@@ -38,7 +38,8 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-OCTET = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+# A part of zeros only must still match, so the leading zeros give back a digit.
+OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 # Wider patterns of the generators.
 WIDE = {
     "email": r"[A-Za-z0-9._%+-]{1,64}+(?:\x20?(?:@|\(at\)|\[at\])\x20?|\x20at\x20)[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?|\x20dot\x20)[A-Za-z0-9-]{1,63}+)+",
