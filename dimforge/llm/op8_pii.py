@@ -5,7 +5,9 @@ always stay.  High-recall generators propose further, overlapping candidates of
 kinds (spelled-out emails, cards with unusual groups or a typing error, phones without
 a plus, spaced addresses).  Boosted trees score each candidate by format and context
 features; a threshold per kind, calibrated on generated examples that the trees did not
-see, selects spans.  A selected span that overlaps a base span or a better candidate goes.
+see, selects spans.  A selected span that overlaps a base span goes; the others are taken by
+falling score (of equal scores the first kind, then the first start), each unless it
+overlaps one taken before.
 
 The trees are trained by Spark's gradient-boosted trees on a bounded generated set and
 then written as CASE expressions, so the main path is built-in column functions only.
@@ -246,6 +248,15 @@ def train(spark: SparkSession) -> Scorer:
     return scorer
 
 
+def best_apart(cands: Column) -> Column:
+    """array<(kind, s, e)>: the candidates taken by falling score, each unless it overlaps one taken before."""
+    ranked = F.sort_array(F.transform(cands, lambda c: F.struct(
+        F.negative(c["p"]).alias("low"), c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"))))
+    add = lambda taken, c: F.when(F.exists(taken, lambda o: (o["s"] < c["e"]) & (c["s"] < o["e"])), taken).otherwise(
+        F.concat(taken, F.array(F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e")))))
+    return F.aggregate(ranked, F.array().cast(f"array<{SPAN}>"), add)
+
+
 def find_spans(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``base_spans`` and ``all_spans`` (arrays of kind, s, e, by kind, then start)."""
     scorer = train(docs.sparkSession)
@@ -254,10 +265,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
     def chosen(base, cands):
         scored = F.transform(cands, lambda c: F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), scorer.score(c["f"]).alias("p")))
         apart = F.filter(scored, lambda c: (c["p"] >= scorer.threshold(c["kind"])) & ~F.exists(base, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
-        return let(apart, lambda a: F.transform(
-            F.filter(a, lambda c: ~F.exists(a, lambda o: (o["s"] < c["e"]) & (c["s"] < o["e"]) & (
-                (o["p"] > c["p"]) | ((o["p"] == c["p"]) & (o["kind"] < c["kind"]))))),
-            lambda c: F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"))))
+        return best_apart(apart)
 
     # texts without a digit, an @ or a spelled-out "at" skip every pattern
     some = F.rlike(text, F.lit("[0-9@]|[(\\[ ]at[)\\] ]"))
