@@ -1,34 +1,40 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: pair seeds that no copy lacks, then Smith-Waterman alignment.
 
-Words are runs of letters and digits, lower-cased.  Seeds are an item's 4-word
-n-grams (an item of fewer words is one seed).
+Words are runs of letters and digits, lower-cased.  A document leaks an item when the
+best local alignment over words (match +2, mismatch and gap -1) reaches ``MIN_RATIO`` of
+a perfect one; an item of two words needs more than that, as one word alone scores half.
 
-1. A bitmap of all seeds, sized from their number and at most 128 MB, lets each
-   task find the few n-grams of a document that may be seeds.  Hits close to each
-   other form a window, padded by the longest item on both sides.
-2. Hits join the exact seed table.  A seed is *rare* if it occurs in at most
-   ``RARE`` times as many documents as the median seed of the same item, so an
-   item that leaked everywhere keeps its seeds while stock phrases lose theirs.
-   A window and an item become candidates through one rare seed or two of any kind.
-3. Each candidate is aligned locally over words (match +2, mismatch and gap -1).
-   It counts as a leak when the score reaches ``MIN_RATIO`` of a perfect one.
+A seed is an ordered pair of words with at most one word between them.  An alignment of M
+matches and E edits reaches the ratio r of n words only if 2M - E >= 2rn.  Two edits
+or more between neighbouring matches cost a match, so at least rn - 1 words of the item
+start a seed that the document has, all within (3 - 2r) n words.  Therefore:
+
+1. The items are dealt into chunks of about ``CHUNK_WORDS`` words; each chunk's index
+   is broadcast and the documents are read twice per chunk.
+2. The first pass counts the documents that hold each seed.  Every item leaves out
+   the rn - 2 starts whose seeds are the most frequent.  A copy still has a seed; the
+   frequencies steer the work and never the result.
+3. The second pass finds the remaining seeds in a document.  Around each, the item must
+   share rn - 1 seeds of any frequency within the span, and is then aligned.
 
 Defined results: NULL or word-free texts (documents or items) never match;
-repeated rows give one result per (doc_id, item_id); extra columns are ignored.
+repeated rows give one result per (doc_id, item_id); rows with a NULL id count as rows of
+one id, and the result names them by NULL; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import bounded_batches, materialise, membership_bits
+from dimforge.llm.common import bounded_batches, materialise
 from dimforge.llm.textnum import grams, run_bounds, span_hashes
 
-K = 4
-RARE = 4
+CHUNK_WORDS = 1 << 20
 MIN_RATIO = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -47,8 +53,8 @@ def content_words(text: str | None) -> np.ndarray:
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment: (score, start, end) of the aligned part of the window."""
     n, m = len(item), len(window)
-    table = np.zeros((n + 1, m + 1), np.int64)
-    ramp = np.arange(m + 1) * -GAP
+    table = np.zeros((n + 1, m + 1), np.int32)
+    ramp = np.arange(m + 1, dtype=np.int32) * -GAP
     for i in range(1, n + 1):
         above = table[i - 1]
         row = np.maximum(above + GAP, 0)
@@ -66,99 +72,203 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     return score, int(j), end
 
 
+def word_pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(seed, start) of all pairs at distance 1 and 2."""
+    near = grams(words, 2)
+    # the pairs over one word, in the even and the odd places
+    far = np.empty(max(0, len(words) - 2), np.uint64)
+    far[::2], far[1::2] = grams(words[::2], 2), grams(words[1::2], 2)
+    return np.concatenate([near, far]), np.concatenate([np.arange(len(near)), np.arange(len(far))])
+
+
+def needed(n: int) -> int:
+    """Starts of seeds that every copy of an item of n words shares with it."""
+    return max(1, math.ceil(MIN_RATIO * n) - 1)
+
+
+def span(n: int) -> int:
+    """The most words that a copy of an item of n words covers."""
+    return math.ceil((3 - 2 * MIN_RATIO) * n)
+
+
+def is_leak(score: int, n: int) -> bool:
+    return score > MATCH if n == 2 else score >= MIN_RATIO * MATCH * n
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             words = [content_words(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([w.view(np.int64) for w in words], pa.list_(pa.int64())),
-                 pa.array([np.unique(grams(w, min(K, len(w)))).view(np.int64) if len(w) else [] for w in words], pa.list_(pa.int64()))],
-                names=["item_id", "item_words", "seeds"])
+                [batch.column(0), pa.array([w.view(np.int64) for w in words], pa.list_(pa.int64()))], names=["item_id", "item_words"])
 
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(
-        run, "item_id long, item_words array<long>, seeds array<long>")
+    rows = benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(run, "item_id long, item_words array<long>")
     return rows.filter(F.size("item_words") > 0).dropDuplicates(["item_id", "item_words"])
 
 
-def _windows(docs: DataFrame, bitmap: np.ndarray, bits: int, sizes: list[int], pad: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+class Lookup:
+    """Sorted distinct seeds behind a bitmap of their top bits."""
+
+    def __init__(self, seeds: np.ndarray):
+        self.seeds = np.unique(seeds)
+        self.shift = np.uint64(64 - max(20, int(32 * len(self.seeds)).bit_length()))
+        self.table = np.zeros(1 << (64 - int(self.shift) - 3), np.uint8)
+        slot = self.seeds >> self.shift
+        np.bitwise_or.at(self.table, (slot >> np.uint64(3)).astype(np.int64), np.left_shift(np.uint8(1), (slot & np.uint64(7)).astype(np.uint8)))
+
+    def find(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``seeds``, number of the seed) of those that are in the table."""
+        slot = seeds >> self.shift
+        at = np.flatnonzero((self.table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1))
+        number = np.searchsorted(self.seeds, seeds[at])
+        same = self.seeds[np.minimum(number, len(self.seeds) - 1)] == seeds[at]
+        return at[same], number[same]
+
+
+def _seeds(words: np.ndarray, single: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(seed, start): the word pairs, and the words themselves if items of one word need them."""
+    seeds, starts = word_pairs(words)
+    if single:
+        seeds, starts = np.concatenate([seeds, grams(words, 1)]), np.concatenate([starts, np.arange(len(words))])
+    return seeds, starts
+
+
+def _frequencies(docs: DataFrame, lookup: Lookup, single: bool) -> np.ndarray:
+    """Documents (rows) that hold each seed."""
+    shared = docs.sparkSession.sparkContext.broadcast(lookup)
 
     def run(batches):
         table = shared.value
+        counts = np.zeros(len(table.seeds), np.int64)
         for batch in batches:
-            rows = ([], [], [], [])
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                words = content_words(text.as_py())
-                at, seeds = [], []
-                for k in sizes:
-                    g = grams(words, k)
-                    slot = g >> np.uint64(64 - bits)
-                    hit = np.flatnonzero((table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
-                    at.append(hit)
-                    seeds.append(g[hit])
-                at, seeds = np.concatenate(at), np.concatenate(seeds)
-                if not len(at):
-                    continue
-                order = np.argsort(at, kind="stable")
-                at, seeds = at[order], seeds[order]
-                cuts = np.flatnonzero(np.diff(at) > pad) + 1
-                for a, s in zip(np.split(at, cuts), np.split(seeds, cuts)):
-                    start = max(0, int(a[0]) - pad)
-                    rows[0].append(doc_id.as_py())
-                    rows[1].append(start)
-                    rows[2].append(words[start : int(a[-1]) + K + pad].view(np.int64))
-                    rows[3].append(np.unique(s).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()),
-                 pa.array(rows[2], pa.list_(pa.int64())), pa.array(rows[3], pa.list_(pa.int64()))],
-                names=["doc_id", "win", "words", "seeds"])
+            for text in batch.column(0):
+                counts[np.unique(table.find(_seeds(content_words(text.as_py()), single)[0])[1])] += 1
+        some = np.flatnonzero(counts)
+        for k in range(0, len(some), 1 << 16):
+            part = some[k:k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], names=["number", "df"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null").mapInArrow(
-        run, "doc_id long, win long, words array<long>, seeds array<long>")
+    found = docs.select("text").mapInArrow(run, "number long, df long").groupBy("number").agg(F.sum("df").alias("df")).toArrow()
+    out = np.zeros(len(lookup.seeds), np.int64)
+    out[found.column("number").to_numpy()] = found.column("df").to_numpy()
+    shared.destroy()
+    return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, score, ratio, start_word, end_word): benchmark items found in documents.
+class Index:
+    """The kept seeds of a chunk's items and the items that each belongs to."""
 
-    The best window per document and item; word positions count content words.
-    """
-    bounded_batches(docs.sparkSession)
-    items = materialise(_items(benchmark), "decontam-items")
-    seeds = materialise(items.select("item_id", F.explode("seeds").alias("seed")).distinct(), "decontam-seeds")
-    shape = items.agg(F.max(F.size("item_words")), F.collect_set(F.least(F.lit(K), F.size("item_words"))), F.sum(F.size("seeds"))).first()
-    pad, sizes, n_seeds = shape[0] or 0, sorted(shape[1]) or [K], shape[2] or 0
-    bits = min(30, max(20, int(32 * n_seeds).bit_length()))
-    windows = materialise(_windows(docs, membership_bits(seeds.select("seed"), bits), bits, sizes, pad), "decontam-windows")
-    hits = windows.select("doc_id", "win", F.explode("seeds").alias("seed")).join(seeds, "seed")
-    hits = materialise(hits.distinct(), "decontam-hits")
-    frequency = hits.select("doc_id", "seed").groupBy("seed").agg(F.count("*").alias("df"))
-    usual = (seeds.join(frequency, "seed", "left").groupBy("item_id")
-             .agg(F.percentile_approx(F.coalesce("df", F.lit(0)), 0.5).alias("median")))
-    rare = (seeds.join(frequency, "seed").join(usual, "item_id")
-            .select("item_id", "seed", (F.col("df") <= RARE * F.greatest("median", F.lit(1))).alias("rare")))
-    candidates = (hits.join(rare, ["seed", "item_id"]).groupBy("doc_id", "win", "item_id")
-                  .agg(F.count("*").alias("shared"), F.max("rare").alias("rare")).filter("rare or shared >= 2"))
-    # identical windows (copies of a document row) are aligned once
-    texts = windows.groupBy("doc_id", "win", "words").agg(F.count("*").alias("copies")).select("doc_id", "win", "words")
-    rows = (candidates.select("doc_id", "win", "item_id").join(texts, ["doc_id", "win"])
-            .join(items.select("item_id", "item_words"), "item_id"))
+    def __init__(self, ids: list, items: list[np.ndarray], lookup: Lookup, frequency: np.ndarray):
+        self.ids, self.items = ids, items
+        seeds, owners = [], []
+        for k, words in enumerate(items):
+            n = len(words)
+            if n == 1:
+                kept = grams(words, 1)
+            else:
+                pairs, starts = word_pairs(words)
+                cost = np.bincount(starts, frequency[np.searchsorted(lookup.seeds, pairs)], n - 1)
+                rare = np.zeros(n - 1, bool)
+                rare[np.argsort(cost, kind="stable")[: n - needed(n)]] = True
+                kept = np.unique(pairs[rare[starts]])
+            seeds.append(kept)
+            owners.append(np.full(len(kept), k))
+        seeds, owners = np.concatenate(seeds), np.concatenate(owners)
+        self.lookup = Lookup(seeds)
+        self.owners = owners[np.argsort(seeds, kind="stable")]
+        self.ends = np.searchsorted(np.sort(seeds), self.lookup.seeds, "right")
+        self.single = any(len(w) == 1 for w in items)
+
+    def candidates(self, words: np.ndarray) -> dict[int, np.ndarray]:
+        """Sorted starts of kept seeds in a document, per item."""
+        seeds, starts = _seeds(words, self.single)
+        at, number = self.lookup.find(seeds)
+        if not len(at):
+            return {}
+        first = np.where(number > 0, self.ends[number - 1], 0)
+        size = self.ends[number] - first
+        place = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        item, start = self.owners[place], np.repeat(starts[at], size)
+        order = np.lexsort((start, item))
+        item, start = item[order], start[order]
+        cuts = np.flatnonzero(np.diff(item)) + 1
+        return dict(zip(item[np.concatenate(([0], cuts))].tolist(), np.split(start, cuts)))
+
+    def leaks(self, words: np.ndarray):
+        """(item number, score, start, end) of the best alignment of each item found."""
+        for k, starts in self.candidates(words).items():
+            item, best = self.items[k], None
+            for lo, hi in _windows(item, words, starts):
+                score, a, b = align(item, words[lo:hi])
+                if is_leak(score, len(item)) and (best is None or (score, -a - lo) > (best[0], -best[1])):
+                    best = (score, a + lo, b + lo)
+            if best:
+                yield k, *best
+
+
+def _windows(item: np.ndarray, words: np.ndarray, starts: np.ndarray):
+    """Parts of a document around seeds that share enough seeds with the item, at most two spans long."""
+    n, reach = len(item), span(len(item))
+    cuts = np.flatnonzero(np.diff(starts) > 2 * reach) + 1
+    own = np.sort(word_pairs(item)[0]) if n > 1 else None
+    for part in np.split(starts, cuts):
+        first, last = max(0, int(part[0]) - reach), min(len(words), int(part[-1]) + reach + 1)
+        if n > 1:
+            seeds, at = word_pairs(words[first:last])
+            have = own[np.minimum(np.searchsorted(own, seeds), len(own) - 1)] == seeds
+            marks = np.concatenate(([0], np.cumsum(np.bincount(at[have], minlength=last - first) > 0)))
+        # every stretch of ``reach`` words lies in one of the windows
+        for lo in range(first, max(first + 1, last - reach), reach):
+            hi = min(last, lo + 2 * reach)
+            if n > 1:
+                m = marks[lo - first : hi - first + 1]
+                if (m[min(reach, hi - lo):] - m[: max(1, hi - lo - reach + 1)]).max() < needed(n):
+                    continue
+            yield lo, hi
+
+
+def _found(docs: DataFrame, index: Index) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
+        table = shared.value
         for batch in batches:
             out = ([], [], [], [], [], [])
-            for doc_id, item_id, win, item, words in zip(*(batch.column(i) for i in range(5))):
-                item = item.values.to_numpy(zero_copy_only=False)
-                score, a, b = align(item, words.values.to_numpy(zero_copy_only=False))
-                ratio = score / (MATCH * len(item))
-                if ratio >= MIN_RATIO:
-                    for column, value in zip(out, (doc_id.as_py(), item_id.as_py(), score, ratio, win.as_py() + a, win.as_py() + b)):
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                for k, score, a, b in table.leaks(content_words(text.as_py())):
+                    ratio = score / (MATCH * len(table.items[k]))
+                    for column, value in zip(out, (doc_id.as_py(), table.ids[k], score, ratio, a, b)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
                 names=["doc_id", "item_id", "score", "ratio", "start_word", "end_word"])
 
     schema = "doc_id long, item_id long, score long, ratio double, start_word long, end_word long"
-    found = rows.select("doc_id", "item_id", "win", "item_words", "words").mapInArrow(run, schema)
+    found = materialise(docs.mapInArrow(run, schema), "decontam-found")
+    shared.destroy()
+    return found
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, score, ratio, start_word, end_word): benchmark items found in documents.
+
+    The best place per document and item; word positions count content words.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    texts = docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null")
+    items = materialise(_items(benchmark), "decontam-items")
+    chunks = -(-(items.agg(F.sum(F.size("item_words"))).first()[0] or 0) // CHUNK_WORDS)
+    found = spark.createDataFrame([], "doc_id long, item_id long, score long, ratio double, start_word long, end_word long")
+    for c in range(chunks):
+        rows = items.filter(F.pmod(F.xxhash64("item_words"), F.lit(chunks)) == c).toArrow()
+        if not rows.num_rows:
+            continue
+        words = [np.array(w.as_py(), np.int64).view(np.uint64) for w in rows.column("item_words")]
+        single = any(len(w) == 1 for w in words)
+        lookup = Lookup(np.concatenate([_seeds(w, len(w) == 1)[0] for w in words]))
+        index = Index(rows.column("item_id").to_pylist(), words, lookup, _frequencies(texts, lookup, single))
+        found = found.union(_found(texts, index))
     best = found.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("ratio", "score", F.negative("start_word").alias("s"), "end_word")).alias("best"))
     return best.select("doc_id", "item_id", "best.score", "best.ratio", F.negative("best.s").alias("start_word"), "best.end_word")
