@@ -4,7 +4,8 @@ Every stage reads what its predecessor kept and returns the columns of
 ``documents`` (the last adds the mix's columns).  Stages run on written tables.
 
 A document's row is the unit: rows that repeat a doc_id with the same text are
-copies, of which the n-gram stage keeps one.  Extra columns of the input are dropped.
+copies, of which the n-gram stage keeps one.  Rows with a NULL doc_id are documents like any
+other; stages that join give each row a key of its own.  Extra columns of the input are dropped.
 
 SQL cannot express the stages (a trained network, alignment, random rounding), so
 ``ORACLE_SQL`` is None and tests compare each stage with a plain version.
@@ -42,8 +43,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Drop the documents in which a benchmark item is found."""
     from dimforge.llm.op3_decontaminate import leaks
 
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return _documents(docs).join(found, "doc_id", "left_anti").select(*COLUMNS)
+    keyed = materialise(_documents(docs).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = leaks(keyed.select(F.col("row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return keyed.join(found.select(F.col("doc_id").alias("row")).distinct(), "row", "left_anti").select(*COLUMNS)
 
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

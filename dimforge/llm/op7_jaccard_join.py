@@ -27,7 +27,9 @@ are counted per fragment and summed per pair.
    overlaps, and sums them per pair.
 
 Defined results: NULL or blank text has no shingles and links with nothing;
-repeated rows stay rows and share a component; extra columns are ignored.
+repeated rows stay rows and share a component; a row with a NULL doc_id is a text like
+any other, but its id never names a component (a component of such rows only is NULL);
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import bounded_batches, materialise, membership_bits
+from dimforge.llm.common import SPACE_RUN, bounded_batches, materialise, membership_bits
 from dimforge.llm.textnum import set_id, shingle_set
 
 PERCENT = 75
@@ -62,8 +64,8 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int = 0):
             yield batch, i, shingle_set(text.as_py(), SHINGLE)
 
 
-def document_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, cls) per row: size and id of its shingle set."""
+def document_classes(docs: DataFrame, *carry: str) -> DataFrame:
+    """(doc_id, n, cls) per row: size and id of its shingle set; ``carry`` columns come along."""
     def run(batches):
         for batch in batches:
             sizes, ids = [], []
@@ -71,9 +73,11 @@ def document_classes(docs: DataFrame) -> DataFrame:
                 s = shingle_set(text.as_py(), SHINGLE)
                 sizes.append(len(s))
                 ids.append(set_id(s))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=["doc_id", "n", "cls"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), *batch.columns[2:]],
+                                              names=["doc_id", "n", "cls", *carry])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, cls long")
+    types = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return docs.select(F.col("doc_id").cast("long"), "text", *carry).mapInArrow(run, "doc_id long, n long, cls long" + types)
 
 
 def _frequency_tables(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -378,33 +382,42 @@ def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
                             "jaccard-pairs")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of ``docs(doc_id, text)``.
-
-    ``component_id`` is the smallest doc_id reachable over links, itself included.
-    """
+def _row_components(docs: DataFrame, *carry: str) -> DataFrame:
+    """(doc_id, carry, n_shingles, comp, component_id) per row; ``comp`` tells components apart and is NULL without words."""
     bounded_batches(docs.sparkSession)
-    rows = materialise(document_classes(docs), "jaccard-classes")
+    rows = materialise(document_classes(docs, *carry), "jaccard-classes")
     n_tokens = rows.agg(F.sum("n")).first()[0] or 0
     classes = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low"))
-    comps = class_components(docs, n_tokens) if n_tokens else None
+    comps = class_components(docs.select("doc_id", "text"), n_tokens) if n_tokens else None
     if comps is not None:
         members = classes.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         lows = members.groupBy("comp").agg(F.min("low").alias("component_id"))
-        classes = members.join(lows, "comp").select("cls", "component_id")
+        classes = members.join(lows, "comp").select("cls", "comp", "component_id")
     else:
-        classes = classes.select("cls", F.col("low").alias("component_id"))
+        classes = classes.select("cls", F.col("cls").alias("comp"), F.col("low").alias("component_id"))
     return (rows.join(classes.withColumnRenamed("cls", "class_key"), (F.col("cls") == F.col("class_key")) & (F.col("n") > 0), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", *carry, F.col("n").alias("n_shingles"), "comp", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per row of ``docs(doc_id, text)``.
+
+    ``component_id`` is the smallest doc_id reachable over links, itself included; NULL ids do not count.
+    """
+    return _row_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller doc_id; of equal rows of a doc_id, one stays.
+    """One row of ``docs`` per component, of its smallest doc_id; a NULL id comes after all others.
 
-    Texts without words have no component and all stay.
+    Texts without words have no component and all stay, but of equal texts of one doc_id one
+    stays.  A NULL id names no document, so of texts without words all such rows stay.
     """
-    found = jaccard_components(docs.select("doc_id", "text"))
-    kept = (found.filter("n_shingles = 0 or doc_id = component_id")
-            .groupBy("doc_id").agg(F.max("n_shingles").alias("kept_shingles")))
-    rows = docs.join(kept, "doc_id", "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    keyed = materialise(docs.withColumn("jaccard_row", F.monotonically_increasing_id()), "jaccard-rows")
+    blank = F.when(F.rlike("text", F.lit(f"^(?:{SPACE_RUN})?$")), F.col("text")).alias("blank")
+    found = materialise(_row_components(keyed.select("doc_id", "text", "jaccard_row", blank), "jaccard_row", "blank"), "jaccard-found")
+    one = (found.filter("n_shingles > 0").groupBy("comp")
+           .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "jaccard_row")).alias("low")).select("low.jaccard_row"))
+    alone = F.when(F.col("doc_id").isNull(), F.col("jaccard_row")).alias("alone")
+    wordless = found.filter("n_shingles = 0").groupBy("doc_id", "blank", alone).agg(F.min("jaccard_row").alias("jaccard_row")).select("jaccard_row")
+    return keyed.join(one.union(wordless), "jaccard_row", "left_semi").select(*docs.columns)
