@@ -19,6 +19,7 @@ from __future__ import annotations
 import html as html_lib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -163,6 +164,12 @@ def node_features(nodes: list[Node], size: int) -> np.ndarray:
         linked[up] += linked[i]
         count[up] += count[i]
         blocks[up] += blocks[i]
+    # place among the siblings, and siblings per tag, for all children of a parent at once
+    spot, alike = [0] * n, [1] * n
+    for v in nodes:
+        tags = Counter(p.tag for p in v.kids)
+        for k, p in enumerate(v.kids):
+            spot[place[id(p)]], alike[place[id(p)]] = k, tags[p.tag]
     rows = []
     inherited = [(0, 0, 0, 0)] * n
     total = max(1, length[0])
@@ -173,11 +180,9 @@ def node_features(nodes: list[Node], size: int) -> np.ndarray:
         mine = (g + good, b + bad, t + (v.tag in BAD_TAGS), a + (v.tag in ("article", "main")))
         inherited[i] = mine
         peers = v.parent.kids if v.parent else [v]
-        spot = peers.index(v) if len(peers) < 50 else 0
-        alike = sum(p.tag == v.tag for p in peers[:50])
         rows.append((
             _TAGS.get(v.tag, 0), v.depth, good, bad, *mine, np.log1p(length[i]), np.log1p(v.own), linked[i] / max(1, length[i]),
-            length[i] / count[i], length[i] / max(1, blocks[i]), length[i] / total, np.log1p(count[i]), min(spot, 50), len(peers), alike,
+            length[i] / count[i], length[i] / max(1, blocks[i]), length[i] / total, np.log1p(count[i]), spot[i], len(peers), alike[i],
             v.start / max(1, size), length[up] / total, linked[up] / max(1, length[up]), length[up] / max(1, count[up]), len(v.kids)))
     return np.array(rows, np.float64)
 
