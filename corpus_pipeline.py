@@ -8,7 +8,8 @@ copies, of which the n-gram stage keeps one.  Rows with a NULL doc_id are docume
 other; stages that join give each row a key of its own.  Extra columns of the input are dropped.
 
 SQL cannot express the stages (a trained network, alignment, random rounding), so
-``ORACLE_SQL`` is None and tests compare each stage with a plain version.
+``ORACLE_SQL`` is None.  Tests cover the near-duplicate and decontamination stages on
+rows with NULL ids, and single operators; no test compares a whole stage with a plain version.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """DuckDB SQL of the queries that SQL can express, under the same keys.
 
 The other queries (2, 3, 4, 6, 8 and 10, and the pipeline) are random, learned or
-aligned; ``tests/llm`` holds them against plain versions.
+aligned; ``tests/llm`` holds
+some of them against plain versions (the README says which).
 """
 
 from __future__ import annotations
