@@ -100,3 +100,41 @@ with recursive texts as (
 select t.doc_id, coalesce(s.n, 0) as n_shingles, (select min(root) from reach where node = t.doc_id) as component_id
 from texts t left join sizes s on s.doc_id = t.doc_id
 """
+
+ORACLE["op13_divergence"] = r"""
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents
+), words as (
+  select row, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+), kept as (
+  select lang, term, count(*) as total from words group by lang, term having count(distinct row) >= 10
+), counts as (
+  select w.lang, w.source, w.term, count(*) as n from words w join kept k on k.lang = w.lang and k.term = w.term group by 1, 2, 3
+), sizes as (
+  select g.lang, g.source, coalesce(c.size, 0) as size from (select distinct lang, source from docs) g
+  left join (select lang, source, sum(n) as size from counts group by 1, 2) c on c.lang = g.lang and c.source = g.source
+), langs as (
+  select s.lang, sum(s.size) as lang_size, coalesce(max(k.v), 0) as v from sizes s
+  left join (select lang, count(*) as v from kept group by lang) k on k.lang = s.lang group by s.lang
+), shares as (
+  select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+    1 + cast(1000000000 as hugeint) * (coalesce(c.n, 0) + 2) // (s.size + 2 * l.v) as p,
+    1 + cast(1000000000 as hugeint) * (k.total + 2) // (l.lang_size + 2 * l.v) as q
+  from sizes s join langs l on l.lang = s.lang join kept k on k.lang = s.lang
+  left join counts c on c.lang = s.lang and c.source = s.source and c.term = k.term
+), priced as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(p.value, 0) as bigint) as value
+  from sizes a join sizes b on a.lang = b.lang and a.source <> b.source
+  left join priced p on p.lang = a.lang and p.source = a.source and p.item = b.source
+), found as (
+  select * from pairs
+  union all select lang, source, 'term', term, cast((p - q) * (p - q) // (p + q) as bigint) from shares where n > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from found
+)
+select lang, source, part, item, value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 10
+"""

@@ -113,3 +113,10 @@ def op8_pii(spark, sf_dir):
     counts = [F.size(F.filter(F.col("base_spans.kind"), _equals(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base_spans")), 256).alias("base_sha256"),
                         spans_text(F.col("all_spans")).alias("spans"))
+
+
+@query
+def op13_divergence(spark, sf_dir):
+    from dimforge.llm.op13_divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents"))
