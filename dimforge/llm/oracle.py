@@ -138,3 +138,37 @@ with docs as (
 )
 select lang, source, part, item, value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 10
 """
+
+
+def _centroid_sql(rounds: int = 5, k: int = 40) -> str:
+    """Plain rounds: every vector against every centroid, means by component."""
+    def nearest(name, centroids):
+        gap = "list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i])))"
+        return (f"{name} as (select row, vec_id, cluster, distance from (select *, row_number() over (partition by row order by distance, cluster) as best "
+                f"from (select v.row, v.vec_id, c.cluster, cast({gap} as bigint) as distance from vecs v cross join {centroids} c) x) y where best = 1)")
+
+    steps = ["""vecs as (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and not isnan(x) and not isinf(x))) = 64
+)""", f"""c0 as (
+  select cast(row_number() over (order by draw, v) - 1 as int) as cluster, v from (
+    select sha256('2:' || cast(vec_id as varchar)) as draw, v from vecs where vec_id is not null order by draw, v limit {k}) x
+)"""]
+    for r in range(rounds):
+        steps.append(nearest(f"a{r}", f"c{r}"))
+        steps.append(f"""m{r} as (
+  select cluster, list(mean order by part) as v from (
+    select a.cluster, p.part, cast(floor(sum(v.v[p.part]) / count(*)) as bigint) as mean
+    from a{r} a join vecs v on v.row = a.row cross join (select unnest(range(1, 65)) as part) p group by 1, 2) x group by cluster
+)""")
+        steps.append(f"c{r + 1} as (select c.cluster, coalesce(m.v, c.v) as v from c{r} c left join m{r} m on m.cluster = c.cluster)")
+    steps.append(nearest("last", f"c{rounds}"))
+    return "with " + ",\n".join(steps) + f"""
+select l.vec_id, l.cluster, l.distance, cast(sum(l.distance) over (partition by l.cluster) as bigint) as cluster_inertia,
+  cast(sum(l.distance) over () as bigint) as inertia,
+  sha256(array_to_string(list_transform(c.v, lambda x: cast(x as varchar)), ',')) as centroid_sha256
+from last l join c{rounds} c on c.cluster = l.cluster
+"""
+
+
+ORACLE["op11_centroids"] = _centroid_sql()

@@ -120,3 +120,10 @@ def op13_divergence(spark, sf_dir):
     from dimforge.llm.op13_divergence import divergence
 
     return divergence(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_centroids(spark, sf_dir):
+    from dimforge.llm.op11_centroids import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"))
