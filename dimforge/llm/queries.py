@@ -127,3 +127,10 @@ def op11_centroids(spark, sf_dir):
     from dimforge.llm.op11_centroids import cluster
 
     return cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_packing(spark, sf_dir):
+    from dimforge.llm.op12_packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
