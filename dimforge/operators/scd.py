@@ -197,7 +197,7 @@ def load_stats(joined: DataFrame, target: DataFrame, spec: Scd2Spec) -> dict[str
 def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunContext,
                buckets: int | None = None, checkpoint: bool = True,
                before_numbering=None, max_broadcast_batch_rows: int = 200_000,
-               duplicates: str = "halt") -> Scd2Result:
+               duplicates: str = "halt", high_water: int | None = None) -> Scd2Result:
     """Compute the next state of a versioned table for one batch.
 
     Runs bounded actions: a probe of the batch size (at most
@@ -208,7 +208,8 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
     ``duplicates="halt"`` raises ``DuplicateKeyError`` on a repeated batch key.  Returns lazy
     frames over the checkpoint.  ``incoming`` must be unique on ``spec.key``;
     ``before_numbering(joined)`` runs guards on the checkpointed join (cheaper
-    than re-reading the batch lineage).
+    than re-reading the batch lineage).  ``high_water`` is the table's largest
+    surrogate key where the caller knows it; otherwise it is read from ``target``.
     """
     from dimforge.operators.lookup import broadcast_if_small
 
@@ -217,7 +218,7 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
     joined = scd2_join(incoming, cur, spec, broadcast_batch=small)
     if checkpoint:
         joined = reliable_checkpoint(joined)
-    stats = load_stats(joined, target, spec)
+    stats = load_stats(joined, target if high_water is None else target.limit(0), spec)
     if duplicates not in ("halt", "keep"):
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
     if stats["duplicate_keys"] and duplicates == "halt":
@@ -226,7 +227,7 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
         guard_no_duplicates(joined.where(F.col("row_type") != ABSENT), spec.key)
     if before_numbering is not None:
         before_numbering(joined)
-    hwm = stats["high_water"]
+    hwm = stats["high_water"] if high_water is None else high_water
     cands = insert_candidates(joined, spec)
     plan = plan_surrogate_keys(cands, spec.key, buckets=buckets, total=stats["inserts"])
     inserts = stamp_inserts(assign_surrogate_keys(cands, plan, spec.sk, start=hwm), spec, ctx)
@@ -236,7 +237,7 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
         prior_current=current_after(joined, spec, ctx),
         history=history_rows(target, spec),
         high_water=hwm,
-        notes={"current": spec.current},
+        notes={"current": spec.current, "inserts": stats["inserts"]},
     )
 
 
@@ -272,3 +273,30 @@ def rollback_columns_version(state: DataFrame, spec: Scd2Spec, ctx: RunContext)
          else F.col(c))
         for c in state.columns
     ])
+
+
+def load_into(table, incoming: DataFrame, spec: Scd2Spec, ctx: RunContext):
+    """Load one batch into a ``VersionedTable``: only the buckets that hold its keys are read and rewritten.
+
+    A rerun writes nothing, a late batch raises; returns the commit in force.
+    """
+    if not table.accepts(ctx.batch_id):
+        return table.head()
+    head = table.head()
+    incoming = reliable_checkpoint(incoming)  # read twice: for its buckets, then for the load
+    touched = table.touched_buckets(incoming)
+    before = table.read_open(head, touched)
+    result = scd2_apply(before, incoming, spec, ctx, high_water=head.high_water if head else 0)
+    after = result.prior_current.unionByName(result.inserts)
+    return table.commit(table.stage(ctx.batch_id, touched, after, result.high_water + result.notes["inserts"], before))
+
+
+def rollback_by_images(state: DataFrame, inserted: DataFrame, before: DataFrame, sk: str) -> DataFrame:
+    """Undo one batch on a frame: its new versions go, the versions it changed are put back as they were.
+
+    ``inserted(sk)`` are the versions the batch wrote and ``before`` the former rows of those it
+    changed, kept by the load; stamps and flags come back exactly, inactivated versions included.
+    Both hold one row per row of the batch at most.
+    """
+    gone = inserted.select(sk).union(before.select(sk))
+    return state.join(gone, sk, "left_anti").unionByName(before.select(*state.columns)).select(*state.columns)

@@ -103,6 +103,13 @@ def load_account(target: DataFrame, staged: DataFrame, ctx: RunContext, duplicat
     return batch, result
 
 
+def versioned_table(spark, root: str, buckets: int = 64):
+    """The account dimension as a bucketed table with a commit chain."""
+    from dimforge.sources.versioned import VersionedTable
+
+    return VersionedTable(spark, root, TARGET_SCHEMA, [ACCOUNT_SPEC.key], ACCOUNT_SPEC.sk, ACCOUNT_SPEC.current, buckets)
+
+
 def check_next_state(result: Scd2Result) -> None:
     """Guard run before publishing: at most one open version per key."""
     bad = single_active_violations(result.next_current(), ACCOUNT_SPEC.key, F.lit(True)).limit(20).collect()

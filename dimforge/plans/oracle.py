@@ -610,3 +610,16 @@ select 'EC_26' as err_cd, 'ENVISION' as src_sys, 'STG_TRADE' as file_nm, {BATCH_
 from stg_trade s
 where s.trx_cd is not null and not exists (select 1 from trx_mastr m where m.trx_cd = s.trx_cd)""",
     "stg_trade", "trx_mastr")
+
+
+# ------------------------------------------------------------------ published table
+
+ORACLE["bucketed_load"] = ORACLE["publish_interrupted"] = ORACLE["scd2_next_state"]
+ORACLE["rerun_published"] = sql("select *, 1 as n_commits from acct_next_state", "acct_next_state")
+ORACLE["late_batch"] = sql("select *, true as refused from acct_next_state", "acct_next_state")
+ORACLE["rollback_published"] = sql("select * from ods_account", "ods_account")
+ORACLE["scd2_rollback_images"] = sql(f"""
+select {POL_COLS} from (
+  select * replace (case when plcy_mastr_id % 6 = 0 then 'D' else actv_indctr end as actv_indctr,
+                    case when plcy_mastr_id % 6 = 0 then 'close' else mdfd_by end as mdfd_by,
+                    case when plcy_mastr_id % 6 = 0 then crtd_dt else mdfd_dt end as mdfd_dt) from ods_plcy_detl) t""", "ods_plcy_detl")

@@ -164,6 +164,110 @@ def q_scd2_rollback_columns(spark, sf_dir):
     return rollback_columns_version(result.next_state(), account.ACCOUNT_SPEC, CTX).drop("dw_update_timestamp")
 
 
+# ---------------------------------------------------------------- published table
+
+
+def _published(spark, sf_dir, buckets: int = 16):
+    """The account target as a bucketed table in the shared scratch folder, its first batch before CTX's."""
+    from dimforge.session import scratch_path
+
+    staged, target = _account(spark, sf_dir)
+    table = account.versioned_table(spark, scratch_path(spark, "published"), buckets)
+    table.create(CTX.batch_id - 10, target)
+    return table, account.prepare_batch(staged).incoming
+
+
+@query("bucketed_load")
+def q_bucketed_load(spark, sf_dir):
+    """One batch merged into a published table: only the buckets of its keys are rewritten."""
+    from dimforge.operators.scd import load_into
+
+    table, incoming = _published(spark, sf_dir)
+    return table.read(load_into(table, incoming, account.ACCOUNT_SPEC, CTX))
+
+
+@query("rerun_published")
+def q_rerun_published(spark, sf_dir):
+    """The same batch twice: the second run adds no commit."""
+    from dimforge.operators.scd import load_into
+
+    table, incoming = _published(spark, sf_dir)
+    first = load_into(table, incoming, account.ACCOUNT_SPEC, CTX)
+    again = load_into(table, incoming, account.ACCOUNT_SPEC, CTX)
+    return table.read(again).withColumn("n_commits", F.lit(again.number - first.number + 1))
+
+
+@query("publish_interrupted")
+def q_publish_interrupted(spark, sf_dir):
+    """A batch dies after its data is written and before its commit; the next batch does not see it."""
+    from dataclasses import replace
+
+    from dimforge.operators.scd import load_into, scd2_apply
+
+    table, incoming = _published(spark, sf_dir)
+    dead = replace(CTX, batch_id=CTX.batch_id - 5, batch_ts="2024-12-27 06:00:00", batch_date="2024-12-27")
+    lost = incoming.withColumn("customer_name", F.concat("customer_name", F.lit(" (lost)")))
+    head = table.head()
+    touched = table.touched_buckets(lost)
+    result = scd2_apply(table.read_open(head, touched), lost, account.ACCOUNT_SPEC, dead, high_water=head.high_water)
+    table.stage(dead.batch_id, touched, result.prior_current.unionByName(result.inserts), head.high_water,
+                table.read_open(head, touched))  # and no commit
+    return table.read(load_into(table, incoming, account.ACCOUNT_SPEC, CTX))
+
+
+@query("late_batch")
+def q_late_batch(spark, sf_dir):
+    """A batch older than the newest one is refused and changes nothing."""
+    from dataclasses import replace
+
+    from dimforge.operators.scd import load_into
+    from dimforge.sources.versioned import LateBatchError
+
+    table, incoming = _published(spark, sf_dir)
+    load_into(table, incoming, account.ACCOUNT_SPEC, CTX)
+    late = replace(CTX, batch_id=CTX.batch_id - 3, batch_ts="2024-12-29 06:00:00", batch_date="2024-12-29")
+    refused = False
+    try:
+        load_into(table, incoming.withColumn("industry", F.lit("LATE")), account.ACCOUNT_SPEC, late)
+    except LateBatchError:
+        refused = True
+    return table.read().withColumn("refused", F.lit(refused))
+
+
+@query("rollback_published")
+def q_rollback_published(spark, sf_dir):
+    """Load a batch, take it back: the former state bit for bit, update times included."""
+    from dimforge.operators.scd import load_into
+
+    table, incoming = _published(spark, sf_dir)
+    load_into(table, incoming, account.ACCOUNT_SPEC, CTX)
+    return table.read(table.rollback(CTX.batch_id))
+
+
+@query("scd2_rollback_images")
+def q_scd2_rollback_images(spark, sf_dir):
+    """A load by hash over a target with inactivated keys, undone by before-images: every flag and stamp comes back."""
+    from dimforge.operators.scd import rollback_by_images
+    from dimforge.operators.scd_hash import superseded
+    from dimforge.plans import policy
+    from dimforge.plans.trade import staged_is_small
+
+    # every sixth key was inactivated and stamped by an earlier batch
+    gone = F.col("plcy_mastr_id") % 6 == 0
+    target = fx.ods_plcy_detl(spark, sf_dir)
+    target = target.withColumns({
+        "actv_indctr": F.when(gone, F.lit("D")).otherwise(F.col("actv_indctr")),
+        "mdfd_by": F.when(gone, F.lit("close")).otherwise(F.col("mdfd_by")),
+        "mdfd_dt": F.when(gone, F.col("crtd_dt")).otherwise(F.col("mdfd_dt"))}).select(*policy.TARGET_COLUMNS)
+    ident = policy.identified(_policy_lkp(spark, sf_dir), target, small=staged_is_small(fx.stg_trade(spark, sf_dir)))
+    versions, n = policy.new_versions_counted(ident, target, CTX)
+    state = reliable_checkpoint(policy.next_state(target, versions, CTX, n))
+    closed = superseded(target.unionByName(versions), policy.SPEC, CTX,
+                        f"{CTX.job}-{policy.ENTITY}", touched=versions, touched_rows=n)
+    before = reliable_checkpoint(target.join(closed.select(policy.SPEC.sk), policy.SPEC.sk, "left_semi"))
+    return rollback_by_images(state, versions, before, policy.SPEC.sk)
+
+
 # ------------------------------------------------------------ type 1
 
 
