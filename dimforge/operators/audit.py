@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
@@ -26,6 +26,20 @@ def outcome_counts(tagged_rows: DataFrame, outcomes: Sequence[str]) -> DataFrame
                              for o in outcomes])
 
 
+def weighed_counts(parts: Sequence[tuple[str, DataFrame, Column | None]], outcomes: Sequence[str]) -> DataFrame:
+    """One row with ``n_<outcome>``: the summed weights (1 where None) of each outcome's frames.
+
+    Every frame gives one partial sum per task and one row, in one job for all.
+    """
+    one = None
+    for outcome, df, weight in parts:
+        w = F.lit(1) if weight is None else weight
+        n = df.agg(F.coalesce(F.sum(w.cast("bigint")), F.lit(0)).alias("n")).select(F.lit(outcome).alias("outcome"), "n")
+        one = n if one is None else one.unionByName(n)
+    return one.agg(*[F.coalesce(F.sum(F.when(F.col("outcome") == o, F.col("n"))), F.lit(0)).cast("bigint").alias(f"n_{o}")
+                     for o in outcomes])
+
+
 def audit_row(counts: DataFrame, ctx: RunContext, target_table: str, file_name: str, source: str,
               loaded: Sequence[str], filtered: Sequence[str], rejected: Sequence[str]) -> DataFrame:
     """One audit row: source, loaded, filtered, rejected counts, and whether

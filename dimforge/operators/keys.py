@@ -2,181 +2,41 @@
 
 Surrogate keys
 --------------
-The result equals ``row_number() OVER (ORDER BY key) + start`` but never
-pulls the rows into one partition.  The plan is made in three bounded
-actions and then frozen as literals:
-
-1. count the rows, 2. sample the order key (about ``samples_per_bucket`` keys per
-bucket) and cut range boundaries from the sorted sample, 3. count rows per
-bucket (one row per bucket comes back).
-
-The numbering itself is one window per bucket (``partitionBy(bucket)``), plus
-the bucket's offset read from a literal array.  The bucket of a key is a
-binary search over the boundaries (one array literal, one SQL expression).  Because boundaries and offsets
-are literals, re-evaluating the frame after an executor loss gives the same
-numbers.  The key must be unique and non-NULL (dedup first).
+The result equals ``row_number() OVER (ORDER BY key) + start`` but never pulls the rows into one
+partition.  Rows are range-partitioned and sorted on all key parts, each takes its place
+in its partition, and that is frozen by a checkpoint.  The number of rows in the partitions before is
+a running sum over one count per partition.  Spark chooses the ranges and their number; an
+executor loss re-reads the checkpoint, so the numbers stay.  Keys must be unique
+(dedup first); rows of equal keys are numbered in any order.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimforge.session import reliable_checkpoint
 
-BUCKET = "_sk_bucket"
+_AT, _PART, _BEFORE = "_sk_at", "_sk_part", "_sk_before"
 
 
-@dataclass(frozen=True)
-class KeyPlan:
-    """Frozen range boundaries and per-bucket row offsets for one numbering."""
+def surrogate_keys(df: DataFrame, key: str | Sequence[str], sk: str, start: int = 0) -> DataFrame:
+    """``df`` with ``sk`` = ``start`` + global rank by ``key`` (a column or several).
 
-    key: str
-    boundaries: tuple  # sorted; bucket i holds keys in [b[i-1], b[i])
-    offsets: tuple  # rows before bucket i
-    total: int
-
-
-BOUNDS = "_sk_bounds"
-
-
-def _search_sql(key: str, lo: int, hi: int) -> str:
-    """Binary search over the array column ``BOUNDS`` as one SQL expression:
-    the index of the first boundary greater than ``key``.  Only array
-    positions appear in the text, never key values."""
-    if lo >= hi:
-        return str(lo)
-    mid = (lo + hi) // 2
-    return (f"CASE WHEN {key} < element_at({BOUNDS}, {mid + 1}) THEN {_search_sql(key, lo, mid)} "
-            f"ELSE {_search_sql(key, mid + 1, hi)} END")
-
-
-TREE_MAX_BOUNDARIES = 63  # above this the unrolled tree outgrows a generated method
-
-
-def _loop_search_sql(key: str, n: int) -> str:
-    """The same binary search as a fixed-size loop (``aggregate`` over the
-    steps), so the expression does not grow with the number of boundaries."""
-    steps = max(1, math.ceil(math.log2(n + 1)))
-    mid = "cast((s.lo + s.hi) div 2 as int)"
-    step = (f"CASE WHEN s.lo >= s.hi THEN s "
-            f"WHEN {key} < element_at({BOUNDS}, {mid} + 1) THEN named_struct('lo', s.lo, 'hi', {mid}) "
-            f"ELSE named_struct('lo', cast({mid} + 1 as int), 'hi', s.hi) END")
-    return (f"aggregate(sequence(1, {steps}), named_struct('lo', cast(0 as int), 'hi', cast({n} as int)), "
-            f"(s, i) -> {step}, "
-            f"s -> s.lo)")
-
-
-def _with_bucket(df: DataFrame, key: str, boundaries: Sequence) -> DataFrame:
-    """Add ``BUCKET``: about log2(#boundaries) comparisons per row.  The
-    boundaries travel as one array literal; the search is one expression
-    (an unrolled tree for few boundaries, a loop for many)."""
-    if not boundaries:
-        return df.withColumn(BUCKET, F.lit(0))
-    quoted = "`" + key.replace("`", "``") + "`"
-    n = len(boundaries)
-    search = _search_sql(quoted, 0, n) if n <= TREE_MAX_BOUNDARIES else _loop_search_sql(quoted, n)
-    return (df.withColumn(BOUNDS, _array_literal(boundaries))
-            .withColumn(BUCKET, F.expr(search).cast("int"))
-            .drop(BOUNDS))
-
-
-def _sql_literal(v) -> str | None:
-    if isinstance(v, bool):
-        return None
-    if isinstance(v, int):
-        return f"{v}L"
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return None
-
-
-def _array_literal(values: Sequence) -> Column:
-    """Array literal in one call for text and integer keys (one SQL literal),
-    element by element otherwise."""
-    parts = [_sql_literal(v) for v in values]
-    if all(p is not None for p in parts):
-        return F.expr("array(" + ", ".join(parts) + ")")
-    return F.lit(list(values))
-
-
-ROWS_PER_BUCKET = 2_000_000
-
-
-def plan_surrogate_keys(df: DataFrame, key: str, buckets: int | None = None,
-                        samples_per_bucket: int = 64, seed: int = 17,
-                        rows_per_bucket: int = ROWS_PER_BUCKET, total: int | None = None) -> KeyPlan:
-    """Guard-style planning step (bounded actions, see module doc).
-
-    Without ``buckets`` the count decides: one bucket per ``rows_per_bucket``
-    rows, so a small batch costs one count and a billion-row one spreads over
-    hundreds of tasks.  Pass ``df`` checkpointed or cheap to recompute: it is
-    read up to three times.
-    """
-    keys = df.select(F.col(key).alias("k"))
-    if total is None:
-        total = keys.count()
-    if total == 0:
-        return KeyPlan(key, (), (0,), 0)
-    if buckets is None:
-        buckets = math.ceil(total / rows_per_bucket)
-    buckets = max(1, min(buckets, total))
-    if buckets == 1:
-        return KeyPlan(key, (), (0,), total)
-    fraction = min(1.0, samples_per_bucket * buckets / total)
-    sample = sorted(r["k"] for r in keys.sample(fraction=fraction, seed=seed).collect() if r["k"] is not None)
-    cuts = []
-    for i in range(1, buckets):
-        if not sample:
-            break
-        b = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
-        if not cuts or b > cuts[-1]:
-            cuts.append(b)
-    boundaries = tuple(cuts)
-    counts = dict(
-        (r[BUCKET], r["n"])
-        for r in _with_bucket(keys, "k", boundaries).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    offsets, running = [], 0
-    for b in range(len(boundaries) + 1):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    return KeyPlan(key, boundaries, tuple(offsets), total)
-
-
-def assign_surrogate_keys(df: DataFrame, plan: KeyPlan, sk: str, start: int = 0) -> DataFrame:
-    """Lazy numbering with a frozen plan: ``sk = start + global rank of key``."""
-    key = F.col(plan.key)
-    offsets = F.lit([int(o) for o in plan.offsets]).cast("array<bigint>")
-    w = Window.partitionBy(BUCKET).orderBy(key)
-    return (
-        _with_bucket(df, plan.key, plan.boundaries)
-        .withColumn(sk, (F.lit(start).cast("bigint") + F.element_at(offsets, F.col(BUCKET) + 1)
-                         + F.row_number().over(w).cast("bigint")))
-        .drop(BUCKET)
-    )
-
-
-def surrogate_keys(df: DataFrame, key: str, sk: str, start: int = 0, buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, total: int | None = None) -> DataFrame:
-    """Plan (bounded actions) and assign in one call.
-
-    One count decides the bucket count; only when more than one bucket is
-    needed is the input checkpointed (the sample and the bucket counts then
-    read the checkpoint instead of recomputing the lineage).
+    One shuffle by range and one checkpoint of the rows to number.
     """
-    if total is None:
-        total = df.count()
-    if buckets is None:
-        buckets = math.ceil(total / rows_per_bucket) if total else 1
-    if total == 0 or buckets <= 1:
-        return assign_surrogate_keys(df, KeyPlan(key, (), (0,), total), sk, start)
-    df = reliable_checkpoint(df)
-    return assign_surrogate_keys(df, plan_surrogate_keys(df, key, buckets, total=total), sk, start)
+    order = [F.col(key)] if isinstance(key, str) else [F.col(k) for k in key]
+    # partition number in the upper 31 bits, place in the partition in the lower 33
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(_AT, F.monotonically_increasing_id())
+    frozen = reliable_checkpoint(placed).withColumn(_PART, F.shiftright(_AT, 33))
+    running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = frozen.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")).select(
+        _PART, F.coalesce(F.sum("n").over(running), F.lit(0)).alias(_BEFORE))
+    place = F.col(_AT) - F.shiftleft(_PART, 33)
+    return (frozen.join(F.broadcast(offsets), _PART)
+            .withColumn(sk, (F.lit(start) + F.col(_BEFORE) + place + 1).cast("bigint")).drop(_AT, _PART, _BEFORE))
 
 
 def surrogate_keys_single_partition(df: DataFrame, key: str, sk: str, start: int = 0) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
 from dimforge.functions.columns import changed_any
-from dimforge.operators.keys import assign_surrogate_keys, plan_surrogate_keys
+from dimforge.operators.keys import surrogate_keys
 from dimforge.session import reliable_checkpoint
 
 NEW, CHANGED, UNCHANGED, ABSENT = "NEW", "CHANGED", "UNCHANGED", "ABSENT"
@@ -195,7 +195,7 @@ def load_stats(joined: DataFrame, target: DataFrame, spec: Scd2Spec) -> dict[str
 
 
 def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunContext,
-               buckets: int | None = None, checkpoint: bool = True,
+               checkpoint: bool = True,
                before_numbering=None, max_broadcast_batch_rows: int = 200_000,
                duplicates: str = "halt", high_water: int | None = None) -> Scd2Result:
     """Compute the next state of a versioned table for one batch.
@@ -204,7 +204,7 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
     ``max_broadcast_batch_rows`` rows broadcast the batch, see ``scd2_join``),
     a reliable checkpoint of the joined frame (cuts lineage; survives executor
     loss, written to ``spark.checkpoint.dir``), one job for all scalars
-    (``load_stats``) and, for more than one key bucket, the key plan.
+    (``load_stats``) and the checkpoint of the numbered rows.
     ``duplicates="halt"`` raises ``DuplicateKeyError`` on a repeated batch key.  Returns lazy
     frames over the checkpoint.  ``incoming`` must be unique on ``spec.key``;
     ``before_numbering(joined)`` runs guards on the checkpointed join (cheaper
@@ -229,8 +229,7 @@ def scd2_apply(target: DataFrame, incoming: DataFrame, spec: Scd2Spec, ctx: RunC
         before_numbering(joined)
     hwm = stats["high_water"] if high_water is None else high_water
     cands = insert_candidates(joined, spec)
-    plan = plan_surrogate_keys(cands, spec.key, buckets=buckets, total=stats["inserts"])
-    inserts = stamp_inserts(assign_surrogate_keys(cands, plan, spec.sk, start=hwm), spec, ctx)
+    inserts = stamp_inserts(surrogate_keys(cands, spec.key, spec.sk, start=hwm), spec, ctx)
     return Scd2Result(
         joined=joined,
         inserts=inserts,

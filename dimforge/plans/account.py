@@ -79,8 +79,7 @@ def empty_target(spark) -> DataFrame:
     return spark.createDataFrame([], TARGET_SCHEMA)
 
 
-def load_account(target: DataFrame, staged: DataFrame, ctx: RunContext, duplicates: str = "halt",
-                 buckets: int | None = None) -> tuple[AccountBatch, Scd2Result]:
+def load_account(target: DataFrame, staged: DataFrame, ctx: RunContext, duplicates: str = "halt") -> tuple[AccountBatch, Scd2Result]:
     """Run the account load up to (not including) publishing.
 
     ``duplicates``: ``halt`` raises on a repeated account id, ``keep_latest``
@@ -98,7 +97,7 @@ def load_account(target: DataFrame, staged: DataFrame, ctx: RunContext, duplicat
     else:
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
     # keys are unique after keep_latest; halt lets scd2_apply check the checkpointed join
-    result = scd2_apply(target, batch.incoming, ACCOUNT_SPEC, ctx, buckets=buckets,
+    result = scd2_apply(target, batch.incoming, ACCOUNT_SPEC, ctx,
                         duplicates="halt" if duplicates == "halt" else "keep")
     return batch, result
 

@@ -57,8 +57,9 @@ def policy_detail(sf_dir: str) -> DatasetSpec:
         lookups={"cstmr": lambda spark: fx.stg_cstmr(spark, sf_dir),
                  "master": lambda spark: fx.ods_plcy_mastr(spark, sf_dir),
                  "products": fx.src_prod_mastr, "statuses": fx.ref_status},
+        temp_steps=[Step("newest", fn=lambda f, ctx: policy.latest_trade_per_account(f["src"]), filters="src")],
         lookup=Step("lkp", fn=lambda f, ctx: policy.enriched(f["src"], f["cstmr"], f["master"], f["products"],
-                                                             f["statuses"], ctx)),
+                                                             f["statuses"], ctx, newest=f["newest"])),
         select_fields=Step("final", fn=lambda f, ctx: f["sink"].select(*policy.VERSION_COLUMNS)),
     )
 

@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 
 from dimforge.context import RunContext
 from dimforge.operators import quality
-from dimforge.operators.audit import audit_row, outcome_counts, tagged
-from dimforge.operators.joins import batch_is_small
+from dimforge.operators.audit import audit_row, weighed_counts
+from dimforge.operators.joins import batch_is_small, with_match
 from dimforge.operators.lookup import broadcast_if_small
 from dimforge.operators.keys import count_and_high_water, dedup_natural_key, surrogate_keys
-from dimforge.operators.scd import Scd2Spec, scd2_apply
+from dimforge.operators.scd import UNCHANGED, Scd2Spec, scd2_apply
 from dimforge.operators.scd_hash import (HashScd2Spec, changed_or_new, identify, in_force, inactivation_rows,
                                          open_versions, supersede)
-from dimforge.operators.upsert import insert_only, type1_join, type1_next_state, type1_route
+from dimforge.operators.upsert import type1_join, type1_next_state, type1_route
 from dimforge.session import reliable_checkpoint
 
 StepFn = Callable[[Mapping[str, DataFrame], RunContext], DataFrame]
@@ -50,6 +50,7 @@ class Step:
     name: str
     sql: str | None = None
     fn: StepFn | None = None
+    filters: str | None = None  # frame whose rows this step may drop on purpose; other losses unbalance the audit
 
     def run(self, spark: SparkSession, frames: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
         if self.fn is not None:
@@ -126,6 +127,9 @@ def validate(spec: DatasetSpec) -> list[str]:
             errors.append(f"unknown code-check policy {c.policy!r}")
     if spec.duplicates not in ("keep_first", "halt"):
         errors.append(f"unknown duplicates policy {spec.duplicates!r}")
+    for k, step in enumerate(spec.temp_steps):
+        if step.filters and step.filters not in ("src", "src_file", *[t.name for t in spec.temp_steps[:k]], *spec.lookups):
+            errors.append(f"step {step.name!r} filters a frame that is not built before it: {step.filters!r}")
     for s in (spec.lookup, spec.select_fields, spec.source_filter, *spec.temp_steps):
         if s is not None and (s.sql is None) == (s.fn is None):
             errors.append(f"step {s.name!r} needs exactly one of sql or fn")
@@ -138,13 +142,23 @@ class LoadResult:
     audit: DataFrame  # one audit row
     frames: dict[str, DataFrame]
     errors: DataFrame | None = None  # error-log rows (needs ``error_key``)
+    stopped: str | None = None  # why nothing was loaded: an empty or a fully filtered file
 
 
 def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFrame,
         file_type: str = "time") -> LoadResult:
     """Build the load's plan.  Actions: one probe of the staging frame (its
-    size bounds every batch-sized join), the dedup guard (policy ``halt``),
-    the checked lookup probes and, for type 2, the checkpoint and numbering."""
+    size bounds every batch-sized join), a checkpoint of the looked-up rows (every later
+    step and count reads it), the dedup guard (policy ``halt``),
+    the checked lookup probes and, for type 2, the checkpoint and numbering.
+
+    A file without rows, or of which the filter and the rejects leave none, stops the load before
+    anything is inactivated: no rows, the target as it was, ``stopped`` and an audit row.
+
+    The audit counts every outcome by itself (rows rejected, dropped by a step that says so, repeated, found
+    unchanged, loaded), none as what is left of the others, so ``balanced`` is false when a step loses
+    or multiplies rows.
+    """
     errors = validate(spec)
     if errors:
         raise ValueError("; ".join(errors))
@@ -189,39 +203,54 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
         frames[name] = reader(spark)
     for step in spec.temp_steps:
         frames[step.name] = step.run(spark, frames, ctx)
-    lkp = spec.lookup.run(spark, frames, ctx)
     keys = list(spec.natural_key)
+    unchanged = None
+    lkp = reliable_checkpoint(spec.lookup.run(spark, frames, ctx))
+    frames["looked_up"] = lkp
     # one bounded probe of the staging frame bounds every batch-sized frame below
     small = batch_is_small(frames["src_file"].select(F.lit(1).alias("_one")), ["_one"])
     lkp, null_keys = quality.split_null_keys(lkp, keys)  # NULL keys are rejects, not duplicates
     if spec.duplicates == "halt":
         quality.guard_no_duplicates(lkp, keys)
+    keyed = lkp
     lkp = dedup_natural_key(lkp, keys, spec.dedup_order)
     frames["lkp"] = lkp
 
-    if spec.load_type == 0:
-        sink = insert_only(lkp, target, keys, small=small)
+    stopped = None
+    if keyed.isEmpty():
+        stopped = "empty file" if staged.isEmpty() else "no row of the file is left to load"
+        rows = target if spec.load_type == 1 else target.limit(0)
+        loaded = unchanged = keyed
+        frames["next_state"] = target
+    elif spec.load_type == 0:
+        known = reliable_checkpoint(with_match(target.select(*keys), lkp, keys, small).distinct())  # keys of the batch
+        sink = lkp.join(known, keys, "left_anti")
+        unchanged = lkp.join(known, keys, "left_semi")
         frames["sink"] = sink
         rows = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else sink
         loaded = rows
     elif spec.load_type == 1:
         joined = type1_join(lkp, target, keys, list(spec.tracked), small=small)
         frames["routed"] = type1_route(joined, lkp.columns)
+        unchanged = joined.where(F.col("insert_update_flg") == "N")
         rows = type1_next_state(joined, target.columns, keys, list(spec.tracked), ctx, f"{ctx.job}-{spec.entity}")
         loaded = frames["routed"]
     elif spec.scd2_columns is not None:
         result = scd2_apply(target, lkp, spec.scd2_columns, ctx, duplicates="keep" if spec.duplicates != "halt"
                             else "halt")
         rows = result.inserts
+        unchanged = result.joined.where(F.col("row_type") == UNCHANGED)
         frames["next_state"] = result.next_state()
         frames["expired"] = result.expired
         loaded = rows
     else:
         hs = spec.hash_spec
-        ident = identify(lkp, in_force(target, hs), hs, carry=spec.carry, small=small)
+        ident = reliable_checkpoint(identify(lkp, in_force(target, hs), hs, carry=spec.carry, small=small))
         frames["sink"] = changed_or_new(ident, hs)
+        unchanged = ident.where(F.col(f"tgt_{hs.sk}").isNotNull() & F.col(hs.hash_col).eqNullSafe(F.col(f"tgt_{hs.hash_col}")))
         sel = spec.select_fields.run(spark, frames, ctx) if spec.select_fields else frames["sink"]
         stamped = open_versions(sel, hs, ctx, f"{ctx.job}-{spec.entity}")
+        loaded = sel
         if file_type == "full":
             # a full file: active keys missing from it get an inactivation version
             gone = inactivation_rows(target, lkp.select(*keys), hs, ctx, f"{ctx.job}-{spec.entity}",
@@ -229,30 +258,25 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
             frames["inactivated"] = gone
             stamped = stamped.unionByName(gone.select(*stamped.columns))
         stamped = reliable_checkpoint(stamped)
-        order_key = hs.keys[-1]
         n, hwm = count_and_high_water(stamped, target, spec.surrogate_key)
-        rows = surrogate_keys(stamped, order_key, spec.surrogate_key, start=hwm, total=n)
+        rows = surrogate_keys(stamped, hs.keys[::-1], spec.surrogate_key, start=hwm)
         rows = rows.select(*target.columns)
         frames["next_state"] = supersede(target.unionByName(rows), hs, ctx, f"{ctx.job}-{spec.entity}",
                                          touched=rows, touched_rows=n)
-        loaded = rows
 
-    stage = (tagged(staged, "SOURCE").unionByName(tagged(filtered_in, "FILTERED_IN"))
-             .unionByName(tagged(code_rejects, "CODE_REJECTED")).unionByName(tagged(rule_rejects, "LATER_REJECTED"))
-             .unionByName(tagged(null_keys, "LATER_REJECTED")).unionByName(tagged(lkp, "DEDUPED"))
-             .unionByName(tagged(loaded, "LOADED")))
-    counts = outcome_counts(stage, ["SOURCE", "FILTERED_IN", "CODE_REJECTED", "LATER_REJECTED", "DEDUPED",
-                                    "LOADED"])
     # code rejects leave before the source filter, rule and NULL-key rejects after it
-    counts = counts.select(
-        "n_source", "n_loaded", (F.col("n_later_rejected") + F.col("n_code_rejected")).alias("n_rejected"),
-        (F.col("n_source") - F.col("n_code_rejected") - F.col("n_filtered_in")).alias("n_filtered"),
-        (F.col("n_filtered_in") - F.col("n_later_rejected") - F.col("n_deduped")).alias("n_duplicates"),
-        (F.col("n_deduped") - F.col("n_loaded")).alias("n_unchanged"),
-    )
+    minus = F.lit(-1)
+    counts = weighed_counts([
+        ("source", staged, None), ("rejected", code_rejects, None), ("rejected", rule_rejects, None), ("rejected", null_keys, None),
+        ("filtered", frames["src_file"], None), ("filtered", filtered_in, minus),
+        *[part for step in spec.temp_steps if step.filters for part in
+          (("filtered", frames[step.filters], None), ("filtered", frames[step.name], minus))],
+        ("duplicates", keyed.groupBy(*keys).count(), F.col("count") - 1),
+        ("unchanged", unchanged, None), ("loaded", loaded, None)],
+        ["source", "loaded", "rejected", "filtered", "duplicates", "unchanged"])
     audit = audit_row(counts, ctx, spec.target_table, spec.name, "n_source", loaded=["n_loaded"],
                       filtered=["n_filtered", "n_unchanged", "n_duplicates"], rejected=["n_rejected"])
     error_log = None
     for e in errors:
         error_log = e if error_log is None else error_log.unionByName(e)
-    return LoadResult(rows=rows, audit=audit, frames=frames, errors=error_log)
+    return LoadResult(rows=rows, audit=audit, frames=frames, errors=error_log, stopped=stopped)

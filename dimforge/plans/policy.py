@@ -60,8 +60,9 @@ def customer_lookup(cstmr: DataFrame, ctx: RunContext) -> DataFrame:
 
 
 def enriched(stg: DataFrame, cstmr: DataFrame, master: DataFrame, products: DataFrame, statuses: DataFrame,
-             ctx: RunContext) -> DataFrame:
-    src = policy_source(stg)
+             ctx: RunContext, newest: DataFrame | None = None) -> DataFrame:
+    """The newest trade per account with the five lookups; ``newest`` are those trades where a step has them already."""
+    src = policy_source(stg if newest is None else newest)
     cust = customer_lookup(cstmr, ctx)
     lookups = [
         Lookup(master.where(F.col("src_sys") == ctx.source_system), on=[("acct_num", "plcy_num")],
@@ -128,33 +129,31 @@ def version_rows(ident: DataFrame, ctx: RunContext) -> DataFrame:
     return open_versions(rows, SPEC, ctx, f"{ctx.job}-{ENTITY}")
 
 
-def number_versions(stamped: DataFrame, target: DataFrame, buckets: int | None = None) -> DataFrame:
+def number_versions(stamped: DataFrame, target: DataFrame) -> DataFrame:
     """Surrogate keys above the target's high-water mark, in policy order.
 
     The stamped rows (batch-sized) are checkpointed once: the numbering, the
     touched-key probe and the next state all read them, and each read would
     otherwise rerun the lookups.
     """
-    return number_versions_counted(stamped, target, buckets)[0]
+    return number_versions_counted(stamped, target)[0]
 
 
-def number_versions_counted(stamped: DataFrame, target: DataFrame, buckets: int | None = None
-                            ) -> tuple[DataFrame, int]:
+def number_versions_counted(stamped: DataFrame, target: DataFrame) -> tuple[DataFrame, int]:
     """``number_versions`` plus the number of versions (one job counts the
     rows and reads the high-water mark)."""
     stamped = reliable_checkpoint(stamped)
     n, hwm = count_and_high_water(stamped, target, SPEC.sk)
-    numbered = surrogate_keys(stamped, "plcy_mastr_id", SPEC.sk, start=hwm, buckets=buckets, total=n)
+    numbered = surrogate_keys(stamped, ["plcy_mastr_id", "src_sys"], SPEC.sk, start=hwm)
     return numbered.select(*TARGET_COLUMNS), n
 
 
-def new_versions(ident: DataFrame, target: DataFrame, ctx: RunContext, buckets: int | None = None) -> DataFrame:
-    return number_versions(version_rows(ident, ctx), target, buckets)
+def new_versions(ident: DataFrame, target: DataFrame, ctx: RunContext) -> DataFrame:
+    return number_versions(version_rows(ident, ctx), target)
 
 
-def new_versions_counted(ident: DataFrame, target: DataFrame, ctx: RunContext, buckets: int | None = None
-                         ) -> tuple[DataFrame, int]:
-    return number_versions_counted(version_rows(ident, ctx), target, buckets)
+def new_versions_counted(ident: DataFrame, target: DataFrame, ctx: RunContext) -> tuple[DataFrame, int]:
+    return number_versions_counted(version_rows(ident, ctx), target)
 
 
 def next_state(target: DataFrame, versions: DataFrame, ctx: RunContext, n_versions: int | None = None
@@ -170,10 +169,10 @@ def file_scope(ctx: RunContext) -> Column:
 
 
 def full_file_changes(target: DataFrame, ident: DataFrame, batch_keys: DataFrame, ctx: RunContext,
-                      buckets: int | None = None) -> tuple[DataFrame, int]:
+                      ) -> tuple[DataFrame, int]:
     """Full file: new versions plus an inactivation version ('D') for every
     active key of the file's source system missing from it, numbered together; with their count."""
     gone = inactivation_rows(target.select(*TARGET_COLUMNS), batch_keys, SPEC, ctx, f"{ctx.job}-{ENTITY}",
                              scope=file_scope(ctx))
     stamped = version_rows(ident, ctx).unionByName(gone.select(*version_rows(ident, ctx).columns))
-    return number_versions_counted(stamped, target, buckets)
+    return number_versions_counted(stamped, target)

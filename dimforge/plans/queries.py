@@ -93,17 +93,17 @@ def q_surrogate_keys(spark, sf_dir):
     joined = scd2_join(batch.incoming, current_rows(target, account.ACCOUNT_SPEC), account.ACCOUNT_SPEC)
     cands = joined.where(F.col("row_type").isin("NEW", "CHANGED")).select("customer_id")
     return surrogate_keys(cands, "customer_id", "customer_account_sk",
-                          start=high_water_mark(target, "customer_account_sk"), buckets=8)
+                          start=high_water_mark(target, "customer_account_sk"))
 
 
 @query("surrogate_keys_orders")
 def q_surrogate_keys_orders(spark, sf_dir):
-    """Bench-scale numbering: every order by a text key, eight range buckets."""
+    """Bench-scale numbering: every order by a text key."""
     from dimforge.operators.keys import surrogate_keys
 
     o = fx.table(spark, sf_dir, "orders").select(
         F.concat(F.lit("O"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("order_nk"))
-    return surrogate_keys(o, "order_nk", "order_sk", start=0, buckets=8)
+    return surrogate_keys(o, "order_nk", "order_sk", start=0)
 
 
 @query("reject_rows")
@@ -573,7 +573,7 @@ def q_full_file_inactivate(spark, sf_dir):
     target = fx.ods_plcy_detl(spark, sf_dir)
     ident = _policy_ident(spark, sf_dir)
     matched, _ = policy.split_unmatched(_policy_lkp(spark, sf_dir))
-    changes, n = policy.full_file_changes(target, ident, matched.select(*policy.SPEC.keys), CTX, buckets=3)
+    changes, n = policy.full_file_changes(target, ident, matched.select(*policy.SPEC.keys), CTX)
     return policy.next_state(target, changes, CTX, n)
 
 

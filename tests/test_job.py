@@ -47,7 +47,7 @@ def test_temp_steps_and_lookup_tables_are_visible_to_later_sql(spark, sf_dir):
     spec = datasets.trade_policy_master(sf_dir)
     spec.lookups = {"codes": lambda s: fx.trx_mastr(s)}
     spec.source_filter = job.Step("src", sql="select src_sys, acct_num, trx_cd from {src_file}")
-    spec.temp_steps = [job.Step("known", sql="select s.* from {src} s left semi join {codes} c on s.trx_cd = c.trx_cd")]
+    spec.temp_steps = [job.Step("known", sql="select s.* from {src} s left semi join {codes} c on s.trx_cd = c.trx_cd", filters="src")]
     spec.lookup = job.Step("lkp", sql=spec.lookup.sql.replace("{src}", "{known}"))
     res = job.run(spark, spec, CTX, fx.ods_plcy_mastr(spark, sf_dir))
     assert res.frames["known"].count() < res.frames["src_file"].count()
@@ -108,3 +108,42 @@ def test_rule_rejects_reach_the_error_log(spark, sf_dir):
     assert {r.err_cd for r in errs} == {"EC_28"}
     assert {json.loads(r.err_payload)["dq_reason_cd"] for r in errs} == {"INVALID_REVENUE_CAST"}
     assert res.audit.first().balanced
+
+
+def test_a_step_that_loses_or_multiplies_rows_unbalances_the_audit(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    target = fx.ods_plcy_mastr(spark, sf_dir)
+    for lose in (lambda df: df.where("crc32(plcy_num) % 5 <> 0"), lambda df: df.unionByName(df.where("crc32(plcy_num) % 5 = 0"))):
+        spec = datasets.trade_policy_master(sf_dir)
+        sql = spec.lookup.sql
+        spec.lookup = job.Step("lkp", fn=lambda f, ctx: lose(f["src"].sparkSession.sql(sql, src=f["src"])))
+        assert not job.run(spark, spec, CTX, target).audit.first().balanced
+    # a selection that drops changed rows before they are stamped
+    spec = datasets.policy_detail(sf_dir)
+    select = spec.select_fields.fn
+    spec.select_fields = job.Step("final", fn=lambda f, ctx: select(f, ctx).where(F.col("plcy_mastr_id") % 2 == 0))
+    from dimforge.plans import policy
+
+    target = fx.ods_plcy_detl(spark, sf_dir).select(*policy.TARGET_COLUMNS)
+    assert not job.run(spark, spec, CTX, target).audit.first().balanced
+    assert job.run(spark, datasets.policy_detail(sf_dir), CTX, target).audit.first().balanced
+    assert job.run(spark, datasets.policy_detail(sf_dir), CTX, target, file_type="full").audit.first().balanced
+    assert job.run(spark, datasets.account_upsert(sf_dir), CTX, datasets.account_upsert_target(spark, sf_dir)).audit is not None
+
+
+def test_an_empty_or_fully_filtered_full_file_inactivates_nothing(spark, sf_dir):
+    from dimforge.plans import policy
+
+    target = fx.ods_plcy_detl(spark, sf_dir).select(*policy.TARGET_COLUMNS)
+    for name, source in (("empty file", lambda s: fx.stg_trade(s, sf_dir).limit(0)), ("no row of the file is left to load", None)):
+        spec = datasets.policy_detail(sf_dir)
+        if source is None:
+            spec.source_filter = job.Step("src", sql="select * from {src_file} where src_sys = 'NOBODY'")
+        else:
+            spec.sources = {"full": source}
+        res = job.run(spark, spec, CTX, target, file_type="full")
+        assert res.stopped == name and res.rows.count() == 0 and "inactivated" not in res.frames
+        assert res.frames["next_state"].exceptAll(target).isEmpty()
+        audit = res.audit.first()
+        assert audit.balanced and audit.tgt_cnt == 0 and audit.src_cnt == audit.fltr_cnt

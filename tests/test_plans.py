@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dimforge.operators.keys import latest_per_key, plan_surrogate_keys, surrogate_keys
+from dimforge.operators.keys import latest_per_key, surrogate_keys
 from dimforge.operators.upsert import insert_only
 
 
@@ -28,7 +28,7 @@ def _keys_frame(spark, n=3000, seed=3):
 
 def test_distributed_numbering_equals_global_row_number(spark):
     df = _keys_frame(spark)
-    ours = {r.k: r.sk for r in surrogate_keys(df, "k", "sk", start=100, buckets=7).collect()}
+    ours = {r.k: r.sk for r in surrogate_keys(df, "k", "sk", start=100).collect()}
     ref = {r.k: r.sk for r in df.select("k", (F.row_number().over(Window.orderBy("k")) + 100).alias("sk")).collect()}
     assert ours == ref
 
@@ -36,25 +36,30 @@ def test_distributed_numbering_equals_global_row_number(spark):
 @pytest.mark.parametrize("partitions", [1, 4, 64])
 def test_numbering_is_stable_across_partitionings(spark, partitions):
     df = _keys_frame(spark).repartition(partitions)
-    got = sorted((r.k, r.sk) for r in surrogate_keys(df, "k", "sk", buckets=5).collect())
-    base = sorted((r.k, r.sk) for r in surrogate_keys(_keys_frame(spark), "k", "sk", buckets=5).collect())
+    got = sorted((r.k, r.sk) for r in surrogate_keys(df, "k", "sk").collect())
+    base = sorted((r.k, r.sk) for r in surrogate_keys(_keys_frame(spark), "k", "sk").collect())
     assert got == base
 
 
-def test_numbering_plan_has_no_single_partition_exchange(spark):
-    df = _keys_frame(spark)
-    plan = plan_surrogate_keys(df, "k", buckets=6)
-    assert len(plan.boundaries) >= 3
-    from dimforge.operators.keys import assign_surrogate_keys
+def test_numbering_moves_only_counts_into_one_partition(spark):
+    df = surrogate_keys(_keys_frame(spark), "k", "sk")
+    text = _plan(df)
+    # the one exchange to a single partition carries a count per range partition
+    assert text.count("SinglePartition") == 1
+    below = text[text.index("SinglePartition"):].splitlines()[1]
+    assert "HashAggregate" in below and "count(1)" in below
+
 
-    text = _plan(assign_surrogate_keys(df, plan, "sk"))
-    assert "SinglePartition" not in text
-    assert "hashpartitioning" in text
+def test_numbering_by_several_parts_and_ties_across_sources(spark):
+    rows = [(s, k) for k in range(40) for s in ("b", "a")]
+    df = spark.createDataFrame(rows, "src string, k int").repartition(5)
+    got = {(r.src, r.k): r.sk for r in surrogate_keys(df, ["k", "src"], "sk", start=7).collect()}
+    assert got == {key: i + 8 for i, key in enumerate(sorted(got, key=lambda x: (x[1], x[0])))}
 
 
 def test_numbering_handles_numeric_and_empty_input(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
-    got = {r.k: r.sk for r in surrogate_keys(df, "k", "sk", buckets=4).collect()}
+    got = {r.k: r.sk for r in surrogate_keys(df, "k", "sk").collect()}
     assert all(got[k] == k + 1 for k in got)
     assert surrogate_keys(df.limit(0), "k", "sk").count() == 0
 
@@ -91,9 +96,9 @@ def test_numbering_with_many_buckets_and_awkward_keys(spark):
     specials = ["it's", "back\\slash", 'dq"', "new\nline", "ünï", "'", "\\", "a'b\\c"]
     keys = [f"{s}{i:05d}" for i in range(2500) for s in (specials[i % len(specials)],)]
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    ours = {r.k: r.sk for r in surrogate_keys(df, "k", "sk", buckets=100).collect()}
+    ours = {r.k: r.sk for r in surrogate_keys(df, "k", "sk").collect()}
     ref = {r.k: r.sk for r in df.select("k", F.row_number().over(Window.orderBy("k")).alias("sk")).collect()}
     assert ours == ref
     nums = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"))
-    got = {r.k: r.sk for r in surrogate_keys(nums, "k", "sk", buckets=90).collect()}
+    got = {r.k: r.sk for r in surrogate_keys(nums, "k", "sk").collect()}
     assert all(got[k] == k + 1 for k in got)

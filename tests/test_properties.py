@@ -33,7 +33,7 @@ def test_versioned_load_invariants(spark, current, batch):
     inc = spark.createDataFrame(sorted(batch.items()), "id string, name string")
     old_max = len(rows)
 
-    result = scd2_apply(state, inc, SPEC, CTX, buckets=3)
+    result = scd2_apply(state, inc, SPEC, CTX)
     nxt = result.next_state().checkpoint(eager=True)
     got = nxt.collect()
 
@@ -55,7 +55,7 @@ def test_versioned_load_invariants(spark, current, batch):
     assert sum(v for k, v in counts.items() if k != "ABSENT") == len(batch)  # (e)
     assert counts.get("NEW", 0) + counts.get("CHANGED", 0) == len(new_sks)
 
-    twice = scd2_apply(nxt, inc, SPEC, CTX, buckets=3).next_state()  # (c)
+    twice = scd2_apply(nxt, inc, SPEC, CTX).next_state()  # (c)
     assert sorted(twice.collect()) == sorted(got)
 
     back = rollback_columns_version(nxt, SPEC, CTX).drop("dw_update_timestamp")  # (f)

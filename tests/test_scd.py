@@ -43,7 +43,7 @@ def _batch(spark):
 
 
 def test_classify_and_next_state(spark):
-    r = scd2_apply(_state(spark), _batch(spark), SPEC, CTX, buckets=2)
+    r = scd2_apply(_state(spark), _batch(spark), SPEC, CTX)
     counts = {row.row_type: row.n for row in r.joined.groupBy("row_type").agg(F.count("*").alias("n")).collect()}
     assert counts == {"UNCHANGED": 1, "CHANGED": 1, "NEW": 1, "ABSENT": 1}
     state = r.next_state()
