@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +28,56 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_at = path
+    if (mine := _noting.get()) is not None:
+        mine.append(back)
+    return back
+
+
+_noting: ContextVar[list | None] = ContextVar("tables written by the running step", default=None)
+
+
+@contextmanager
+def noted_tables():
+    """The list of the tables that ``materialise`` writes inside the block, for a later ``discard``."""
+    mine: list[DataFrame] = []
+    token = _noting.set(mine)
+    try:
+        yield mine
+    finally:
+        _noting.reset(token)
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the files of tables written by ``materialise`` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_written_at", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column that tells its rows apart, the same in every evaluation.
+
+    Rows of a file scan are told by a hash of their file and their place in it, so no copy
+    is written.  Any other frame is written once with numbered rows.
+    """
+    try:
+        return docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias(name))
+    except AnalysisException:
+        numbered = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("at"))
+        return materialise(docs.select("*", numbered.alias(name)), "keyed-rows")
 
 
 def n_words(text):

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import SPACE_RUN, bounded_batches, materialise, membership_bits
+from dimforge.llm.common import SPACE_RUN, bounded_batches, discard, free_name, materialise, membership_bits, with_row_key
 from dimforge.llm.textnum import set_id, shingle_set
 
 PERCENT = 75
@@ -153,9 +153,9 @@ def _frequency_tables(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _postings(docs: DataFrame, seen: np.ndarray, level: np.ndarray) -> DataFrame:
-    """(tok, cls, n, common, weight): prefix n-grams of every class that occur twice or more anywhere.
+    """(tok, cls, n, rem, weight): prefix n-grams of every class that occur twice or more anywhere.
 
-    ``common`` is the number of the class's n-grams that may occur elsewhere and
+    ``rem`` is the number of the class's n-grams from this one on, in the global order, and
     ``weight`` the mean frequency class of its prefix.
     """
     shared = docs.sparkSession.sparkContext.broadcast((seen, level))
@@ -163,14 +163,13 @@ def _postings(docs: DataFrame, seen: np.ndarray, level: np.ndarray) -> DataFrame
     def run(batches):
         seen, level = shared.value
         done = set()
-        toks, ids, sizes, commons, weights, held = [], [], [], [], [], 0
+        toks, ids, sizes, rems, weights, held = [], [], [], [], [], 0
 
         def batch():
             times = [len(t) for t in toks]
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(toks).view(np.int64)),
-                 *(pa.array(np.repeat(c, times)) for c in (ids, sizes, commons, weights))],
-                names=["tok", "cls", "n", "common", "weight"])
+                [pa.array(np.concatenate(toks).view(np.int64)), pa.array(np.repeat(ids, times)), pa.array(np.repeat(sizes, times)),
+                 pa.array(np.concatenate(rems)), pa.array(np.repeat(weights, times))], names=["tok", "cls", "n", "rem", "weight"])
 
         for _, _, s in _sets(batches):
             if not len(s):
@@ -183,21 +182,22 @@ def _postings(docs: DataFrame, seen: np.ndarray, level: np.ndarray) -> DataFrame
             twice = (seen[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
             rank = np.where(twice, 1 + level[s >> np.uint64(64 - CLASS_BITS)], 0)
             order = np.argsort(rank, kind="stable")[: _prefix_length(len(s))]  # s is sorted: ties stay by hash
-            head = s[order[rank[order] > 0]]
+            place = np.flatnonzero(rank[order] > 0)
+            head = s[order[place]]
             if len(head):
                 toks.append(head)
                 ids.append(cls)
                 sizes.append(len(s))
-                commons.append(int(np.count_nonzero(rank)))
+                rems.append(len(s) - place)
                 weights.append(float(rank[order].mean()))
                 held += len(head)
             if held > 100_000:
                 yield batch()
-                toks, ids, sizes, commons, weights, held = [], [], [], [], [], 0
+                toks, ids, sizes, rems, weights, held = [], [], [], [], [], 0
         if held:
             yield batch()
 
-    return docs.select("text").mapInArrow(run, "tok long, cls long, n long, common long, weight double")
+    return docs.select("text").mapInArrow(run, "tok long, cls long, n long, rem long, weight double")
 
 
 def _segments(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -280,31 +280,36 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "hi").select(F.explode(F.array(
             F.struct(F.col("m").alias("lo"), F.col("hi")), F.struct(F.col("m").alias("lo"), F.col("lo").alias("hi")))).alias("e"))
             .select("e.lo", "e.hi").filter("lo <> hi").distinct())
-        current = materialise(small, "components")
+        after = materialise(small, "components")
+        discard(current, large)
+        current = after
     return current.select(F.col("hi").alias("node"), F.col("lo").alias("comp")).union(
         current.groupBy(F.col("lo").alias("node")).agg(F.min("lo").alias("comp")))
 
 
-def _may_link(n_a: str, common_a: str, n_b: str, common_b: str) -> str:
-    """SQL condition: sizes and common n-grams leave room for the threshold (never false for a link)."""
+def _may_link(n_a: str, rem_a: str, n_b: str, rem_b: str) -> str:
+    """SQL condition: the sizes, and what both have left from this n-gram on, leave room for the threshold.
+
+    True for a linked pair at its first common n-gram in the global order, since all it shares comes from there on.
+    """
     return (f"100 * least({n_a}, {n_b}) >= {PERCENT} * greatest({n_a}, {n_b})"
-            f" and {100 + PERCENT} * least({common_a}, {common_b}) >= {PERCENT} * ({n_a} + {n_b})")
+            f" and {100 + PERCENT} * least({rem_a}, {rem_b}) >= {PERCENT} * ({n_a} + {n_b})")
 
 
 def _led(posts: DataFrame) -> DataFrame:
     """Postings other than their n-gram's leader, with the leader as ``lead``.
 
-    ``posts`` has (tok, cls, n, common, weight, comp); only n-grams over two components or more stay.
+    ``posts`` has (tok, cls, n, rem, weight, comp); only n-grams over two components or more stay.
     """
-    leads = (posts.groupBy("tok").agg(F.max(F.struct("weight", "cls", "n", "common", "comp")).alias("lead"),
+    leads = (posts.groupBy("tok").agg(F.max(F.struct("weight", "cls", "n", "rem", "comp")).alias("lead"),
                                       F.min("comp").alias("c0"), F.max("comp").alias("c1"))
              .filter("c0 <> c1").select("tok", "lead"))
     return posts.join(leads, "tok").filter("cls <> lead.cls")
 
 
 def _led_pairs(led: DataFrame) -> DataFrame:
-    """Pairs (leader, other) across components whose sizes allow a link, one row per shared n-gram."""
-    return (led.filter("comp <> lead.comp and " + _may_link("n", "common", "lead.n", "lead.common"))
+    """Pairs (leader, other) across components that may link, one row per shared n-gram."""
+    return (led.filter("comp <> lead.comp and " + _may_link("n", "rem", "lead.n", "lead.rem"))
             .select(F.col("lead.cls").alias("a"), F.col("lead.n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb")))
 
 
@@ -315,53 +320,74 @@ def _first_pairs(posts: DataFrame) -> DataFrame:
     return best.select("best.a", "best.na", "b", "nb")
 
 
-def _leader_pairs(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings other than their n-gram's leader, and the distinct pairs (leader, other)."""
-    led = materialise(_led(posts), "jaccard-led")
-    return led.select("tok", "cls", "n", "common", "weight"), _led_pairs(led).distinct()
+def _band(n: str) -> str:
+    """SQL: size band; linked sets lie in the same band or in neighbouring ones."""
+    return f"int(floor(ln({n}) / ln({100 / PERCENT!r}) + 1e-9))"
+
+
+def _linkable(rest: DataFrame) -> DataFrame:
+    """Postings that may still link with a posting of another component at their n-gram.
+
+    Per n-gram and size band the two smallest sets of different components are enough to tell:
+    the smaller the other set, the fewer n-grams a pair needs to share.
+    """
+    banded = rest.withColumn("band", F.expr(_band("n")))
+    # every posting tells its own band and the two beside it how small a partner they may find
+    told = (banded.groupBy("tok", "band", "comp").agg(F.min("n").alias("low"), F.max("rem").alias("most"))
+            .select("tok", "comp", "low", "most", F.explode(F.expr("array(band - 1, band, band + 1)")).alias("band")))
+    per = told.groupBy("tok", "band", "comp").agg(F.min("low").alias("low"), F.max("most").alias("most"))
+    first = per.groupBy("tok", "band").agg(F.min(F.struct("low", "comp")).alias("one"), F.max(F.struct("most", "comp")).alias("top"))
+    other = (per.join(first, ["tok", "band"])
+             .groupBy("tok", "band").agg(F.first("one").alias("one"), F.first("top").alias("top"),
+                                         F.min(F.when(F.col("comp") != F.col("one.comp"), F.col("low"))).alias("low2"),
+                                         F.max(F.when(F.col("comp") != F.col("top.comp"), F.col("most"))).alias("most2"))
+             .filter("low2 is not null"))
+    low = "if(comp = one.comp, low2, one.low)"
+    most = "if(comp = top.comp, most2, top.most)"
+    needed = f"{PERCENT} * (n + greatest({low}, ({PERCENT} * n + 99) div 100))"
+    return banded.join(other, ["tok", "band"]).filter(f"{100 + PERCENT} * least(rem, {most}) >= {needed}").select(*rest.columns)
 
 
 def _cross_pairs(rest: DataFrame, open_toks: DataFrame) -> DataFrame:
     """All pairs of different components that may link, through the rows outside each n-gram's largest component.
 
-    A pair not compared before still has all its shared prefix n-grams in ``rest``: a leader's
-    posting goes only once the leader's pairs at that n-gram are compared.  Behind
-    the prefix that ends first, its class has ceil(0.75 n) - 1 n-grams, so the number shared
-    within the prefixes bounds the whole overlap.
+    A pair not compared before still has its first common n-gram in ``rest``: a leader's posting
+    goes only once the leader's pairs at that n-gram are compared, and no bound rules a link out there.
     """
-    y = (rest.select("tok", F.struct("cls", "n", "common").alias("b"), F.col("comp").alias("cb"))
+    y = (rest.select("tok", F.expr(_band("n")).alias("band"), F.struct("cls", "n", "rem").alias("b"), F.col("comp").alias("cb"))
          .join(open_toks.select("tok", "major"), "tok"))
-    x = y.filter("cb <> major").select("tok", F.col("b").alias("a"), F.col("cb").alias("ca"))
-    near = x.join(y, "tok").filter(
-        "ca <> cb and (cb = major or a.cls < b.cls) and " + _may_link("a.n", "a.common", "b.n", "b.common"))
-    shared = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").count()
-    behind = f"({PERCENT} * greatest(a.n, b.n) + 99) div 100 - 1"
-    return (shared.filter(f"{100 + PERCENT} * (count + {behind}) >= {PERCENT} * (a.n + b.n)")
-            .select(F.col("a.cls").alias("a"), F.col("a.n").alias("na"), F.col("b.cls").alias("b"), F.col("b.n").alias("nb")))
+    x = y.filter("cb <> major").select("tok", F.explode(F.expr("array(band - 1, band, band + 1)")).alias("band"),
+                                       F.col("b").alias("a"), F.col("cb").alias("ca"))
+    near = x.join(y, ["tok", "band"]).filter(
+        "ca <> cb and (cb = major or a.cls < b.cls) and " + _may_link("a.n", "a.rem", "b.n", "b.rem"))
+    return near.select(F.least("a.cls", "b.cls").alias("a"), F.expr("if(a.cls < b.cls, a.n, b.n)").alias("na"),
+                       F.greatest("a.cls", "b.cls").alias("b"), F.expr("if(a.cls < b.cls, b.n, a.n)").alias("nb")).distinct()
 
 
 def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
     """(node, comp) for every class that has a link."""
     bits = min(20, max(6, int(n_tokens // FRAGMENT_TOKENS).bit_length()))
-    rest = materialise(_postings(docs, *_frequency_tables(docs, bits)), "jaccard-postings").withColumn("comp", F.col("cls"))
-    pairs = compared = materialise(_first_pairs(rest), "jaccard-pairs")
-    rest = rest.drop("comp")
+    rest = materialise(_postings(docs, *_frequency_tables(docs, bits)), "jaccard-postings")
+    spent = [rest]
+    pairs = compared = materialise(_first_pairs(rest.withColumn("comp", F.col("cls"))), "jaccard-pairs")
     comps = budget = None
     last = False
     while True:
         if not pairs.isEmpty():
             links = materialise(verified_links(docs, pairs), "jaccard-links")
             if not links.isEmpty():
-                if comps is not None:
-                    links = links.union(comps.select("node", "comp"))
-                comps = materialise(connected_components(links), "jaccard-comps")
+                known = links if comps is None else links.union(comps.select("node", "comp"))
+                before, comps = comps, materialise(connected_components(known), "jaccard-comps")
+                discard(before)
+            discard(links)
         if last:
             return comps
-        if comps is None:
-            rest = rest.withColumn("comp", F.col("cls"))
-        else:
-            rest = materialise(rest.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-                               .select("tok", "cls", "n", "common", "weight", F.coalesce("comp", "cls").alias("comp")), "jaccard-rest")
+        own = rest.withColumn("comp", F.col("cls")) if comps is None else (
+            rest.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+            .select("tok", "cls", "n", "rem", "weight", F.coalesce("comp", "cls").alias("comp")))
+        rest = materialise(_linkable(own), "jaccard-rest")
+        discard(*spent)
+        spent = [rest]
         sizes = rest.groupBy("tok", "comp").count()
         open_toks = materialise(sizes.groupBy("tok").agg(
             F.max_by("comp", "count").alias("major"), F.sum("count").alias("m"), F.max("count").alias("top"))
@@ -375,7 +401,9 @@ def class_components(docs: DataFrame, n_tokens: int) -> DataFrame | None:
         if last:
             pairs = _cross_pairs(rest, open_toks)
         else:
-            rest, pairs = _leader_pairs(rest)
+            led = materialise(_led(rest), "jaccard-led")
+            spent.append(led)
+            rest, pairs = led.select("tok", "cls", "n", "rem", "weight"), _led_pairs(led).distinct()
         # the first pairs are compared once; later rounds cannot meet a pair again
         first = compared.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         pairs = materialise(pairs.join(first, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"),
@@ -413,11 +441,12 @@ def keep_one_per_component(docs: DataFrame) -> DataFrame:
     Texts without words have no component and all stay, but of equal texts of one doc_id one
     stays.  A NULL id names no document, so of texts without words all such rows stay.
     """
-    keyed = materialise(docs.withColumn("jaccard_row", F.monotonically_increasing_id()), "jaccard-rows")
+    row = free_name(docs, "jaccard_row")
+    keyed = with_row_key(docs, row)
     blank = F.when(F.rlike("text", F.lit(f"^(?:{SPACE_RUN})?$")), F.col("text")).alias("blank")
-    found = materialise(_row_components(keyed.select("doc_id", "text", "jaccard_row", blank), "jaccard_row", "blank"), "jaccard-found")
+    found = materialise(_row_components(keyed.select("doc_id", "text", F.col(row).alias("at_row"), blank), "at_row", "blank"), "jaccard-found")
     one = (found.filter("n_shingles > 0").groupBy("comp")
-           .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "jaccard_row")).alias("low")).select("low.jaccard_row"))
-    alone = F.when(F.col("doc_id").isNull(), F.col("jaccard_row")).alias("alone")
-    wordless = found.filter("n_shingles = 0").groupBy("doc_id", "blank", alone).agg(F.min("jaccard_row").alias("jaccard_row")).select("jaccard_row")
-    return keyed.join(one.union(wordless), "jaccard_row", "left_semi").select(*docs.columns)
+           .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "at_row")).alias("low")).select("low.at_row"))
+    alone = F.when(F.col("doc_id").isNull(), F.col("at_row")).alias("alone")
+    wordless = found.filter("n_shingles = 0").groupBy("doc_id", "blank", alone).agg(F.min("at_row").alias("at_row")).select("at_row")
+    return keyed.join(one.union(wordless).withColumnRenamed("at_row", row), row, "left_semi").select(*docs.columns)
