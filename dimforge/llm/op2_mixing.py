@@ -12,7 +12,8 @@ so mass moves between documents of like size and a small one is left.  A block s
 one, and those residuals meet in the blocks of the next level until one is left
 per source.  The last one is settled by its own draw.
 
-Every random number is a hash of the id and a seed, so reruns agree.  Everything is
+Every random number is a hash of the id, the row's place in its file and a seed, so reruns over the same
+files agree, and rows that repeat an id or have none are dealt and drawn like any other.  Everything is
 built-in column functions; the tables of sources hold one row per source.
 
 Defined results: NULL or blank text has size 0; NULL is a source of its own, the
@@ -27,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import materialise, n_words
+from dimforge.llm.common import free_name, materialise, n_words, with_row_key
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -71,13 +72,13 @@ def _fight(block: Column, level: int, seed: int) -> Column:
     all mass and the other drops to 0; otherwise one becomes 1 and the other keeps
     a + b - 1.
     """
-    unit = lambda u, p: F.struct(u["size"].alias("size"), u["id"].alias("id"), u["tie"].alias("tie"), p.alias("p"))
+    unit = lambda u, p: F.struct(u["size"].alias("size"), u["id"].alias("id"), u["row"].alias("row"), p.alias("p"))
     first = F.element_at(block, 1)
 
     def meet(state, b):
         a = state["rest"]
         total = a["p"] + b["p"]
-        u = _draw(a["id"], b["id"], a["tie"], b["tie"], F.lit(seed), F.lit(level))
+        u = _draw(a["id"], b["id"], a["row"], b["row"], F.lit(seed), F.lit(level))
         small = total < 1 - EPS
         # the chance that b ends as the one that carries on
         share = F.when(small, b["p"] / F.greatest(total, F.lit(EPS))).otherwise((1 - b["p"]) / F.greatest(2 - total, F.lit(EPS)))
@@ -93,8 +94,9 @@ def _fight(block: Column, level: int, seed: int) -> Column:
 
 
 def pivotal_rounding(units: DataFrame, most: int, seed: int) -> DataFrame:
-    """(grp, id, size, tie, taken 0/1) from ``units(grp, id, size, tie, p, n)``; ``n`` counts the group's units.
+    """(grp, id, size, row, taken 0/1) from ``units(grp, id, size, row, p, n)``; ``n`` counts the group's units.
 
+    ``row`` tells units apart, ``id`` need not.
     ``most`` is the largest group's number of units; it sets the depth of the tree.
     """
     levels = max(1, math.ceil(math.log(max(most, 2), BLOCK)))
@@ -102,22 +104,22 @@ def pivotal_rounding(units: DataFrame, most: int, seed: int) -> DataFrame:
     for level in range(levels + 1):
         # the last level has one block per group
         blocks = F.ceil(F.col("n") / F.lit(float(BLOCK ** (level + 1)))).cast("long") if level < levels else F.lit(1).cast("long")
-        dealt = current.select("grp", "n", F.pmod(F.xxhash64("id", "tie", F.lit(seed)), blocks).alias("block"),
-                               F.struct("size", "id", "tie", "p").alias("unit"))
+        dealt = current.select("grp", "n", F.pmod(F.xxhash64("id", "row", F.lit(seed)), blocks).alias("block"),
+                               F.struct("size", "id", "row", "p").alias("unit"))
         packed = dealt.groupBy("grp", "n", "block").agg(F.collect_list("unit").alias("all"))
         fought = materialise(packed.select("grp", "n", _fight(F.sort_array("all", asc=False), level, seed).alias("r")), "mix-level")
-        done = fought.select("grp", F.explode("r.done").alias("u")).select("grp", "u.id", "u.size", "u.tie", F.col("u.p").alias("taken"))
+        done = fought.select("grp", F.explode("r.done").alias("u")).select("grp", "u.id", "u.size", "u.row", F.col("u.p").alias("taken"))
         settled = done if settled is None else settled.union(done)
-        current = fought.select("grp", "n", "r.rest.*").select("grp", "id", "size", "tie", "p", "n")
+        current = fought.select("grp", "n", "r.rest.*").select("grp", "id", "size", "row", "p", "n")
         if level < levels and BLOCK ** (level + 1) >= most:
             break
-    last = current.select("grp", "id", "size", "tie", (_draw("id", "tie", F.lit(seed), F.lit(-1)) < F.col("p") - EPS).cast("double").alias("taken"))
+    last = current.select("grp", "id", "size", "row", (_draw("id", "row", F.lit(seed), F.lit(-1)) < F.col("p") - EPS).cast("double").alias("taken"))
     return settled.union(last)
 
 
-def mix(docs: DataFrame, seed: int = 2) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs(doc_id, text, source)``."""
-    sizes = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+def _mix_rows(docs: DataFrame, seed: int) -> DataFrame:
+    """(row, doc_id, source, size, source_size, target, copies) for every row of ``docs(row, doc_id, text, source)``."""
+    sizes = materialise(docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                                     n_words(F.col("text")).alias("size")), "mix-sizes")
     targets = materialise(source_targets(sizes), "mix-targets")
     most = targets.agg(F.max("n_docs")).first()[0]
@@ -126,26 +128,31 @@ def mix(docs: DataFrame, seed: int = 2) -> DataFrame:
     known = targets.select(F.col("source").alias("of"), "source_size", "target", "n_docs",
                            F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
     rows = sizes.join(known, F.col("source").eqNullSafe(F.col("of")))
-    units = rows.select(grp.alias("grp"), F.coalesce("doc_id", F.lit(-1)).alias("id"), "size", F.col("doc_id").isNull().alias("tie"),
+    units = rows.select(grp.alias("grp"), F.col("doc_id").alias("id"), "size", "row",
                         (F.col("rate") - F.floor("rate")).alias("p"), F.col("n_docs").alias("n"))
     if not most:
-        return units.select(F.col("id").alias("doc_id"), "grp.source", "size", "grp.source_size", "grp.target",
-                            F.lit(0).cast("long").alias("copies"), F.lit(0).cast("long").alias("taken"))
+        return units.select("row", F.col("id").alias("doc_id"), "grp.*", "size", F.lit(0).cast("long").alias("copies"))
     out = pivotal_rounding(units, most, seed)
     rate = F.when(F.col("grp.source_size") > 0, F.col("grp.target") / F.col("grp.source_size")).otherwise(0.0)
-    copies = (F.floor(rate) + F.round("taken")).cast("long")
-    return out.select(F.when(~F.col("tie"), F.col("id")).alias("doc_id"), F.col("grp.source").alias("source"), "size",
-                      F.col("grp.source_size").alias("source_size"), F.col("grp.target").alias("target"),
-                      copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("row", F.col("id").alias("doc_id"), "grp.*", "size", (F.floor(rate) + F.round("taken")).cast("long").alias("copies"))
+
+
+def mix(docs: DataFrame, seed: int = 2) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs(doc_id, text, source)``."""
+    row = free_name(docs, "mix_row")
+    mixed = _mix_rows(with_row_key(docs, row).select(F.col(row).alias("row"), "doc_id", "text", "source"), seed)
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
+def mix_documents(docs: DataFrame, seed: int = 2) -> DataFrame:
     """Rows of ``docs`` that the mix takes, with size, source_size, target, copies and taken.
 
-    Rows that repeat a doc_id get the copies of each repetition.
+    Each row has its own copies, also if it repeats a doc_id or has none.  Columns of ``docs`` that
+    bear one of the added names are replaced.
     """
-    mixed = mix(docs).groupBy("doc_id").agg(
-        F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-        F.max("copies").alias("copies")).filter("copies > 0").withColumnRenamed("doc_id", "mix_id")
-    return (docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("mix_id"))).drop("mix_id")
-            .withColumn("taken", F.col("copies") * F.col("size")))
+    added = ("size", "source_size", "target", "copies", "taken")
+    row = free_name(docs, "mix_row")
+    keyed = with_row_key(docs, row)
+    mixed = _mix_rows(keyed.select(F.col(row).alias("row"), "doc_id", "text", "source"), seed).filter("copies > 0").select(
+        F.col("row").alias(row), *added[:4], (F.col("copies") * F.col("size")).alias("taken"))
+    return keyed.drop(*added).join(mixed, row).select(*[c for c in docs.columns if c not in added], *added)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import bounded_batches, materialise
+from dimforge.llm.common import bounded_batches, free_name, materialise, with_row_key
 from dimforge.llm.textnum import grams, run_bounds, span_hashes
 
 CHUNK_WORDS = 1 << 20
@@ -227,6 +227,10 @@ def _windows(item: np.ndarray, words: np.ndarray, starts: np.ndarray):
             yield lo, hi
 
 
+def _found_schema(docs: DataFrame) -> str:
+    return f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, score long, ratio double, start_word long, end_word long"
+
+
 def _found(docs: DataFrame, index: Index) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -240,26 +244,28 @@ def _found(docs: DataFrame, index: Index) -> DataFrame:
                     for column, value in zip(out, (doc_id.as_py(), table.ids[k], score, ratio, a, b)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
+                [pa.array(c, t) for c, t in zip(out, (batch.column(0).type, pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
                 names=["doc_id", "item_id", "score", "ratio", "start_word", "end_word"])
 
-    schema = "doc_id long, item_id long, score long, ratio double, start_word long, end_word long"
+    schema = _found_schema(docs)
     found = materialise(docs.mapInArrow(run, schema), "decontam-found")
     shared.destroy()
     return found
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, item_id, score, ratio, start_word, end_word): benchmark items found in documents.
 
-    The best place per document and item; word positions count content words.
+    The best place per document and item; word positions count content words.  ``key`` names the
+    column that tells documents apart, of any type; it is returned as doc_id.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null")
+    told = F.col(key).cast("long") if key == "doc_id" else F.col(key)
+    texts = docs.select(told.alias("doc_id"), "text").filter("text is not null")
     items = materialise(_items(benchmark), "decontam-items")
     chunks = -(-(items.agg(F.sum(F.size("item_words"))).first()[0] or 0) // CHUNK_WORDS)
-    found = spark.createDataFrame([], "doc_id long, item_id long, score long, ratio double, start_word long, end_word long")
+    found = spark.createDataFrame([], _found_schema(texts))
     for c in range(chunks):
         rows = items.filter(F.pmod(F.xxhash64("item_words"), F.lit(chunks)) == c).toArrow()
         if not rows.num_rows:
@@ -272,3 +278,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     best = found.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("ratio", "score", F.negative("start_word").alias("s"), "end_word")).alias("best"))
     return best.select("doc_id", "item_id", "best.score", "best.ratio", F.negative("best.s").alias("start_word"), "best.end_word")
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item is found; rows are told apart also without an id."""
+    row = free_name(docs, "leak_row")
+    keyed = with_row_key(docs, row)
+    found = leaks(keyed.select(row, "text"), benchmark, key=row).select(F.col("doc_id").alias(row)).distinct()
+    return keyed.join(found, row, "left_anti").select(*docs.columns)
