@@ -1,7 +1,8 @@
 """Corpus preparation: five stages over ``documents``, each one operator of ``dimforge.llm``.
 
 Every stage reads what its predecessor kept and returns the columns of
-``documents`` (the last adds the mix's columns).  Stages run on written tables.
+``documents`` (the last adds the mix's columns).  Stages run on written tables, in order: a
+stage deletes what its predecessor wrote on its way, but never a given table.
 
 A document's row is the unit: rows that repeat a doc_id with the same text are
 copies, of which the n-gram stage keeps one.  Rows with a NULL doc_id are documents like any
@@ -14,10 +15,12 @@ rows with NULL ids, and single operators; no test compares a whole stage with a
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm.common import materialise, table
+from dimforge.llm.common import discard, materialise, noted_tables, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,6 +29,11 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.select(*COLUMNS)
 
 
+def _tidy(docs: DataFrame) -> DataFrame:
+    """``docs`` as read, so that rows keep their place in a file; only extra columns cost a projection."""
+    return docs if tuple(docs.columns) == COLUMNS else _documents(docs)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects (learned from all labels outside the held-out bucket)."""
     from dimforge.llm.op10_quality import keep_good, learnable
@@ -37,16 +45,14 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Keep one row, of the smallest doc_id, of each group of near copies; texts without words all stay."""
     from dimforge.llm.op7_jaccard_join import keep_one_per_component
 
-    return keep_one_per_component(_documents(docs))
+    return keep_one_per_component(_tidy(docs))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents in which a benchmark item is found."""
-    from dimforge.llm.op3_decontaminate import leaks
+    from dimforge.llm.op3_decontaminate import drop_leaks
 
-    keyed = materialise(_documents(docs).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
-    found = leaks(keyed.select(F.col("row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    return keyed.join(found.select(F.col("doc_id").alias("row")).distinct(), "row", "left_anti").select(*COLUMNS)
+    return drop_leaks(_tidy(docs), table(spark, sf_dir, "benchmark"))
 
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,22 +66,48 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the mix takes, with size, source_size, target, copies and taken."""
     from dimforge.llm.op2_mixing import mix_documents
 
-    return mix_documents(_documents(docs))
+    return mix_documents(_tidy(docs))
+
+
+# Tables that the last stage run for a folder wrote on its way, by session and folder.
+_behind: dict[tuple[str, str], list[DataFrame]] = {}
+
+
+def _in_order(first: bool, stage):
+    """``stage``, deleting on entry the tables its predecessor wrote on its way.
+
+    A stage's ``docs`` are its predecessor's written rows, so nothing reads those tables any more.  The
+    first stage deletes none: the last one's rows may still be read.
+    """
+    @functools.wraps(stage)
+    def run_stage(spark, docs, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        behind = _behind.pop(key, [])
+        if not first:
+            discard(*behind)
+        with noted_tables() as mine:
+            out = stage(spark, docs, sf_dir)
+        _behind[key] = mine
+        return out
+
+    return run_stage
 
 
-STAGES = [
+STAGES = [(name, _in_order(k == 0, stage)) for k, (name, stage) in enumerate([
     ("quality", quality_stage),
     ("near_duplicates", jaccard_stage),
     ("decontamination", decontamination_stage),
     ("privacy", privacy_stage),
     ("mixing", mixing_stage),
-]
+])]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = before = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialise(stage(spark, before, sf_dir), f"pipeline-{name}")
+        discard(before)  # the stage's own input; a given table is not ours to delete
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
