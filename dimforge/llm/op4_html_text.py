@@ -8,7 +8,7 @@ ancestor.  Text runs of kept nodes, in page order, are the article.
 
 The trees learn from two bounded sets: generated pages of many layouts, and at most
 about ``SAMPLE_PAGES`` pages of the table that name their article by an element of that
-meaning (drawn by a hash of the id).
+meaning (drawn by a hash of id and html; equal rows count once).
 
 Defined results: NULL or text-free html gives an empty text; broken or cut-off markup is
 read as far as it goes; repeated rows stay rows; extra columns are ignored.
@@ -34,8 +34,11 @@ GENERATED_PAGES = 400
 
 # HTML element groups.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template title svg iframe object textarea select canvas math".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+RAW = frozenset("script style".split())  # their content is no markup; without an end tag they reach the page's end
+UNSEEN = frozenset("noscript template title svg iframe object textarea select canvas annotation".split())
+MATH = frozenset("""math semantics mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mtable
+mtr mtd mstyle mspace mpadded mphantom menclose mfenced mmultiscripts mprescripts none""".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()) | MATH
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 PEERS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table tbody thead select body html".split())
@@ -71,6 +74,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     pieces: list[str] = []
     links = at = 0
     linked = 0
+    no_end: dict[str, bool] = {}
 
     def flush():
         nonlocal pieces, linked
@@ -78,6 +82,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             text = " ".join("".join(pieces).split())
             if text:
                 node = stack[-1][1]
+                if node is root:  # text outside every element is a block of its own
+                    node = Node("p", root, (), False, at)
+                    root.kids.append(node)
+                    nodes.append(node)
                 node.own += len(text)
                 node.blocks += 1
                 node.linked += min(linked, len(text))
@@ -121,10 +129,17 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             else:
                 pieces.append(" " if tag == "br" else "")
             continue
-        if tag in RAW:
-            end = _END_RAW.setdefault(tag, re.compile(rf"</{re.escape(tag)}[^>]*>?", re.I)).search(page, at)
-            at = end.end() if end else size
-            continue
+        if tag in RAW or tag in UNSEEN:
+            closed = tag in UNSEEN and m[0].endswith("/>")  # <svg .../>
+            # a later end tag of its own kind; looked for once where the page has none
+            end = None if closed or no_end.get(tag) else _END_RAW.setdefault(tag, re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I)).search(page, at)
+            if not closed and end is None:
+                no_end[tag] = True
+            if end:
+                at = end.end()
+            elif tag in RAW:
+                at = size
+            continue  # an unseen element without an end tag hides nothing
         if tag in INLINE:
             links += tag == "a"
             stack.append((tag, stack[-1][1]))
@@ -205,10 +220,9 @@ def decode(nodes: list[Node], logits: np.ndarray) -> np.ndarray:
 def article_text(parsed, logits: np.ndarray) -> str:
     nodes, runs = parsed
     keep = {id(v) for v, k in zip(nodes, decode(nodes, logits)) if k}
-    root = id(nodes[0])
-    # text outside every block counts as article only if the page has no blocks with text
-    loose = all(id(v) == root for v, _ in runs)
-    return "\n\n".join(t for v, t in runs if id(v) in keep and (loose or id(v) != root))
+    if len(nodes) == len(runs) + 1 and all(v.parent is nodes[0] and v.start for v, _ in runs) and not any(v.words for v in nodes):
+        keep |= {id(v) for v, _ in runs} if len(runs) == 1 else set()  # a page of one plain text is that text
+    return "\n\n".join(t for v, t in runs if id(v) in keep)
 
 
 def _inside(node: Node, test) -> bool:
@@ -312,8 +326,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of ``pages(page_id, url, html)``."""
     bounded_batches(pages.sparkSession)
     share = min(1.0, SAMPLE_PAGES / max(1, pages.count()))
-    drawn = pages.filter(F.shiftrightunsigned(F.xxhash64(F.col("page_id").cast("long"), F.lit(4)), 11) / float(1 << 53) < share)
-    sample = sorted(r.html for r in drawn.filter("html is not null").select("html").collect())  # about SAMPLE_PAGES pages
+    draw = F.xxhash64(F.col("page_id").cast("long"), "html", F.lit(4))
+    drawn = pages.filter("html is not null").select(draw.alias("draw"), "html").filter(F.shiftrightunsigned("draw", 11) / float(1 << 53) < share)
+    # about SAMPLE_PAGES pages; rows that repeat a page or an id are drawn once or apart
+    sample = sorted(r.html for r in drawn.groupBy("draw").agg(F.first("html").alias("html")).collect())
     shared = pages.sparkSession.sparkContext.broadcast(train(sample))
 
     def run(batches):
