@@ -18,7 +18,7 @@ class RunContext:
     batch_ts: str  # 'YYYY-MM-DD HH:MM:SS[.ffffff]', wall time of the load (UTC by convention)
     batch_date: str  # 'YYYY-MM-DD'
     job: str = "ods_load"
-    source_system: str = "ENVISION"
+    source_system: str = "CORE"
     run_id: str = "run-0"
 
     def ts(self) -> Column:
@@ -49,6 +49,6 @@ DEFAULT_CONTEXT = RunContext(
     batch_ts="2025-01-01 06:00:00",
     batch_date="2025-01-01",
     job="ods_load",
-    source_system="ENVISION",
+    source_system="CORE",
     run_id="run-20250101",
 )

@@ -4,28 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dimforge.plans import account, fixtures as fx, policy
+from dimforge.plans import account, fixtures as fx, policy, trade
 from dimforge.plans.job import DatasetSpec, Step
 
 
 def trade_policy_master(sf_dir: str) -> DatasetSpec:
-    """Trade file -> policy master, insert-only, written as SQL steps."""
+    """Trade file -> policy master, insert-only.
+
+    The lookup step carries the natural key alone through dedup and the anti join; the constant and audit
+    columns are put on the rows that are left.
+    """
     return DatasetSpec(
-        name="STG_TRADE", target_table="plcy_mastr", load_type=0, natural_key=("src_sys", "plcy_num"),
+        name="STG_TRADE", target_table="plcy_mastr", load_type=0, natural_key=trade.MASTER_KEY,
         surrogate_key="plcy_mastr_id", entity="trade",
         sources={"time": lambda spark: fx.stg_trade(spark, sf_dir)},
-        source_filter=Step("src", sql="select src_sys, acct_num from {src_file}"),
-        lookup=Step("lkp", sql="""
-            select src.src_sys, 'SS' as src_admn_sys, 'N/A' as plcy_comp_cd, src.acct_num as plcy_num,
-                   src.acct_num as left_justfd_plcy_num, 'N/A' as invstmt_comp_tax_id, -99 as case_mastr_id,
-                   'P' as plcy_sold_status_indctr, '-99' as del_indctr
-            from {src} src"""),
-        select_fields=Step("final", sql="""
-            select src_admn_sys, plcy_comp_cd, plcy_num, left_justfd_plcy_num,
-                   cast(:batch_id as decimal(19,0)) as btch_id, cast(:batch_date as date) as crtd_dt,
-                   cast(null as date) as mdfd_dt, concat(:job, '-trade') as crtd_by, cast(null as string) as mdfd_by,
-                   case_mastr_id, src_sys, plcy_sold_status_indctr, del_indctr, invstmt_comp_tax_id
-            from {sink}"""),
+        lookup=Step("lkp", sql="select src_sys, acct_num as plcy_num from {src}"),
+        select_fields=Step("final", fn=lambda f, ctx: trade.finished_master(f["sink"], ctx)),
     )
 
 

@@ -125,7 +125,7 @@ def stg_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").alias("trade_id"),
-        F.lit("ENVISION").alias("src_sys"),
+        F.lit("CORE").alias("src_sys"),
         F.col("user_id").cast("string").alias("acct_num"),
         F.col("event_type").alias("trx_cd"),
         F.when(F.col("event_type") == "error", F.lit("R"))
@@ -144,7 +144,7 @@ def ods_plcy_mastr(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").where(_mod("c_custkey", 4) != 0)
     return c.select(
         (F.col("c_custkey") + 5000).cast("bigint").alias("plcy_mastr_id"),
-        F.lit("ENVISION").alias("src_sys"),
+        F.lit("CORE").alias("src_sys"),
         F.col("c_custkey").cast("string").alias("plcy_num"),
     )
 
@@ -187,7 +187,7 @@ def ods_plcy_detl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         (F.col(k) + 9000).cast("bigint").alias("plcy_detl_id"),
         (F.col(k) + 5000).cast("bigint").alias("plcy_mastr_id"),
-        F.lit("ENVISION").alias("src_sys"),
+        F.lit("CORE").alias("src_sys"),
         F.when(_mod(k, 3) == 0, F.lit("1900-01-01").cast("date")).otherwise(F.lit("2023-05-01").cast("date")).alias("plcy_iss_dt"),
         F.when(_mod(k, 7) == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("custdn_firm_nm"),
         F.when(_mod(k, 2) == 0, F.lit(11)).otherwise(F.lit(12)).alias("plcy_status_id"),
@@ -214,7 +214,7 @@ def ods_position(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.col("value")).cast("decimal(18,2)").alias("amount"),
         F.min("event_id").alias("position_id"),
     ).select(
-        "position_id", F.lit("ENVISION").alias("src_sys"), "acct_num", "trx_cd", "amount",
+        "position_id", F.lit("CORE").alias("src_sys"), "acct_num", "trx_cd", "amount",
         F.lit("O").alias("actn_cd"), F.lit("20241231").cast("decimal(19,0)").alias("btch_id"),
         F.lit(None).cast("string").alias("mdfd_by"),
     )
@@ -226,7 +226,7 @@ def ods_trx(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").where(_mod("event_id", 2) == 0)
     return e.select(
         F.col("event_id").alias("trade_id"),
-        F.lit("ENVISION").alias("src_sys"),
+        F.lit("CORE").alias("src_sys"),
         F.col("user_id").cast("string").alias("acct_num"),
         F.col("event_type").alias("trx_cd"),
         F.col("value").cast("decimal(18,2)").alias("amount"),

@@ -138,7 +138,7 @@ BATCH_ID = "cast(20250101 as decimal(19,0))"
 JOB = "'ods_load'"
 
 cte("stg_trade", """
-select event_id as trade_id, 'ENVISION' as src_sys, cast(user_id as varchar) as acct_num, event_type as trx_cd,
+select event_id as trade_id, 'CORE' as src_sys, cast(user_id as varchar) as acct_num, event_type as trx_cd,
        case when event_type = 'error' then 'R' when event_id % 11 = 0 then 'C'
             when event_id % 3 = 0 then 'U' else 'O' end as sc_trx_actn_cd,
        cast(value as decimal(18,2)) as amount,
@@ -147,7 +147,7 @@ select event_id as trade_id, 'ENVISION' as src_sys, cast(user_id as varchar) as
 from events""")
 
 cte("ods_plcy_mastr", """
-select cast(c_custkey + 5000 as bigint) as plcy_mastr_id, 'ENVISION' as src_sys, cast(c_custkey as varchar) as plcy_num
+select cast(c_custkey + 5000 as bigint) as plcy_mastr_id, 'CORE' as src_sys, cast(c_custkey as varchar) as plcy_num
 from customer where c_custkey % 4 <> 0""")
 
 cte("stg_cstmr", """
@@ -166,7 +166,7 @@ cte("ods_plcy_detl", """
 select *, md5(upper(concat_ws('', cast(plcy_iss_dt as varchar), '~', cast(plcy_status_id as varchar), '~',
                               custdn_firm_nm))) as hash_key
 from (select cast(c_custkey + 9000 as bigint) as plcy_detl_id, cast(c_custkey + 5000 as bigint) as plcy_mastr_id,
-             'ENVISION' as src_sys,
+             'CORE' as src_sys,
              case when c_custkey % 3 = 0 then DATE '1900-01-01' else DATE '2023-05-01' end as plcy_iss_dt,
              case when c_custkey % 7 = 0 then null else c_mktsegment end as custdn_firm_nm,
              case when c_custkey % 2 = 0 then 11 else 12 end as plcy_status_id,
@@ -179,13 +179,13 @@ from (select cast(c_custkey + 9000 as bigint) as plcy_detl_id, cast(c_custkey +
       from customer where c_custkey % 4 <> 0 and c_custkey % 3 <> 1) d""")
 
 cte("ods_position", """
-select min(event_id) as position_id, 'ENVISION' as src_sys, cast(user_id as varchar) as acct_num, event_type as trx_cd,
+select min(event_id) as position_id, 'CORE' as src_sys, cast(user_id as varchar) as acct_num, event_type as trx_cd,
        cast(max(value) as decimal(18,2)) as amount, 'O' as actn_cd, cast(20241231 as decimal(19,0)) as btch_id,
        cast(null as varchar) as mdfd_by
 from events where user_id % 3 = 0 group by user_id, event_type""")
 
 cte("ods_trx", """
-select event_id as trade_id, 'ENVISION' as src_sys, cast(user_id as varchar) as acct_num, event_type as trx_cd,
+select event_id as trade_id, 'CORE' as src_sys, cast(user_id as varchar) as acct_num, event_type as trx_cd,
        cast(value as decimal(18,2)) as amount, case when event_id % 10 = 0 then 'R' else 'O' end as actn_cd,
        cast(null as bigint) as reversed_trade_id, cast(20241231 as decimal(19,0)) as btch_id
 from events where event_id % 2 = 0""")
@@ -223,7 +223,7 @@ select s.src_sys, s.acct_num, pm.plcy_mastr_id, coalesce(spm.src_prod_mastr_id,
        try_strptime(c.acct_closg_dt, '%Y%m%d')::date as plcy_trmntn_dt, cast(null as varchar) as plcy_nm,
        c.custdn_firm_mnm as cust_custdn_firm_nm, 'Y' as actv_indctr
 from (select *, 'INVESTMENTS' as plan_cd from latest_trade) s
-left join (select plcy_num, plcy_mastr_id from ods_plcy_mastr where src_sys = 'ENVISION') pm on s.acct_num = pm.plcy_num
+left join (select plcy_num, plcy_mastr_id from ods_plcy_mastr where src_sys = 'CORE') pm on s.acct_num = pm.plcy_num
 left join src_prod_mastr spm on s.plan_cd = spm.plan_cd
 left join cust c on s.acct_num = c.acct_num
 left join first_trade trd on s.acct_num = trd.acct_num
@@ -292,7 +292,7 @@ union all
 select cast(null as bigint), t.plcy_mastr_id, t.src_sys, t.plcy_iss_dt, t.custdn_firm_nm, t.plcy_status_id,
        t.first_depst_dt, {_stamp('D')}, t.hash_key
 from ods_plcy_detl t
-where t.actv_indctr = 'Y' and t.src_sys = 'ENVISION' and not exists (
+where t.actv_indctr = 'Y' and t.src_sys = 'CORE' and not exists (
   select 1 from pol_lkp l where l.plcy_mastr_id is not null and l.src_sys = t.src_sys
                               and l.plcy_mastr_id = t.plcy_mastr_id)"""), ("pol_changed", "ods_plcy_detl", "pol_lkp"))
 
@@ -364,11 +364,11 @@ from acct_classified where row_type in ('NEW', 'CHANGED')""", "acct_classified",
 select order_nk, cast(row_number() over (order by order_nk) as bigint) as order_sk
 from (select 'O' || lpad(cast(o_orderkey as varchar), 12, '0') as order_nk from orders) o"""),
     "reject_rows": sql(f"""
-select 'run-20250101' as batch_run_id, 'STG_SALESFORCE_ACCOUNTS' as source_table, account_id as source_row_identifier,
+select 'run-20250101' as batch_run_id, 'STG_ACCOUNTS' as source_table, account_id as source_row_identifier,
        'NULL_NATURAL_KEY' as rejection_reason_code, {BATCH_TS} as rejection_timestamp, {ACCT_PAYLOAD} as raw_source_payload
 from stg_account where account_id is null
 union all
-select 'run-20250101', 'STG_SALESFORCE_ACCOUNTS', account_id, 'INVALID_REVENUE_CAST', {BATCH_TS}, {ACCT_PAYLOAD}
+select 'run-20250101', 'STG_ACCOUNTS', account_id, 'INVALID_REVENUE_CAST', {BATCH_TS}, {ACCT_PAYLOAD}
 from stg_account where account_id is not null and annual_revenue is not null
   and try_cast(annual_revenue as decimal(18,2)) is null""", "stg_account"),
     "single_active_violations": sql("""
@@ -379,10 +379,10 @@ select customer_id, count(*) as n_current from (
 where is_current group by customer_id having count(*) > 1""", "acct_next_state"),
     "rerun_is_noop": sql("select * from acct_next_state", "acct_next_state"),
     "audit_summary": sql(f"""
-select {BATCH_ID} as btch_id, {JOB} as job_nm, 'ENVISION' as src_sys, n_source as src_cnt,
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'CORE' as src_sys, n_source as src_cnt,
        n_new + n_changed as tgt_cnt, n_unchanged as fltr_cnt, n_reject_null_key + n_reject_cast as rej_cnt,
        n_source = n_new + n_changed + n_unchanged + n_reject_null_key + n_reject_cast as balanced,
-       {BATCH_TS} as start_ts, 'customer_account' as tgt_tbl_nm, 'STG_SALESFORCE_ACCOUNTS' as src_file_nm,
+       {BATCH_TS} as start_ts, 'customer_account' as tgt_tbl_nm, 'STG_ACCOUNTS' as src_file_nm,
        n_reject_null_key, n_reject_cast, n_new, n_changed, n_unchanged
 from (select (select count(*) from stg_account) as n_source,
              (select count(*) from stg_account where account_id is null) as n_reject_null_key,
@@ -420,7 +420,7 @@ select 'SS' as src_admn_sys, 'N/A' as plcy_comp_cd, plcy_num, plcy_num as left_j
        cast(null as varchar) as mdfd_by, -99 as case_mastr_id, src_sys, 'P' as plcy_sold_status_indctr,
        '-99' as del_indctr, 'N/A' as invstmt_comp_tax_id
 from (select distinct src_sys, acct_num as plcy_num from stg_trade where src_sys is not null and acct_num is not null) s
-where not exists (select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = s.src_sys
+where not exists (select 1 from ods_plcy_mastr m where m.src_sys = 'CORE' and m.src_sys = s.src_sys
                   and m.plcy_num = s.plcy_num)""", "stg_trade", "ods_plcy_mastr"),
     "dedup_natural_key": sql("""
 select event_id, user_id, event_type, ts, value from (
@@ -492,12 +492,12 @@ select * from pol_next where actv_indctr = 'N' and eff_to_dt = {BATCH_DATE} - 1
         f"select {POL_COLS} from ods_plcy_detl union all select {POL_COLS} from pol_full_changes"),
         "ods_plcy_detl", "pol_full_changes"),
     "error_log": sql(f"""
-select 'EC_25' as err_cd, 'ENVISION' as src_sys, 'STG_TRADE' as file_nm, {BATCH_ID} as btch_id,
+select 'EC_25' as err_cd, 'CORE' as src_sys, 'STG_TRADE' as file_nm, {BATCH_ID} as btch_id,
        {BATCH_DATE} as btch_dt, {JOB} as job_nm, 'plcy_detl' as tgt_tbl_nm, acct_num as err_key,
        json_object('src_sys', src_sys, 'acct_num', acct_num) as err_payload
 from pol_lkp where plcy_mastr_id is null
 union all
-select 'EC_26', 'ENVISION', 'STG_TRADE', {BATCH_ID}, {BATCH_DATE}, {JOB}, 'invstmt_fund_trx',
+select 'EC_26', 'CORE', 'STG_TRADE', {BATCH_ID}, {BATCH_DATE}, {JOB}, 'invstmt_fund_trx',
        cast(trade_id as varchar), json_object('acct_num', acct_num, 'trx_cd', trx_cd, 'sc_trx_actn_cd', sc_trx_actn_cd)
 from stg_trade s where not exists (select 1 from trx_mastr m where m.trx_cd = s.trx_cd)""",
         "pol_lkp", "stg_trade", "trx_mastr"),
@@ -525,7 +525,7 @@ ORACLE["job_insert_only"] = ORACLE["insert_only_load"]
 ORACLE["job_type1"] = ORACLE["type1_upsert"]
 ORACLE["job_versioned_hash"] = ORACLE["scd2_hash_next_state"]
 ORACLE["job_audit"] = sql(f"""
-select {BATCH_ID} as btch_id, {JOB} as job_nm, 'ENVISION' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'CORE' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
        n_filtered + n_unchanged + n_duplicates as fltr_cnt, n_rejected as rej_cnt,
        n_source = n_loaded + n_filtered + n_unchanged + n_duplicates + n_rejected as balanced,
        {BATCH_TS} as start_ts, 'plcy_mastr' as tgt_tbl_nm, 'STG_TRADE' as src_file_nm,
@@ -537,7 +537,7 @@ from (select n_source, n_loaded, n_rejected, n_source - n_filtered_in as n_filte
                    (select count(*) from stg_trade where src_sys is null or acct_num is null) as n_rejected,
                    (select count(*) from job_keys) as n_deduped,
                    (select count(*) from job_keys k where not exists (
-                        select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
+                        select 1 from ods_plcy_mastr m where m.src_sys = 'CORE' and m.src_sys = k.src_sys
                           and m.plcy_num = k.acct_num)) as n_loaded) c) d""", "job_keys", "ods_plcy_mastr")
 
 ORACLE["summary_load"] = sql(f"""
@@ -550,10 +550,10 @@ group by src_sys, acct_num""", "ods_trx", "trade_facts_batch")
 
 ORACLE["job_versioned_columns"] = ORACLE["scd2_next_state"]
 ORACLE["job_versioned_columns_audit"] = sql(f"""
-select {BATCH_ID} as btch_id, {JOB} as job_nm, 'ENVISION' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'CORE' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
        n_filtered + n_unchanged + n_duplicates as fltr_cnt, n_rejected as rej_cnt,
        n_source = n_loaded + n_filtered + n_unchanged + n_duplicates + n_rejected as balanced,
-       {BATCH_TS} as start_ts, 'customer_account' as tgt_tbl_nm, 'STG_SALESFORCE_ACCOUNTS' as src_file_nm,
+       {BATCH_TS} as start_ts, 'customer_account' as tgt_tbl_nm, 'STG_ACCOUNTS' as src_file_nm,
        n_loaded, n_rejected, n_filtered, n_duplicates, n_unchanged
 from (select n_source, n_loaded, n_rejected, 0::bigint as n_filtered,
              n_source - n_rejected - n_deduped as n_duplicates, n_deduped - n_loaded as n_unchanged
@@ -583,11 +583,11 @@ select 'SS' as src_admn_sys, 'N/A' as plcy_comp_cd, acct_num as plcy_num, acct_n
        cast(null as varchar) as mdfd_by, -99 as case_mastr_id, src_sys, 'P' as plcy_sold_status_indctr,
        '-99' as del_indctr, 'N/A' as invstmt_comp_tax_id
 from known_keys k
-where not exists (select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
+where not exists (select 1 from ods_plcy_mastr m where m.src_sys = 'CORE' and m.src_sys = k.src_sys
                   and m.plcy_num = k.acct_num)""", "known_keys", "ods_plcy_mastr")
 
 ORACLE["job_codes_excluded_audit"] = sql(f"""
-select {BATCH_ID} as btch_id, {JOB} as job_nm, 'ENVISION' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'CORE' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
        n_filtered + n_unchanged + n_duplicates as fltr_cnt, n_rejected as rej_cnt,
        n_source = n_loaded + n_filtered + n_unchanged + n_duplicates + n_rejected as balanced,
        {BATCH_TS} as start_ts, 'plcy_mastr' as tgt_tbl_nm, 'STG_TRADE' as src_file_nm,
@@ -600,11 +600,11 @@ from (select n_source, n_loaded, n_code + n_later as n_rejected, n_source - n_co
                    (select count(*) from trade_known where src_sys is null or acct_num is null) as n_later,
                    (select count(*) from known_keys) as n_deduped,
                    (select count(*) from known_keys k where not exists (
-                        select 1 from ods_plcy_mastr m where m.src_sys = 'ENVISION' and m.src_sys = k.src_sys
+                        select 1 from ods_plcy_mastr m where m.src_sys = 'CORE' and m.src_sys = k.src_sys
                           and m.plcy_num = k.acct_num)) as n_loaded) c) d""",
     "stg_trade", "trade_known", "known_keys", "ods_plcy_mastr")
 ORACLE["job_error_log"] = sql(f"""
-select 'EC_26' as err_cd, 'ENVISION' as src_sys, 'STG_TRADE' as file_nm, {BATCH_ID} as btch_id,
+select 'EC_26' as err_cd, 'CORE' as src_sys, 'STG_TRADE' as file_nm, {BATCH_ID} as btch_id,
        {BATCH_DATE} as btch_dt, {JOB} as job_nm, 'plcy_mastr' as tgt_tbl_nm, cast(trade_id as varchar) as err_key,
        json_object('trx_cd', trx_cd) as err_payload
 from stg_trade s

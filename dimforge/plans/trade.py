@@ -40,6 +40,12 @@ def master_rows(stg: DataFrame) -> DataFrame:
     return with_defaults(mapped, MASTER_DEFAULTS)
 
 
+def finished_master(keys: DataFrame, ctx: RunContext, entity: str = "trade") -> DataFrame:
+    """Policy-master rows of new natural keys: constant and audit columns on, in the table's order."""
+    rows = with_defaults(keys.withColumn("left_justfd_plcy_num", F.col("plcy_num")), MASTER_DEFAULTS)
+    return audit_insert_columns(rows, ctx, f"{ctx.job}-{entity}").select(*MASTER_OUTPUT)
+
+
 def staged_is_small(stg: DataFrame) -> bool:
     """One bounded probe of the staging file.  Every batch-sized frame derived
     from it (filters, dedup, unique lookups) has at most as many rows, so the
