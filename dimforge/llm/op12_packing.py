@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import os
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -46,7 +47,7 @@ CHILDREN = 16        # per island and epoch
 POPULATION = 6
 SLACK = 8
 LEVELS = 8
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 700_000  # two tables of them, some 150 MB each
 CACHED_LENGTH = 64
 
 
@@ -69,35 +70,40 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        # a word of a-z is normalised, one split piece and spelled by its own bytes already
+        self.words = Tokenizer.from_str(vocabulary)
+        self.words.normalizer = self.words.pre_tokenizer = None
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         chunks = text.encode("utf-8").split()
         known = self.known
-        try:
+        missing = set(chunks).difference(known)
+        if not missing:
             return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
         if len(known) > CACHED_CHUNKS:
             self.before, self.known = known, {}
-            known = self.known
+            known, missing = self.known, set(chunks)
         before = self.before
-        missing = [c for c in set(chunks) if c not in known]
-        found = {c: before[c] for c in missing if c in before}
+        made = {c: before[c] for c in missing if c in before}
         # a mark after an ASCII letter is a token piece of its own, and ASCII words count in lower case:
         # such chunks are looked up and encoded by their core
-        core = {c: _core(c) for c in missing if c not in found}
-        fresh = list({x for x, _ in core.values() if x not in known and x not in before})
-        fresh += [x for x in {mark for _, mark in core.values()} if x and x not in known]
-        encoded = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in fresh], add_special_tokens=False)
-        made = dict(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in encoded)))
+        core = {c: _core(c) for c in missing if c not in made}
+        fresh = {x for x, _ in core.values() if x not in known and x not in before}
+        fresh.update(x for _, x in core.values() if x and x not in known)
+        plain = [x for x in fresh if x.isalpha() and x.islower()]  # of bytes: a-z only
+        for tokenizer, some in ((self.words, plain), (self.tokenizer, list(fresh.difference(plain)))):
+            encoded = tokenizer.encode_batch_fast([x.decode("utf-8") for x in some], add_special_tokens=False)
+            made.update(zip(some, (struct.pack(f"<{len(e)}I", *e.ids) for e in encoded)))
         ids_of = lambda x: made[x] if x in made else known[x] if x in known else before[x]
-        for c, (word, mark) in core.items():
-            found[c] = ids_of(word) + ids_of(mark) if mark else ids_of(word)
-        made.update(found)
-        known.update((c, ids) for c, ids in made.items() if len(c) <= CACHED_LENGTH)
-        return b"".join([known[c] if c in known else found[c] for c in chunks])
+        made.update([(c, ids_of(word) + ids_of(mark) if mark else ids_of(word)) for c, (word, mark) in core.items()])
+        known.update(made)
+        out = b"".join(map(known.__getitem__, chunks))
+        for c in made:
+            if len(c) > CACHED_LENGTH:
+                del known[c]
+        return out
 
 
 def _core(chunk: bytes) -> tuple[bytes, bytes]:
@@ -110,16 +116,16 @@ def _core(chunk: bytes) -> tuple[bytes, bytes]:
     return chunk, mark
 
 
-_encoders: dict[int, Encoder] = {}
-
-
 def _encoder(vocabulary: str) -> Encoder:
-    """One encoder per worker process."""
+    """One encoder per worker process; this package travels by value, so its own globals last for one task only."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_dimforge_encoders", {})
     key = hash(vocabulary)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary)
-    return _encoders[key]
+    if key not in kept:
+        kept.clear()
+        kept[key] = Encoder(vocabulary)
+    return kept[key]
 
 
 def pieces_of(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int]]:
