@@ -212,6 +212,11 @@ def run(spark: SparkSession, spec: DatasetSpec, ctx: RunContext, target: DataFra
     lkp, null_keys = quality.split_null_keys(lkp, keys)  # NULL keys are rejects, not duplicates
     if spec.duplicates == "halt":
         quality.guard_no_duplicates(lkp, keys)
+    frames["null_keys"] = null_keys
+    if spec.error_key and spec.error_key in lkp.columns:
+        # a row whose natural key no lookup found
+        errors.append(quality.error_log_rows(null_keys, ctx, quality.EC_NO_MASTER, spec.name, spec.target_table,
+                                             spec.error_key, [*keys, *[c for c in (spec.error_key,) if c not in keys]]))
     keyed = lkp
     lkp = dedup_natural_key(lkp, keys, spec.dedup_order)
     frames["lkp"] = lkp

@@ -623,3 +623,23 @@ select {POL_COLS} from (
   select * replace (case when plcy_mastr_id % 6 = 0 then 'D' else actv_indctr end as actv_indctr,
                     case when plcy_mastr_id % 6 = 0 then 'close' else mdfd_by end as mdfd_by,
                     case when plcy_mastr_id % 6 = 0 then crtd_dt else mdfd_dt end as mdfd_dt) from ods_plcy_detl) t""", "ods_plcy_detl")
+
+ORACLE["job_full_file_stopped"] = sql(
+    f"select {POL_COLS}, 'no row of the file is left to load' as stopped from ods_plcy_detl", "ods_plcy_detl")
+ORACLE["job_error_log_unmatched"] = sql(f"""
+select 'EC_25' as err_cd, 'CORE' as src_sys, 'STG_TRADE' as file_nm, {BATCH_ID} as btch_id, {BATCH_DATE} as btch_dt, {JOB} as job_nm,
+       'plcy_detl' as tgt_tbl_nm, acct_num as err_key, json_object('src_sys', src_sys, 'plcy_mastr_id', plcy_mastr_id, 'acct_num', acct_num) as err_payload
+from pol_lkp where plcy_mastr_id is null""", "pol_lkp")
+# every outcome counted by itself; the rows the step loses are in none of them
+ORACLE["job_audit_loss"] = sql(f"""
+select {BATCH_ID} as btch_id, {JOB} as job_nm, 'CORE' as src_sys, n_source as src_cnt, n_loaded as tgt_cnt,
+       n_filtered + n_unchanged + n_duplicates as fltr_cnt, n_rejected as rej_cnt, false as balanced,
+       {BATCH_TS} as start_ts, 'plcy_mastr' as tgt_tbl_nm, 'STG_TRADE' as src_file_nm,
+       n_loaded, n_rejected, n_filtered, n_duplicates, n_unchanged
+from (select (select count(*) from stg_trade) as n_source, 0::bigint as n_rejected, 0::bigint as n_filtered,
+             (select count(*) - count(distinct acct_num) from stg_trade where cast(acct_num as bigint) % 7 <> 0) as n_duplicates,
+             (select count(*) from job_keys k where cast(acct_num as bigint) % 7 <> 0 and exists (
+                select 1 from ods_plcy_mastr m where m.src_sys = 'CORE' and m.src_sys = k.src_sys and m.plcy_num = k.acct_num)) as n_unchanged,
+             (select count(*) from job_keys k where cast(acct_num as bigint) % 7 <> 0 and not exists (
+                select 1 from ods_plcy_mastr m where m.src_sys = 'CORE' and m.src_sys = k.src_sys and m.plcy_num = k.acct_num)) as n_loaded) c""",
+    "job_keys", "ods_plcy_mastr", "stg_trade")

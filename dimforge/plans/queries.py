@@ -847,3 +847,36 @@ def q_job_error_log(spark, sf_dir):
     spec.error_key = "trade_id"
     target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
     return job.run(spark, spec, CTX, target).errors
+
+
+@query("job_error_log_unmatched")
+def q_job_error_log_unmatched(spark, sf_dir):
+    """Error-log rows (EC_25) the spec runner writes for accounts without a policy."""
+    from dimforge.plans import datasets, job, policy
+
+    spec = datasets.policy_detail(sf_dir)
+    spec.error_key = "acct_num"
+    return job.run(spark, spec, CTX, fx.ods_plcy_detl(spark, sf_dir).select(*policy.TARGET_COLUMNS)).errors
+
+
+@query("job_audit_loss")
+def q_job_audit_loss(spark, sf_dir):
+    """Audit row of a load whose lookup step loses every seventh policy number: it does not balance."""
+    from dimforge.plans import datasets, job
+
+    spec = datasets.trade_policy_master(sf_dir)
+    spec.lookup = job.Step("lkp", sql="select src_sys, acct_num as plcy_num from {src} where cast(acct_num as bigint) % 7 <> 0")
+    target = fx.ods_plcy_mastr(spark, sf_dir).where(F.col("src_sys") == CTX.source_system)
+    return job.run(spark, spec, CTX, target).audit
+
+
+@query("job_full_file_stopped")
+def q_job_full_file_stopped(spark, sf_dir):
+    """A full file of which the filter leaves nothing: the load stops and the target stays as it was."""
+    from dimforge.plans import datasets, job, policy
+
+    spec = datasets.policy_detail(sf_dir)
+    spec.source_filter = job.Step("src", sql="select * from {src_file} where trx_cd = 'no such code'")
+    target = fx.ods_plcy_detl(spark, sf_dir).select(*policy.TARGET_COLUMNS)
+    res = job.run(spark, spec, CTX, target, file_type="full")
+    return res.frames["next_state"].withColumn("stopped", F.lit(res.stopped))
